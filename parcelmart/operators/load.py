@@ -25,16 +25,15 @@ def changed_since(df: DataFrame, ts: datetime | None, col: str = "updatedAt") ->
     return df.filter(changed(ts, col))
 
 
-def load_mode(n_changed: int, n_all: int) -> str:
+def load_mode(n_changed: Column, n_all: Column) -> Column:
     """'none' when nothing changed, 'full' when every row did, else 'incremental'."""
-    if n_changed == 0:
-        return "none"
-    return "incremental" if n_changed < n_all else "full"
+    return F.when(n_changed == 0, "none").when(n_changed < n_all, "incremental").otherwise("full")
 
 
 def change_counts(df: DataFrame, ts: datetime | None, col: str = "updatedAt") -> DataFrame:
-    """One row: number of changed rows and of all rows."""
-    return df.agg(F.count_if(changed(ts, col)).alias("n_changed"), F.count(F.lit(1)).alias("n_all"))
+    """One row: number of changed rows, of all rows, and the load mode that follows."""
+    counts = df.agg(F.count_if(changed(ts, col)).alias("n_changed"), F.count(F.lit(1)).alias("n_all"))
+    return counts.withColumn("mode", load_mode(F.col("n_changed"), F.col("n_all")))
 
 
 def drop_control(df: DataFrame) -> DataFrame:

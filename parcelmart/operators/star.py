@@ -22,10 +22,13 @@ FACT_KEYS = {
 
 @dataclass(frozen=True)
 class Dim:
-    """A dimension to join: the attributes wanted from it and the equality filters on it (None = no filter)."""
+    """A dimension to join: the attributes wanted from it and the equality filters on it (None = no filter).
+
+    An attribute may be an expression; it is then computed once per dimension row and not per fact.
+    """
 
     table: str
-    attrs: Sequence[str] = ()
+    attrs: Sequence[str | Column] = ()
     equals: Mapping[str, object] | None = None
 
     @property

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from parcelmart.sources.warehouse import (
     RUNS_SCHEMA,
     Part,
     Warehouse,
+    create_run_log,
     latest_parts,
     read_parts,
     runs,
@@ -26,26 +28,28 @@ from parcelmart.sources.warehouse import (
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
-def dimensions(source: Source) -> dict[str, DataFrame]:
-    """The dimensions that carry a change date."""
+def dimensions(source: Source) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of the dimensions that carry a change date."""
     return {
-        "dim_product": dim_product(read_source("products", source)),
-        "dim_user": dim_user(read_source("users", source)),
-        "dim_rider": dim_rider(read_source("riders", source), read_source("couriers", source)),
+        "dim_product": lambda: dim_product(read_source("products", source)),
+        "dim_user": lambda: dim_user(read_source("users", source)),
+        "dim_rider": lambda: dim_rider(read_source("riders", source), read_source("couriers", source)),
     }
 
 
+def source_facts(source: Source) -> DataFrame:
+    """Fact rows of the whole source."""
+    return fact_rows(*(read_source(name, source) for name in ("order_items", "orders", "products")))
+
+
 def derived_warehouse(source: Source) -> Warehouse:
     """The warehouse computed from the source tables on the fly, with nothing written.
 
     Facts have no surrogate key here; no query needs it.
     """
-    orders = read_source("orders", source)
-    facts = fact_rows(read_source("order_items", source), orders, read_source("products", source))
-    tables = {name: load.drop_control(df) for name, df in dimensions(source).items()}
-    tables["dim_date"] = dim_date(orders)
-    tables["fact_orders"] = load.drop_control(facts)
-    return Warehouse(tables)
+    stamped = {**dimensions(source), "fact_orders": lambda: source_facts(source)}
+    loaders = {name: lambda build=build: load.drop_control(build()) for name, build in stamped.items()}
+    return Warehouse({**loaders, "dim_date": lambda: dim_date(read_source("orders", source))})
 
 
 def watermark(runs_df: DataFrame) -> DataFrame:
@@ -67,6 +71,7 @@ def run_etl(spark: SparkSession, source: Source, path: str, now: datetime | None
     the source are not seen. A price change alone does not touch facts: they keep the price of their load.
     """
     run_date = now or datetime.now(timezone.utc)
+    create_run_log(spark, path)
     micros = watermark(runs(spark, path)).select(F.unix_micros("run_date")).first()[0]
     since = EPOCH + timedelta(microseconds=micros)
     parts, last_fact_id = latest_parts(spark, path)
@@ -75,8 +80,8 @@ def run_etl(spark: SparkSession, source: Source, path: str, now: datetime | None
     orders = read_source("orders", source)
 
     committed = [
-        _load_dimension(spark, path, name, df, old.get(name), version, since)
-        for name, df in dimensions(source).items()
+        _load_dimension(spark, path, name, build(), old.get(name), version, since)
+        for name, build in dimensions(source).items()
     ]
     committed.append(_load_dates(spark, path, orders, old.get("dim_date"), version))
     months = [p for p in parts if p.table == "fact_orders"]
@@ -88,8 +93,7 @@ def run_etl(spark: SparkSession, source: Source, path: str, now: datetime | None
 def _load_dimension(
     spark: SparkSession, path: str, name: str, rows: DataFrame, old: Part | None, version: int, since: datetime
 ) -> Part | None:
-    counts = load.change_counts(rows, since).first()
-    mode = load.load_mode(counts["n_changed"], counts["n_all"])
+    mode = load.change_counts(rows, since).first()["mode"]
     if mode == "none":
         return old
     fresh = load.changed_since(rows, since)
@@ -114,10 +118,10 @@ def _load_facts(
     spark: SparkSession, path: str, source: Source, old: list[Part], version: int, since: datetime, last_id: int
 ) -> tuple[list[Part], int]:
     """Replace the facts of every touched order, rewriting only the months these facts are or were in."""
-    items, orders, products = (read_source(t, source) for t in ("order_items", "orders", "products"))
     if not old:
-        fresh = load.changed_since(fact_rows(items, orders, products), since, "updated_at")
+        fresh = load.changed_since(source_facts(source), since, "updated_at")
         return _write_months(spark, path, fresh, None, [], version, last_id)
+    items, orders, products = (read_source(t, source) for t in ("order_items", "orders", "products"))
     with work_table(touched_orders(items, orders, since), "touched") as touched:
         hit_items = items.withColumn("order_id", F.col("OrderId").cast("bigint")).join(touched, "order_id", "left_semi")
         hit_orders = orders.withColumn("order_id", F.col("id").cast("bigint")).join(touched, "order_id", "left_semi")

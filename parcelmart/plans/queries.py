@@ -10,13 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelmart.functions.calendar import (
-    PERIOD_FORMATS,
-    date_text_to_id,
-    period_of_date_id,
-    prev_quarter,
-    quarter_label,
-)
+from parcelmart.functions.calendar import date_text_to_id, period_of_date_id, prev_quarter, quarter_label
 from parcelmart.functions.clean import normalize_category
 from parcelmart.functions.numeric import MONEY_SUM, cents, growth_pct, rounded_mean
 from parcelmart.operators.ranking import global_rank, percent_rank_pct, trailing_rows
@@ -51,18 +45,12 @@ def revenue_by_period(
     category: str | None = None,
     granularity: str = "month",
 ) -> DataFrame:
-    """Revenue and units per year, month or day of a date range; an unknown granularity gives one NULL period.
-
-    The facts are summed per day, so the period text is made for at most one row per day of the range.
-    """
+    """Revenue and units per year, month or day of a date range; an unknown granularity gives one NULL period."""
     facts = date_id_between(wh["fact_orders"], date_text_to_id(start), date_text_to_id(end))
-    dims = [Dim("dim_date"), Dim("dim_product", equals={"category": _category(category)})]
+    period = period_of_date_id(F.col("date_id"), granularity).alias("period")
+    dims = [Dim("dim_date", [period]), Dim("dim_product", equals={"category": _category(category)})]
     sums = {"revenue": F.col("total_price"), "units_sold": F.col("quantity").cast("bigint")}
-    per_day = star_sum(wh, facts, dims, ["delivery_date_id"], sums)
-    known = granularity if granularity in PERIOD_FORMATS else ""
-    period = period_of_date_id(F.col("delivery_date_id"), known).alias("period")
-    per_period = per_day.groupBy(period).agg(F.sum("revenue").alias("revenue"), F.sum("units_sold").alias("units_sold"))
-    return _sorted(per_period, "period")
+    return _sorted(star_sum(wh, facts, dims, ["period"], sums), "period")
 
 
 def customer_distribution(wh: Warehouse, with_gid: bool = False) -> DataFrame:

@@ -234,7 +234,7 @@ def city_view(
     value = METRICS[metric]
     best = _best_first(city_totals(rows, country, category), metric, "city", top)
     order = Window.partitionBy("country").orderBy(F.col(value).desc_nulls_last(), "city")
-    ranked = best.select("city", F.row_number().over(order).alias("city_rank"))
+    ranked = best.select("city", F.row_number().over(order).cast("bigint").alias("city_rank"))
     detail = opt_filter(_level(rows, LEAF), country=country, category=_normalized(category))
     joined = detail.drop("gid").join(ranked, "city")
     return joined.orderBy("city_rank", F.col(value).desc_nulls_last(), F.col("category").asc_nulls_last())

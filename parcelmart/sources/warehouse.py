@@ -12,7 +12,9 @@ running readers keep their files, a failed load leaves nothing visible, and a lo
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,15 +57,21 @@ class Part:
     bytes: int | None = None
 
 
-@dataclass(frozen=True)
 class Warehouse:
-    """The warehouse tables as DataFrames, and the size in bytes of those whose size is known."""
+    """The warehouse tables, each built when it is first asked for, and the sizes in bytes known for some of them."""
 
-    tables: dict[str, DataFrame]
-    sizes: dict[str, int] = field(default_factory=dict)
+    def __init__(self, loaders: Mapping[str, Callable[[], DataFrame]], sizes: Mapping[str, int] | None = None) -> None:
+        self._loaders = dict(loaders)
+        self._tables: dict[str, DataFrame] = {}
+        self.sizes = dict(sizes or {})
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.tables[name]
+        if name not in self._tables:
+            self._tables[name] = self._loaders[name]()
+        return self._tables[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._loaders)
 
     def is_small(self, name: str) -> bool:
         """Whether the table is proven to be small enough to broadcast."""
@@ -71,8 +79,8 @@ class Warehouse:
 
     def create_views(self) -> None:
         """Register every table as a temporary view under its own name."""
-        for name, df in self.tables.items():
-            df.createOrReplaceTempView(name)
+        for name in self:
+            self[name].createOrReplaceTempView(name)
 
 
 def runs(spark: SparkSession, path: str) -> DataFrame:
@@ -85,6 +93,11 @@ def runs(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], RUNS_SCHEMA)
 
 
+def create_run_log(spark: SparkSession, path: str) -> None:
+    """An empty run log, unless there is one."""
+    spark.createDataFrame([], RUNS_SCHEMA).write.mode("ignore").parquet(f"{path}/etl_runs")
+
+
 def last_run(runs_df: DataFrame) -> DataFrame:
     """Date of the last successful load, in one row (NULL when there was none)."""
     return runs_df.agg(F.max("run_date").alias("run_date"))
@@ -116,6 +129,6 @@ def read_parts(spark: SparkSession, path: str, table: str, parts: list[Part]) ->
 def warehouse(spark: SparkSession, path: str) -> Warehouse:
     """The last committed snapshot of a warehouse folder."""
     parts, _ = latest_parts(spark, path)
-    tables = {name: read_parts(spark, path, name, parts) for name in SCHEMAS}
+    loaders = {name: partial(read_parts, spark, path, name, parts) for name in SCHEMAS}
     sizes = {p.table: p.bytes for p in parts if p.month is None and p.bytes is not None}
-    return Warehouse(tables, sizes)
+    return Warehouse(loaders, sizes)
