@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from parcelmart.plans import etl, queries
 from parcelmart.session import SESSION_CONF
-from parcelmart.sources.testdata import testdata_source
+from parcelmart.sources.testdata import mapped_source
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -44,7 +44,7 @@ def timed(action) -> float:
 
 def main() -> None:
     spark = session()
-    source = testdata_source(spark, SF_DIR)
+    source = mapped_source(spark, SF_DIR)
     path = tempfile.mkdtemp(prefix="run-")
     seconds = {"etl_full_load": timed(lambda: etl.run_etl(spark, source, path))}
     wh = etl.warehouse(spark, path)

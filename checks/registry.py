@@ -16,7 +16,7 @@ from parcelmart.plans import etl, queries, reports
 from parcelmart.session import fresh_dir, prepare
 from parcelmart.sources import warehouse as store
 from parcelmart.sources.tables import Source, read_source
-from parcelmart.sources.testdata import testdata_source
+from parcelmart.sources.testdata import mapped_source
 from parcelmart.sources.warehouse import Warehouse
 
 WATERMARK = datetime(1998, 1, 1, tzinfo=timezone.utc)
@@ -33,7 +33,7 @@ class Context:
 
     @cached_property
     def source(self) -> Source:
-        return lru_cache(maxsize=None)(testdata_source(self.spark, self.sf_dir))
+        return lru_cache(maxsize=None)(mapped_source(self.spark, self.sf_dir))
 
     @cached_property
     def wh(self) -> Warehouse:

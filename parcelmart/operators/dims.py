@@ -71,7 +71,8 @@ def dim_rider(riders: DataFrame, couriers: DataFrame) -> DataFrame:
 
 def delivery_days(orders: DataFrame) -> DataFrame:
     """Distinct calendar days deliveries were asked for; at most one row per day, whatever the number of orders."""
-    return orders.select(parse_mixed_date(F.col("deliveryDate")).alias("day")).dropna().distinct()
+    days = orders.select(parse_mixed_date(F.col("deliveryDate")).alias("day")).distinct()
+    return days.filter(F.col("day").isNotNull())
 
 
 def dim_date(orders: DataFrame) -> DataFrame:

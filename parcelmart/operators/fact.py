@@ -68,7 +68,9 @@ def fact_rows(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataF
     Items without a product or without an order cannot be keyed and stay out; ``fact_quality`` counts them.
     """
     rows = joined_items(items, orders, products)
-    return rows.dropna(subset=list(REQUIRED_KEYS)).select(
+    for key in REQUIRED_KEYS:
+        rows = rows.filter(F.col(key).isNotNull())
+    return rows.select(
         *[
             F.coalesce(F.col(c), F.lit(DEFAULTS[c]).cast(rows.schema[c].dataType)).alias(c) if c in DEFAULTS else c
             for c in rows.columns

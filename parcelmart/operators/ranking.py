@@ -26,6 +26,7 @@ def global_rank(df: DataFrame, measure: str, rank: str = "rank", count: str | No
         df.groupBy(F.col(measure).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_upper", F.shiftright(value.cast("bigint"), _LOW_BITS))
+        .filter(upper.isNotNull())  # stated here, so both uses below share one exchange
     )
     above = Window.orderBy(upper.desc()).rowsBetween(Window.unboundedPreceding, -1)
     per_upper = (

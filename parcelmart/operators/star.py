@@ -77,7 +77,8 @@ def star_sum(
 
     Dimensions known to be small are broadcast. Where one is not, the facts are first summed per remaining foreign
     key: the shuffle to the big dimension then carries one row per key combination and task instead of every fact, and
-    a user, product or rider holding a large part of the facts is no longer heavier than its distinct combinations.
+    a user, product or rider holding a large part of the facts is no longer heavier than its distinct combinations. A
+    join partition that is still too heavy is split by adaptive execution: nothing after the join needs its layout.
     """
     near = [d for d in dims if wh.is_small(d.table)]
     far = [d for d in dims if not wh.is_small(d.table)]
@@ -103,7 +104,7 @@ def rollup_labelled(
     """
     marked = df.withColumn("_real", F.lit(1))
     # The grand total exists even when there is nothing to total; one row of NULLs makes sure of it.
-    nothing = df.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in marked.schema])
+    nothing = df.sparkSession.range(0, 1, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in marked.schema])
     level = F.grouping_id().cast("int").alias(gid)
     rolled = marked.unionByName(nothing).rollup(*keys).agg(level, F.count("_real").alias("_n"), *aggs)
     rolled = rolled.filter((F.col("_n") > 0) | (F.col(gid) == 2 ** len(keys) - 1)).drop("_n")

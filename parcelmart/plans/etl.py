@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,28 +82,35 @@ def run_etl(spark: SparkSession, source: Source, path: str, now: datetime | None
     old = {p.table: p for p in parts if p.month is None}
     orders = read_source("orders", source)
 
-    committed = [
-        _load_dimension(spark, path, name, build(), old.get(name), version, since)
+    # The tables do not depend on each other, so their jobs share the cluster instead of queueing.
+    loads = [
+        partial(_load_dimension, spark, path, name, build(), old.get(name), version, since)
         for name, build in dimensions(source).items()
     ]
-    committed.append(_load_dates(spark, path, orders, old.get("dim_date"), version))
+    loads.append(partial(_load_dates, spark, path, orders, old.get("dim_date"), version))
     months = [p for p in parts if p.table == "fact_orders"]
-    facts, last_fact_id = _load_facts(spark, path, source, months, version, since, last_fact_id)
-    load.record_run(spark, path, run_date, last_fact_id, [p for p in committed if p] + facts, RUNS_SCHEMA)
+    with ThreadPoolExecutor(len(loads) + 1) as pool:
+        facts = pool.submit(
+            inheritable_thread_target(spark)(_load_facts), spark, path, source, months, version, since, last_fact_id
+        )
+        others = [pool.submit(inheritable_thread_target(spark)(run)) for run in loads]
+        committed = [p for p in (done.result() for done in others) if p]
+        new_months, last_fact_id = facts.result()
+    load.record_run(spark, path, run_date, last_fact_id, committed + new_months, RUNS_SCHEMA)
     return warehouse(spark, path)
 
 
 def _load_dimension(
     spark: SparkSession, path: str, name: str, rows: DataFrame, old: Part | None, version: int, since: datetime
 ) -> Part | None:
-    mode = load.change_counts(rows, since).first()["mode"]
+    fresh = load.changed_since(rows, since)
+    mode = "full" if old is None else load.change_counts(rows, since).first()["mode"]
     if mode == "none":
         return old
-    fresh = load.changed_since(rows, since)
-    if mode == "incremental" and old is not None:
-        result = load.upsert(read_parts(spark, path, name, [old]), fresh, KEYS[name])
-    else:
+    if mode == "full":
         result = load.drop_control(fresh)
+    else:
+        result = load.upsert(read_parts(spark, path, name, [old]), fresh, KEYS[name])
     return Part(name, None, version, load.write_table(result, f"{path}/{name}/v={version}"))
 
 

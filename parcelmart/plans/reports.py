@@ -129,7 +129,7 @@ def country_options(q8: DataFrame, always: str | None = None) -> DataFrame:
     """Sorted country names of a revenue rollup, plus one that is always offered."""
     names = _level(q8, BY_COUNTRY).select("country").dropna()
     if always is not None:
-        names = names.union(names.sparkSession.range(1).select(F.lit(always)))
+        names = names.union(names.sparkSession.range(0, 1, 1, 1).select(F.lit(always)))
     return names.distinct().orderBy("country")
 
 
@@ -191,7 +191,7 @@ def drill_options(
         lists.append(cities.select(F.lit("city").alias("kind"), F.col("city").alias("value")))
     scope = opt_filter(leaves, country=country, city=city if country is not None else None)
     lists.append(scope.select(F.lit("category").alias("kind"), F.col("category").alias("value")))
-    one = rows.sparkSession.range(1)
+    one = rows.sparkSession.range(0, 1, 1, 1)
     chosen = [("country", country), ("city", city if country is not None else None)]
     lists += [one.select(F.lit(kind).alias("kind"), F.lit(v).alias("value")) for kind, v in chosen if v is not None]
     options = lists[0]

@@ -67,7 +67,7 @@ SOURCE_SQL = {
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-def testdata_source(spark: SparkSession, sf_dir: str) -> Source:
+def mapped_source(spark: SparkSession, sf_dir: str) -> Source:
     """Source over the Parquet files of one scale-factor folder."""
     files = {name: f"parquet.`{sf_dir}/{name}.parquet`" for name in BASE_TABLES}
 
