@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from checks.registry import CATEGORIES
 from parcelmart.sources.testdata import BASE_TABLES, SOURCE_SQL
 
 WM = "TIMESTAMP '1998-01-01'"
@@ -365,10 +366,6 @@ ANALYTICS = {
     "q9_no_data": q(q9(2030)),
 }
 
-CATEGORIES = (
-    "anvil", "bolt", "economy", "gear", "gizmo", "large", "medium", "plate", "plates", "promo", "ring", "rod", "small",
-    "standard", "widget",
-)
 _ASIA = ("drill", revenue(1998, having=having(country="ASIA")))
 _ASIA_FILTERED = ("drill", revenue(1998, "country = 'ASIA'"))
 _IN_CITY = ("drill", revenue(1998, having=having(**_CITY_1998)))

@@ -218,6 +218,11 @@ LOADS: dict[str, Callable[[Context], DataFrame]] = {
 
 YEAR_1998 = ("1998-01-01", "1998-12-31")
 ALL_YEARS = ("1995-01-01", "2001-12-31")
+# The normalised categories of the test tables, as the columns of the matrix.
+CATEGORIES = (
+    "anvil", "bolt", "economy", "gear", "gizmo", "large", "medium", "plate", "plates", "promo", "ring", "rod", "small",
+    "standard", "widget",
+)
 PLACE = {"country": "ASIA", "city": "NATION_2"}
 
 ANALYTICS: dict[str, Callable[[Context], DataFrame]] = {
@@ -292,7 +297,7 @@ REPORTS: dict[str, Callable[[Context], DataFrame]] = {
     "r18_cities": _city_view,
     "r18_cities_average": lambda c: _city_view(c, "aov", "ring"),
     "r19_categories": lambda c: reports.category_view(DRILL(c, **PLACE), **PLACE),
-    "r20_matrix": lambda c: reports.city_category_matrix(_city_view(c)),
+    "r20_matrix": lambda c: reports.city_category_matrix(_city_view(c), categories=CATEGORIES),
     "r21_country_extremes": lambda c: reports.high_low(reports.country_view(c.wh, 1998), "country"),
     "r21_city_extremes": lambda c: reports.high_low(reports.city_totals(DRILL(c, country="ASIA"), "ASIA"), "city"),
     "r21_category_extremes": lambda c: reports.high_low(

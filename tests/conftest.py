@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import SparkSession
 
-from parcelmart.session import SESSION_CONF
+from parcelmart.session import RESULT_CONF
 from parcelmart.sources.testdata import BASE_TABLES
 
 SMALL = "/root/testdata/sf0.001"
@@ -17,9 +17,14 @@ def spark(tmp_path_factory) -> SparkSession:
         "spark.sql.shuffle.partitions": "2",
         "spark.ui.enabled": "false",
         "spark.log.level": "ERROR",
+        # On these tiny inputs compiling code and re-planning between stages take longer than the work itself; the
+        # bench and the driver's checks run with both.
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.codegen.factoryMode": "NO_CODEGEN",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
     }
-    for key, value in {**SESSION_CONF, **local}.items():
+    for key, value in {**RESULT_CONF, **local}.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     yield session
