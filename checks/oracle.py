@@ -232,9 +232,9 @@ _JOIN_PRODUCT = "JOIN dim_product p ON f.product_id = p.product_id"
 _JOIN_RIDER = "JOIN dim_rider r ON f.rider_id = r.rider_id"
 
 
-def q1(start: int, end: int, period: str, where: str = "TRUE", fact: str = "fact") -> str:
+def q1(start: int, end: int, period: str, where: str = "TRUE") -> str:
     return f"""SELECT {period} AS period, CAST(sum(total_price) AS DOUBLE) AS revenue,
-    CAST(sum(quantity) AS BIGINT) AS units_sold FROM {fact} f {_JOIN_PRODUCT} {_JOIN_DATE}
+    CAST(sum(quantity) AS BIGINT) AS units_sold FROM fact f {_JOIN_PRODUCT} {_JOIN_DATE}
     WHERE d.date_id BETWEEN {start} AND {end} AND {where} GROUP BY {period} ORDER BY period"""
 
 
@@ -329,8 +329,6 @@ _CITY_1998 = {"country": "ASIA", "city": "NATION_2"}
 _CITY_WHERE = "country = 'ASIA' AND city = 'NATION_2'"
 _LISTED_Q2 = "SELECT country, city, total_customers"
 _LISTED_Q6 = "SELECT year, month, vehicle_type, total_deliveries"
-SCANS["s8_warehouse_q1"] = q(q1(19980101, 19981231, _MONTH, fact="loaded"), *_LOADED)
-
 ANALYTICS = {
     "q1": q(q1(19980101, 19981231, _MONTH)),
     "q1_day_category": q(q1(19980101, 19981231, _DAY, "p.category = 'ring'")),
@@ -366,6 +364,25 @@ ANALYTICS = {
     "q9_no_data": q(q9(2030)),
 }
 
+
+
+def stored(body: str) -> str:
+    """The same query on the warehouse stored by two loads."""
+    return q(body.replace("FROM fact f", "FROM loaded f"), *_LOADED)
+
+
+SCANS |= {
+    "s8_warehouse_q1": stored(q1(19980101, 19981231, _MONTH)),
+    "s8_warehouse_q2": ANALYTICS["q2"],
+    "s8_warehouse_q3": stored(q3(5, "u.country = 'ASIA'")),
+    "s8_warehouse_q4": stored(q4()),
+    "s8_warehouse_q5": stored(q5()),
+    "s8_warehouse_q6": stored(f"{_LISTED_Q6} FROM ({q6('d.month = 10')})"),
+    "s8_warehouse_q7": stored(q7(1998, 1, 25)),
+    "s8_warehouse_q8": stored(q8(1998, having(**_CITY_1998))),
+    "s8_warehouse_q9": stored(q9(1998)),
+}
+
 _ASIA = ("drill", revenue(1998, having=having(country="ASIA")))
 _ASIA_FILTERED = ("drill", revenue(1998, "country = 'ASIA'"))
 _IN_CITY = ("drill", revenue(1998, having=having(**_CITY_1998)))

@@ -90,6 +90,14 @@ SCANS: dict[str, Callable[[Context], DataFrame]] = {
     "s7_last_run": lambda c: store.last_run(store.runs(c.spark, c.path)),
     "s8_warehouse_fact": lambda c: c.loaded["fact_orders"].select(*fact.FACT_COLUMNS),
     "s8_warehouse_q1": lambda c: queries.revenue_by_period(c.loaded, "1998-01-01", "1998-12-31"),
+    "s8_warehouse_q2": lambda c: queries.customer_distribution(c.loaded),
+    "s8_warehouse_q3": lambda c: queries.top_products(c.loaded, 5, "ASIA"),
+    "s8_warehouse_q4": lambda c: queries.sales_moving_average(c.loaded),
+    "s8_warehouse_q5": lambda c: queries.rider_ranking(c.loaded),
+    "s8_warehouse_q6": lambda c: queries.vehicle_deliveries(c.loaded, None, 10),
+    "s8_warehouse_q7": lambda c: queries.top_percentile_riders(c.loaded, 1998, 1, "ASIA", 25),
+    "s8_warehouse_q8": lambda c: queries.revenue_rollup(c.loaded, 1998, "ASIA", "NATION_2"),
+    "s8_warehouse_q9": lambda c: queries.revenue_rollup_filtered(c.loaded, 1998),
     "s9_date_keys": lambda c: c.loaded["dim_date"].select("date_id"),
 }
 
