@@ -495,4 +495,129 @@ REPORTS = {
     "r22_country_table": q(f"SELECT country, category, {_TEXT} FROM ({countries()})"),
 }
 
-ALL = {**SCANS, **TRANSFORMS, **LOADS, **ANALYTICS, **REPORTS}
+_SALES = "CAST(sum(total_price) AS DOUBLE) AS sales"
+_CITY_SALES = ("s", f"SELECT u.country, u.city, sum(total_price) AS sales FROM fact f {_JOIN_USER} GROUP BY u.country, u.city")
+_MONTH_SALES = ("s", f"SELECT d.year, d.month, sum(total_price) AS sales FROM fact f {_JOIN_DATE} GROUP BY d.year, d.month")
+_QUARTERS = (
+    "s",
+    f"""SELECT *, lag(sales) OVER (PARTITION BY rider_id ORDER BY year, quarter) AS prev FROM (
+    SELECT f.rider_id, d.year, d.quarter, sum(total_price) AS sales FROM fact f {_JOIN_DATE} GROUP BY ALL)""",
+)
+_USERS_1998 = f'(SELECT "userId" FROM {RAW["orders"]} WHERE "updatedAt" >= {WM})'
+_NUMBER = """try_cast(substr("deliveryDate", 1, 4) AS DOUBLE)"""
+
+BLOCKS = {
+    "p1_optional_filter": q("SELECT user_id, country FROM dim_user WHERE country = 'ASIA'"),
+    "p2_date_range": q("SELECT order_id, delivery_date_id FROM fact WHERE delivery_date_id BETWEEN 19980101 AND 19980331"),
+    "p3_two_quarters": q(
+        "SELECT date_id, year, quarter FROM dim_date WHERE (year = 1998 AND quarter = 1) OR (year = 1997 AND quarter = 4)"
+    ),
+    "p4_equality": q(f"SELECT order_id, delivery_date_id FROM fact f {_JOIN_DATE} WHERE d.year = 1998 AND d.month = 10"),
+    "p5_having": q(
+        f"SELECT country, city, {_SALES} FROM fact f {_JOIN_USER} GROUP BY country, city HAVING country = 'ASIA'"
+    ),
+    "p6_window_filter": q(
+        """SELECT rider_id, deliveries, rank FROM (SELECT *, rank() OVER (ORDER BY deliveries DESC) AS rank
+        FROM (SELECT rider_id, count(*) AS deliveries FROM fact GROUP BY rider_id)) WHERE rank <= 10"""
+    ),
+    "p7_relabel": q(
+        f"""SELECT CASE WHEN grouping(u.country) = 1 THEN 'Grand Total' ELSE u.country END AS country,
+        CASE WHEN grouping(u.city) = 1 THEN 'All Cities' ELSE u.city END AS city, {_SALES},
+        CAST(grouping(u.country, u.city) AS INT) AS gid FROM fact f {_JOIN_USER} GROUP BY ROLLUP (u.country, u.city)"""
+    ),
+    "j1_fact_product": q(f"SELECT order_id, f.product_id, p.name, p.category FROM fact f {_JOIN_PRODUCT}"),
+    "j2_fact_date": q(f"SELECT order_id, delivery_date_id, d.year, d.month, d.day FROM fact f {_JOIN_DATE}"),
+    "j3_fact_user": q(f"SELECT order_id, f.user_id, u.country, u.city FROM fact f {_JOIN_USER}"),
+    "j4_fact_rider": q(f"SELECT order_id, f.rider_id, r.vehicle_type, r.courier_name FROM fact f {_JOIN_RIDER}"),
+    "j5_left_join": q(f"SELECT order_id, f.rider_id, r.courier_name FROM fact f LEFT {_JOIN_RIDER}"),
+    "j6_anti_join": q(f"SELECT user_id FROM dim_user WHERE user_id NOT IN {_USERS_1998}"),
+    "j7_semi_join": q(f"SELECT user_id FROM dim_user WHERE user_id IN {_USERS_1998}"),
+    "g1_sum": q(f"SELECT product_id, {_SALES}, CAST(sum(quantity) AS BIGINT) AS units FROM fact GROUP BY product_id"),
+    "g2_count": q(f"SELECT r.vehicle_type, count(*) AS deliveries FROM fact f {_JOIN_RIDER} GROUP BY r.vehicle_type"),
+    "g3_count_distinct": q(
+        f"SELECT u.country, count(DISTINCT f.rider_id) AS riders FROM fact f {_JOIN_USER} GROUP BY u.country"
+    ),
+    "g4_average": q(
+        f"SELECT u.city, {half_up(cents('sum(total_price)'), 'count(*)')} AS average FROM fact f {_JOIN_USER} GROUP BY u.city"
+    ),
+    "g5_group_by": q(
+        f"SELECT u.country, p.category, {_SALES} FROM fact f {_JOIN_USER} {_JOIN_PRODUCT} GROUP BY u.country, p.category"
+    ),
+    "g6_rollup_two": q(
+        f"""SELECT u.country, u.city, {_SALES}, CAST(grouping(u.country, u.city) AS INT) AS gid
+        FROM fact f {_JOIN_USER} GROUP BY ROLLUP (u.country, u.city)"""
+    ),
+    "g6_rollup_three": q(
+        f"""SELECT u.country, u.city, p.category, {_SALES}, CAST(grouping(u.country, u.city, p.category) AS INT) AS gid
+        FROM fact f {_JOIN_USER} {_JOIN_PRODUCT} GROUP BY ROLLUP (u.country, u.city, p.category)"""
+    ),
+    "g7_period_group": q(f"SELECT {_MONTH} AS period, {_SALES} FROM fact f {_JOIN_DATE} GROUP BY 1"),
+    "g8_extremes": q(
+        """SELECT (SELECT city FROM s ORDER BY sales DESC, city LIMIT 1) AS highest,
+        CAST((SELECT max(sales) FROM s) AS DOUBLE) AS highest_value,
+        (SELECT city FROM s ORDER BY sales, city LIMIT 1) AS lowest,
+        CAST((SELECT min(sales) FROM s) AS DOUBLE) AS lowest_value""",
+        _CITY_SALES,
+    ),
+    "g9_share": q(
+        f"""SELECT courier_name, n AS deliveries, {half_up('CAST(n AS HUGEINT) * 10000', 't')} AS percent,
+        CAST(t AS BIGINT) AS grand_total FROM (SELECT r.courier_name, count(*) AS n, sum(count(*)) OVER () AS t
+        FROM fact f {_JOIN_RIDER} GROUP BY r.courier_name)"""
+    ),
+    "g10_distinct": q("SELECT DISTINCT category FROM dim_product"),
+    "w1_moving_average": q(
+        """SELECT year, month, CAST(sum(sales) OVER (ORDER BY year, month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
+        AS DOUBLE) AS last_three FROM s""",
+        _MONTH_SALES,
+    ),
+    "w2_rank": q("SELECT product_id, rank() OVER (ORDER BY current_price DESC) AS rank FROM dim_product"),
+    "w3_lag": q(
+        "SELECT rider_id, year, quarter, CAST(sales AS DOUBLE) AS sales, CAST(prev AS DOUBLE) AS prev_sales FROM s", _QUARTERS
+    ),
+    "w4_growth": q(
+        f"""SELECT rider_id, year, quarter, {half_up(f'(({cents("sales")} - {cents("prev")}) * 10000)',
+        f'NULLIF({cents("prev")}, 0)')} AS growth FROM s""",
+        _QUARTERS,
+    ),
+    "w5_percent_rank": q(
+        f"""SELECT product_id, {half_up('CAST(pos - 1 AS HUGEINT) * 10000', 'greatest(n - 1, 1)')} AS percentile
+        FROM (SELECT product_id, rank() OVER (ORDER BY current_price DESC) AS pos, count(*) OVER () AS n FROM dim_product)"""
+    ),
+    "w6_row_number": q(
+        "SELECT country, city, row_number() OVER (PARTITION BY country ORDER BY sales DESC, city) AS pos FROM s", _CITY_SALES
+    ),
+    "o1_sort": q("SELECT user_id, gender FROM dim_user ORDER BY gender NULLS LAST, user_id"),
+    "o2_top_n": q(f"SELECT product_id, {_SALES} FROM fact GROUP BY 1 ORDER BY sum(total_price) DESC, product_id LIMIT 25"),
+    "o3_latest": f"SELECT {ts('max(o_orderdate)')} AS latest FROM orders",
+    "o4_head": q(f"SELECT user_id, {_SALES} FROM fact GROUP BY 1 ORDER BY sum(total_price) DESC, user_id LIMIT 20"),
+    "f1_period_text": q(
+        f"SELECT d.date_id, {_YEAR} AS per_year, {_MONTH} AS per_month, {_DAY} AS per_day FROM dim_date d"
+    ),
+    "f2_case": q("SELECT date_id, CASE WHEN is_weekend THEN 'weekend' ELSE 'week' END AS kind FROM dim_date"),
+    "f3_null_handling": q("SELECT user_id, coalesce(gender, '?') AS known, NULLIF(gender, 'M') AS not_m FROM dim_user"),
+    "f4_round": q(f"SELECT product_id, {half_up(cents('current_price'), '3')} AS third FROM dim_product"),
+    "f5_quarter_label": q("SELECT date_id, concat(year, '-Q', quarter) AS label FROM dim_date"),
+    "f6_cast": "SELECT o_orderkey AS id, o_orderkey AS number FROM orders",
+    "f7_text": source(
+        "products",
+        "id, upper(trim(category)) AS upper, regexp_matches(name, '^s.*g$') AS matches, name LIKE '%ring' AS ring, "
+        "left(name, 3) AS start",
+    ),
+    "f8_date_parts": q("SELECT date_id, year, quarter, month, day FROM dim_date"),
+    "f9_date_text_to_id": q("SELECT date_id FROM dim_date WHERE date_id >= 20000101"),
+    "f10_prev_quarter": q("SELECT date_id FROM dim_date WHERE year = 1998 AND quarter = 4"),
+    "f11_period_label": q(
+        """SELECT printf('%d-%02d', year, month) AS period, CAST(sales AS DOUBLE) AS sales FROM s UNION ALL
+        SELECT CAST(year AS VARCHAR), CAST(sum(sales) AS DOUBLE) FROM s GROUP BY year""",
+        _MONTH_SALES,
+    ),
+    "f12_month_start": q(
+        "SELECT CAST(make_date(year, month, 1) AS VARCHAR) AS start, CAST(sales AS DOUBLE) AS sales FROM s", _MONTH_SALES
+    ),
+    "f13_to_number": source("orders", f"id, {_NUMBER} AS number, coalesce({_NUMBER}, 0) AS number_or_0"),
+    "f14_money_text": q(
+        "SELECT product_id, format('{:,.2f}', CAST(sum(total_price) AS DOUBLE)) AS amount FROM fact GROUP BY product_id"
+    ),
+}
+
+ALL = {**SCANS, **TRANSFORMS, **LOADS, **ANALYTICS, **REPORTS, **BLOCKS}

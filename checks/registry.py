@@ -6,12 +6,24 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import cached_property, lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelmart.functions import calendar as cal
-from parcelmart.functions import clean
+from parcelmart.functions import clean, numeric
 from parcelmart.operators import dims, fact, load
+from parcelmart.operators.ranking import global_rank, percent_rank_pct, previous_value, trailing_rows
+from parcelmart.operators.star import (
+    Dim,
+    date_id_between,
+    delivered_in,
+    extremes,
+    opt_filter,
+    rollup_labelled,
+    share_of_total,
+    star_sum,
+    top_k,
+)
 from parcelmart.plans import etl, queries, reports
 from parcelmart.session import fresh_dir, prepare
 from parcelmart.sources import warehouse as store
@@ -315,7 +327,155 @@ REPORTS: dict[str, Callable[[Context], DataFrame]] = {
     "r22_country_table": lambda c: reports.drill_table(reports.country_view(c.wh, 1998), "country"),
 }
 
-ALL = {**SCANS, **TRANSFORMS, **LOADS, **ANALYTICS, **REPORTS}
+
+
+def _keyed(c: Context) -> DataFrame:
+    """Facts with the columns the single joins are shown on."""
+    return c.wh["fact_orders"].select("order_id", *fact.REQUIRED_KEYS[1:], "rider_id", "delivery_date_id", "total_price")
+
+
+def _joined(table: str, *attrs: str) -> Callable[[Context], DataFrame]:
+    dim = Dim(table, attrs)
+    return lambda c: _keyed(c).join(dim.frame(c.wh), dim.fact_key).select("order_id", dim.fact_key, *attrs)
+
+
+def _sums(c: Context, dims_: list[Dim], keys: list[str], **sums: Column) -> DataFrame:
+    return star_sum(c.wh, c.wh["fact_orders"], dims_, keys, sums or {"sales": F.col("total_price")})
+
+
+def _two_quarters(c: Context) -> DataFrame:
+    """Days of a quarter and of the one before it, across the turn of a year."""
+    last_year, last_quarter = cal.prev_quarter(1998, 1)
+    asked = (F.col("year") == 1998) & (F.col("quarter") == 1)
+    before = (F.col("year") == last_year) & (F.col("quarter") == last_quarter)
+    return c.wh["dim_date"].filter(asked | before).select("date_id", "year", "quarter")
+
+
+def _city_sales(c: Context) -> DataFrame:
+    return _sums(c, [Dim("dim_user", ["country", "city"])], ["country", "city"])
+
+
+def _quarterly(c: Context) -> DataFrame:
+    """Sales per rider and quarter with those of the rider's quarter before; a rider has few quarters."""
+    rows = _sums(c, [Dim("dim_date", ["year", "quarter"])], ["rider_id", "year", "quarter"])
+    return rows.withColumn("prev_sales", previous_value("sales", ["rider_id"], ["year", "quarter"]))
+
+
+def _months(c: Context) -> DataFrame:
+    return _sums(c, [Dim("dim_date", ["year", "month"])], ["year", "month"])
+
+
+def _by_price(c: Context) -> DataFrame:
+    return c.wh["dim_product"].withColumn("cents", numeric.cents(F.col("current_price")))
+
+
+def _one() -> Column:
+    return F.lit(1).cast("bigint")
+
+
+def _late_customers(c: Context) -> DataFrame:
+    late = c.table("orders").filter(F.col("updatedAt") >= F.lit(WATERMARK))
+    return late.select(F.col("userId").alias("user_id"))
+
+
+_PLACES = Dim("dim_user", ["country", "city"])
+
+BLOCKS: dict[str, Callable[[Context], DataFrame]] = {
+    "p1_optional_filter": lambda c: opt_filter(c.wh["dim_user"], country="ASIA", city=None).select("user_id", "country"),
+    "p2_date_range": lambda c: date_id_between(_keyed(c), 19980101, 19980331).select("order_id", "delivery_date_id"),
+    "p3_two_quarters": _two_quarters,
+    "p4_equality": lambda c: delivered_in(_keyed(c), 1998, 10).select("order_id", "delivery_date_id"),
+    "p5_having": lambda c: _city_sales(c).filter(F.col("country") == "ASIA"),
+    "p6_window_filter": lambda c: global_rank(
+        _sums(c, [], ["rider_id"], deliveries=_one()), "deliveries"
+    ).filter(F.col("rank") <= 10),
+    "p7_relabel": lambda c: rollup_labelled(
+        _city_sales(c), ["country", "city"], queries.TOTAL_LABELS, [F.sum("sales").cast("double").alias("sales")]
+    ),
+    "j1_fact_product": _joined("dim_product", "name", "category"),
+    "j2_fact_date": _joined("dim_date", "year", "month", "day"),
+    "j3_fact_user": _joined("dim_user", "country", "city"),
+    "j4_fact_rider": _joined("dim_rider", "vehicle_type", "courier_name"),
+    "j5_left_join": lambda c: _keyed(c).join(Dim("dim_rider", ["courier_name"]).frame(c.wh), "rider_id", "left").select(
+        "order_id", "rider_id", "courier_name"
+    ),
+    "j6_anti_join": lambda c: c.wh["dim_user"].join(_late_customers(c), "user_id", "left_anti").select("user_id"),
+    "j7_semi_join": lambda c: c.wh["dim_user"].join(_late_customers(c), "user_id", "left_semi").select("user_id"),
+    "g1_sum": lambda c: _sums(c, [], ["product_id"], sales=F.col("total_price"), units=F.col("quantity").cast("bigint")),
+    "g2_count": lambda c: _sums(c, [Dim("dim_rider", ["vehicle_type"])], ["vehicle_type"], deliveries=_one()),
+    "g3_count_distinct": lambda c: _sums(c, [_PLACES], ["country", "rider_id"])
+    .groupBy("country").agg(F.count("rider_id").alias("riders")),
+    "g4_average": lambda c: _sums(c, [_PLACES], ["city"], sales=F.col("total_price"), n=_one()).select(
+        "city", numeric.rounded_mean(F.col("sales"), F.col("n")).alias("average")
+    ),
+    "g5_group_by": lambda c: _sums(c, [_PLACES, Dim("dim_product", ["category"])], ["country", "category"]),
+    "g6_rollup_two": lambda c: rollup_labelled(_city_sales(c), ["country", "city"], {}, [F.sum("sales").alias("sales")]),
+    "g6_rollup_three": lambda c: rollup_labelled(
+        _sums(c, [_PLACES, Dim("dim_product", ["category"])], list(queries.PLACE_KEYS)), queries.PLACE_KEYS, {},
+        [F.sum("sales").alias("sales")],
+    ),
+    "g7_period_group": lambda c: _sums(
+        c, [Dim("dim_date", [cal.period_of_date_id(F.col("date_id"), "month").alias("period")])], ["period"]
+    ),
+    "g8_extremes": lambda c: extremes(_city_sales(c), "sales", "city"),
+    "g9_share": lambda c: share_of_total(
+        _sums(c, [Dim("dim_rider", ["courier_name"])], ["courier_name"], deliveries=_one()), "courier_name", "deliveries"
+    ),
+    "g10_distinct": lambda c: c.wh["dim_product"].select("category").distinct(),
+    "w1_moving_average": lambda c: _months(c).select(
+        "year", "month", F.sum("sales").over(trailing_rows([], ["year", "month"], 3)).alias("last_three")
+    ),
+    "w2_rank": lambda c: global_rank(_by_price(c), "cents", "rank").select("product_id", "rank"),
+    "w3_lag": _quarterly,
+    "w4_growth": lambda c: _quarterly(c).select(
+        "rider_id", "year", "quarter", numeric.growth_pct(F.col("sales"), F.col("prev_sales")).alias("growth")
+    ),
+    "w5_percent_rank": lambda c: percent_rank_pct(_by_price(c), "cents", "percentile").select("product_id", "percentile"),
+    "w6_row_number": lambda c: _city_sales(c).select(
+        "country", "city",
+        F.row_number().over(Window.partitionBy("country").orderBy(F.col("sales").desc(), "city")).cast("bigint").alias("pos"),
+    ),
+    "o1_sort": lambda c: c.wh["dim_user"].select("user_id", "gender").orderBy(F.col("gender").asc_nulls_last(), "user_id"),
+    "o2_top_n": lambda c: top_k(_sums(c, [], ["product_id"]), [F.col("sales").desc(), F.col("product_id")], 25),
+    "o3_latest": lambda c: c.table("orders").agg(F.max("updatedAt").alias("latest")),
+    "o4_head": lambda c: top_k(_sums(c, [], ["user_id"]), [F.col("sales").desc(), F.col("user_id")], 20).orderBy("sales"),
+    "f1_period_text": lambda c: c.wh["dim_date"].select(
+        "date_id", *[cal.period_of_date_id(F.col("date_id"), g).alias(f"per_{g}") for g in cal.PERIOD_FORMATS]
+    ),
+    "f2_case": lambda c: c.wh["dim_date"].select(
+        "date_id", F.when(F.col("is_weekend"), "weekend").otherwise("week").alias("kind")
+    ),
+    "f3_null_handling": lambda c: c.wh["dim_user"].select(
+        "user_id", F.coalesce("gender", F.lit("?")).alias("known"), F.nullif("gender", F.lit("M")).alias("not_m")
+    ),
+    "f4_round": lambda c: c.wh["dim_product"].select(
+        "product_id", F.round(F.col("current_price") / 3, 2).cast("decimal(18,2)").alias("third")
+    ),
+    "f5_quarter_label": lambda c: c.wh["dim_date"].select(
+        "date_id", cal.quarter_label(F.col("year"), F.col("quarter")).alias("label")
+    ),
+    "f6_cast": lambda c: c.table("orders").select("id", F.substring("orderNumber", 2, 20).cast("bigint").alias("number")),
+    "f7_text": lambda c: c.table("products").select(
+        "id", F.upper(F.trim("category")).alias("upper"), F.col("name").rlike("^s.*g$").alias("matches"),
+        F.col("name").endswith("ring").alias("ring"), F.substring("name", 1, 3).alias("start"),
+    ),
+    "f8_date_parts": lambda c: c.wh["dim_date"].select("date_id", "year", "quarter", "month", "day"),
+    "f9_date_text_to_id": lambda c: c.wh["dim_date"].filter(F.col("date_id") >= cal.date_text_to_id("2000-01-01")).select("date_id"),
+    "f10_prev_quarter": lambda c: c.wh["dim_date"].filter(
+        (F.col("year") == cal.prev_quarter(1999, 1)[0]) & (F.col("quarter") == cal.prev_quarter(1999, 1)[1])
+    ).select("date_id"),
+    "f11_period_label": lambda c: rollup_labelled(_months(c), ["year", "month"], {}, [F.sum("sales").alias("sales")])
+    .filter(F.col("year").isNotNull())
+    .select(cal.period_label(F.col("year"), F.col("month")).alias("period"), "sales"),
+    "f12_month_start": lambda c: _months(c).select(cal.month_start(F.col("year"), F.col("month")).alias("start"), "sales"),
+    "f13_to_number": lambda c: c.table("orders").select(
+        "id", numeric.to_number(F.substring("deliveryDate", 1, 4)).alias("number"),
+        numeric.to_number(F.substring("deliveryDate", 1, 4), 0.0).alias("number_or_0"),
+    ),
+    "f14_money_text": lambda c: _sums(c, [], ["product_id"]).select("product_id", numeric.money_text(F.col("sales")).alias("amount")),
+}
+
+ALL = {**SCANS, **TRANSFORMS, **LOADS, **ANALYTICS, **REPORTS, **BLOCKS}
 
 
 def _runner(build: Callable[[Context], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
