@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 NULL_TOKENS = ("nan", "NaT", "None", "")
 FEMALE_TOKENS = ("f", "female")
 MALE_TOKENS = ("m", "male")
-ISO_PATTERN = r"^\d{4}-\d{1,2}"
-SLASH_FORMATS = ("M/d/yyyy", "yyyy/MM/dd")
-TEXT_FORMATS = ("MMM d, yyyy",)
+MONTH_DAY_YEAR = (r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
+YEAR_MONTH_DAY = (r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
+WRITTEN_FORMAT = "MMM d, yyyy"
 
 
 def clean_text(col: Column, null_tokens: Sequence[str] = NULL_TOKENS) -> Column:
@@ -53,18 +53,18 @@ def to_utc_ts(col: Column) -> Column:
 def parse_mixed_date(col: Column) -> Column:
     """Date from text in mixed formats; unreadable text becomes NULL.
 
-    The shape of the text picks the format, so no format is tried in vain: year-month-day with or without a time (a zone
-    is converted to UTC), month/day/year or year/month/day, else a written month. The text is named as seldom as
-    possible, since a filter on the date repeats the whole expression in the scan.
+    Slashed dates (month/day/year, year/month/day) are turned into year-month-day, which a cast reads with or without a
+    time of day (a zone is converted to UTC); anything else is tried as a written month. Which way to go is told by
+    single characters: a filter on the date repeats the whole expression in the scan, so every part has to be cheap.
     """
     text = F.trim(col.cast("string"))
-    by_slash = F.coalesce(*[F.try_to_date(text, fmt) for fmt in SLASH_FORMATS])
-    written = F.coalesce(*[F.try_to_date(text, fmt) for fmt in TEXT_FORMATS])
-    return (
-        F.when(text.rlike(ISO_PATTERN), text.try_cast("timestamp").cast("date"))
-        .when(text.contains("/"), by_slash)
-        .otherwise(written)
+    dashed = F.regexp_replace(F.regexp_replace(text, *MONTH_DAY_YEAR), *YEAR_MONTH_DAY)
+    moment = (
+        F.when(text.contains("/"), dashed.try_cast("timestamp"))
+        .when(F.substring(text, 5, 1) == "-", text.try_cast("timestamp"))
+        .otherwise(F.try_to_timestamp(text, F.lit(WRITTEN_FORMAT)))
     )
+    return moment.cast("date")
 
 
 def latest_of(*cols: Column) -> Column:

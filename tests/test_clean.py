@@ -46,6 +46,8 @@ def test_clean_text(spark):
         ("2024-01-05T23:30:00-05:00", date(2024, 1, 6)),
         ("2024/01/05", date(2024, 1, 5)),
         ("Jan 5, 2024", date(2024, 1, 5)),
+        ("1/5/2024 10:30:00", date(2024, 1, 5)),
+        ("2024-1-5", date(2024, 1, 5)),
         ("13/45/2024", None),
         ("2024-02-30", None),
         ("12:30:00", None),
