@@ -11,7 +11,7 @@ from parcelmart.plans import etl, queries, reports
 from parcelmart.sources.testdata import mapped_source
 from parcelmart.sources.warehouse import Warehouse
 from tests.conftest import SMALL
-from tests.fixture import BASE, at, item, make_source, order, user
+from tests.fixture import at, item, make_source, order, user
 from tests.helpers import frame_rows, values
 
 CASES = {

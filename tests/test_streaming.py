@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from parcelmart.sources import warehouse as store
 from parcelmart.streaming.follow import load_on_change
-from tests.fixture import BASE, SCHEMAS, at, item, make_source
+from tests.fixture import BASE, SCHEMAS, item, make_source
 from tests.helpers import values
 
 
