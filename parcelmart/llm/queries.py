@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelmart.llm.common import with_code
+from parcelmart.llm.exact_dedup import OP6_SQL, op6_trie_owners
 from parcelmart.llm.packing import op8_concat_and_cut
 from parcelmart.llm.sharding import op9_virtual_slots
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     queries = {
+        "op6_trie_owners": op6_trie_owners,
         "op8_concat_and_cut": op8_concat_and_cut,
         "op9_virtual_slots": op9_virtual_slots,
     }
@@ -20,4 +22,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def check_sql() -> dict[str, str]:
-    return {}
+    return {"op6_trie_owners": OP6_SQL}
