@@ -88,9 +88,10 @@ def save_map(spark: SparkSession, path: str, version: int, slot_map: Mapping[int
 def load_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """One version of a stored map, the newest by default."""
     rows = spark.read.schema(MAP_SCHEMA).parquet(path)
-    wanted = F.lit(version) if version is not None else F.col("_newest")
-    newest = rows.agg(F.max("version").alias("_newest"))
-    return rows.join(F.broadcast(newest), F.col("version") == wanted).drop("_newest")
+    if version is not None:
+        return rows.filter(F.col("version") == version)
+    newest = rows.agg(F.max("version").alias("version"))
+    return rows.join(F.broadcast(newest), "version")
 
 
 def shard_by_slots(
