@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelmart.llm.bpe import op4_speculative_bpe
 from parcelmart.llm.common import with_code
 from parcelmart.llm.exact_dedup import OP6_SQL, op6_trie_owners
 from parcelmart.llm.packing import op8_concat_and_cut
@@ -17,6 +18,7 @@ from parcelmart.llm.sharding import op9_virtual_slots
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     queries = {
         "op2_line_rules": op2_line_rules,
+        "op4_speculative_bpe": op4_speculative_bpe,
         "op5_hierarchical_quality": op5_hierarchical_quality,
         "op6_trie_owners": op6_trie_owners,
         "op8_concat_and_cut": op8_concat_and_cut,
