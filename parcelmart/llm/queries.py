@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelmart.llm.bpe import op4_speculative_bpe
 from parcelmart.llm.common import with_code
 from parcelmart.llm.exact_dedup import OP6_SQL, op6_trie_owners
+from parcelmart.llm.jaccard_join import op3_count_tree_join
 from parcelmart.llm.packing import op8_concat_and_cut
 from parcelmart.llm.quality_classifier import op5_hierarchical_quality
 from parcelmart.llm.quality_rules import op2_line_rules
@@ -18,6 +19,7 @@ from parcelmart.llm.sharding import op9_virtual_slots
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     queries = {
         "op2_line_rules": op2_line_rules,
+        "op3_count_tree_join": op3_count_tree_join,
         "op4_speculative_bpe": op4_speculative_bpe,
         "op5_hierarchical_quality": op5_hierarchical_quality,
         "op6_trie_owners": op6_trie_owners,
