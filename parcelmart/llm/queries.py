@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelmart.llm.bpe import op4_speculative_bpe
 from parcelmart.llm.common import with_code
 from parcelmart.llm.exact_dedup import OP6_SQL, op6_trie_owners
+from parcelmart.llm.html_template import op10_template_slots
 from parcelmart.llm.jaccard_join import op3_count_tree_join
 from parcelmart.llm.packing import op8_concat_and_cut
 from parcelmart.llm.quality_classifier import op5_hierarchical_quality
@@ -25,6 +26,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_trie_owners": op6_trie_owners,
         "op8_concat_and_cut": op8_concat_and_cut,
         "op9_virtual_slots": op9_virtual_slots,
+        "op10_template_slots": op10_template_slots,
     }
     return {name: with_code(query) for name, query in queries.items()}
 
