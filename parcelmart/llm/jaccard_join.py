@@ -6,9 +6,10 @@ document for the shuffle and links the others of its block to it. Inside cells d
 shingles per group: the sum of coordinate minima bounds the overlap of two sets from above, and R-trees over the points
 discard what cannot be similar. What is left is verified on the sets.
 
-Links are sought in two rounds. Round one tests each document against the smallest of its cells, so a group of many near
-copies costs one test each. Round two takes the cells whose documents are not yet all in one component, and tests all
-pairs of different components that the trees leave over. No pair is skipped that could join two components.
+Links are sought in three rounds. The first tests each document against one leader of its cells, so a group of many near
+copies costs one test each. The second tests the pairs with other leaders that are not yet in one component. The third
+takes the cells that still lie in several components, and tests all other pairs of different components that the trees
+leave over. No pair is skipped that could join two components.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,13 +27,16 @@ from pyspark.sql.types import _parse_datatype_string
 from parcelmart.llm.common import stored, table, text_batches
 from parcelmart.llm.components import components
 
-GROUPS = 64
+GROUPS = 256
+COUNT_TYPE = "<u2"
 # Words remembered per Python worker, and documents per node of a tree.
 CACHE_WORDS = 1_500_000
 LEAF = 16
-# Members of a cell that one task of round two holds.
+# Members of a cell in one block of round three.
 CELL_BLOCK = 1024
 BLOCK_BYTES = 32 << 20
+# Ids of candidate documents that are broadcast at most (8 bytes each).
+BROADCAST_IDS = 1_000_000
 BAND_RATIO = 1.6
 U64 = np.uint64
 # Odd constants that mix hashes.
@@ -93,7 +96,7 @@ class Bands:
     def __init__(self, percent: int) -> None:
         self.percent = percent
         # Below the first edge only equal sets can be linked.
-        self.first = percent // (100 - percent) + 1
+        self.first = -(-percent // (100 - percent))
         self.edges = [self.first]
 
     def differing(self, smaller: int) -> int:
@@ -122,7 +125,7 @@ class Bands:
                 return mix(np.array([hashed.sum(dtype=U64) + U64(n)], U64))
             keys = []
             least = -(-n * self.percent // 100)  # the smallest partner
-            for band in sorted({self.band(max(least, self.first)), self.band(n)}):
+            for band in range(self.band(max(least, self.first)), self.band(n) + 1):
                 m, spare = self.groups(band)
                 group = (shingles % U64(m)).astype(np.int64)
                 content = np.zeros(m, U64)
@@ -141,7 +144,11 @@ def needed(n: np.ndarray | int, m: np.ndarray | int, percent: int) -> np.ndarray
 
 def counts(shingles: np.ndarray) -> np.ndarray:
     """The set as a point: its number of shingles in each group."""
-    return np.bincount((shingles % U64(GROUPS)).astype(np.int64), minlength=GROUPS).astype("<i4")
+    return np.bincount((shingles % U64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(COUNT_TYPE)
+
+
+def points_of(column: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(column), COUNT_TYPE).reshape(-1, GROUPS)
 
 
 class CountTree:
@@ -170,7 +177,7 @@ class CountTree:
         at = np.arange(len(self.levels[-1][0]))
         for depth in range(len(self.levels) - 1, -1, -1):
             upper, least = self.levels[depth]
-            bound = np.minimum(upper[at], point).sum(axis=1)
+            bound = np.minimum(upper[at], point).sum(axis=1, dtype=np.int64)
             at = at[bound >= needed(size, least[at], percent)]
             if depth:
                 below = len(self.levels[depth - 1][0])
@@ -216,10 +223,12 @@ def cell_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
             keys, owners = keys[order], owners[order]
             starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             held = np.diff(np.append(starts, len(keys)))
+            # In order of ids, which then take hardly any room.
+            by_owner = np.argsort(owners[starts], kind="stable")
             step = 1 << 18
             for s in range(0, len(starts), step):
-                part = starts[s : s + step]
-                yield batch_of(1, keys[part], owners[part], pa.nulls(len(part), pa.int64()), held[s : s + step])
+                part = by_owner[s : s + step]
+                yield batch_of(1, keys[starts[part]], owners[starts[part]], pa.nulls(len(part), pa.int64()), held[part])
             others = np.ones(len(keys), bool)
             others[starts] = False
             if others.any():
@@ -260,8 +269,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
             n, m = (batch.column(k).to_numpy() for k in (2, 4))
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<i4").reshape(-1, GROUPS) for k in (3, 5))
-            yield chosen(batch, np.minimum(x, y).sum(axis=1) >= needed(n, m, percent))
+            x, y = (points_of(batch.column(k).to_pylist()) for k in (3, 5))
+            yield chosen(batch, np.minimum(x, y).sum(axis=1, dtype=np.int64) >= needed(n, m, percent))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
@@ -278,33 +287,82 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _both_sides(left, sets, "shingles").select("a", "b", "a_shingles", "b_shingles").mapInArrow(exact, "a bigint, b bigint")
 
 
+def open_cells(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members (key, id, component) of cells that lie in several components and have more than the pair tested already.
+
+    Of cells with the same members one is enough; sets of members are compared by their number and two checksums.
+    """
+    placed = members.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    placed = stored(placed, "placed")
+    sums = [F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")]
+    cells = placed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("held"), *sums
+    )
+    wanted = cells.filter("low < high AND held > 2").groupBy("held", "x", "y").agg(F.min("key").alias("key"))
+    return placed.join(stored(wanted.select("key", "held"), "open"), "key")
+
+
 def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of one cell, of different components, that the bound leaves over.
 
-    ``members`` has key, id, component, n and counts. Large cells are cut into blocks; each pair of blocks is one group.
+    ``members`` has key, id, component, held (members of the cell), n and counts. Large cells are cut into
+    blocks, each pair of blocks being one group.
     """
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("held"))
     blocks = F.ceil(F.col("held") / CELL_BLOCK).cast("int")
-    cut = members.join(sizes, "key").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    cut = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = cut.select("key", "id", "component", "n", "counts", "own", other)
-    dealt = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).drop("other")
+    names = ["key", "low", "high", "own", "id", "component", "n", "counts"]
+    dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).select(*names)
+    schema = to_arrow_schema(_parse_datatype_string("a bigint, b bigint"))
 
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        points = np.frombuffer(b"".join(group["counts"]), "<i4").reshape(-1, GROUPS)
-        sizes, ids, parts = group["n"].to_numpy(), group["id"].to_numpy(), group["component"].to_numpy()
-        own = group["own"].to_numpy()
-        across = group["low"].iloc[0] != group["high"].iloc[0]
+    def pairs(group: list[tuple]) -> list[tuple[int, int]]:
+        _, low, high, own, ids, parts, sizes, points = zip(*group)
+        if len(set(parts)) < 2:
+            return []
+        points, sizes, own, ids, parts = points_of(points), np.array(sizes), np.array(own), np.array(ids), np.array(parts)
         tree, out = CountTree(points, sizes), []
         for i in range(len(ids)):
             hits = tree.search(points[i], sizes[i], percent)
             hits = hits[(ids[hits] > ids[i]) & (parts[hits] != parts[i])]
-            if across:
+            if low[0] != high[0]:
                 hits = hits[own[hits] != own[i]]
             out += [(ids[i], ids[h]) for h in hits]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        return out
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if group and row[:3] != group[0][:3]:
+                    out += pairs(group)
+                    group = []
+                group.append(row)
+            yield batch_of_pairs(out)
+        if group:
+            yield batch_of_pairs(pairs(group))
 
-    return dealt.groupBy("key", "low", "high").applyInPandas(join, "a bigint, b bigint").distinct()
+    def batch_of_pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
+        columns = zip(*out) if out else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+
+    order = ["key", "low", "high"]
+    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(join, "a bigint, b bigint").distinct()
+
+
+def chosen_rows(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of the wanted ids; up to ``BROADCAST_IDS`` of these are sent to the texts, more are joined by a shuffle."""
+    few = wanted.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(wanted) if few else wanted, "id").select("id", "text")
+
+
+def differing(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs whose documents are in different components so far."""
+    for side in ("a", "b"):
+        named = parts.select(F.col("id").alias(side), F.col("component").alias(f"{side}_part"))
+        pairs = pairs.join(named, side, "left")
+    return pairs.filter(F.coalesce("a_part", "a") != F.coalesce("b_part", "b")).select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -326,20 +384,25 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_i
     shared = led.filter("cell.blocks > 1 OR members > 1").select("key", "id", F.col("cell.leader").alias("leader"))
     members = stored(shared.union(found.filter("kind = 2").select("key", "id", "leader")), "members")
 
-    pairs = stored(members.filter("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct(), "pairs")
-    wanted = members.select("id").distinct()
-    sets = stored(shingle_sets(rows.join(wanted, "id").select("id", "text"), words), "sets")
+    pairs = members.filter("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
+    pairs = stored(pairs.distinct(), "pairs")
+    sets = stored(shingle_sets(chosen_rows(rows, stored(members.select("id").distinct(), "wanted")), words), "sets")
+
+    # First one pair per document, which settles groups of near copies; then the other leaders of other components.
+    first = stored(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
     equal = listed.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    links = stored(verified(pairs, sets, percent).union(equal), "links")
+    links = stored(verified(first, sets, percent).union(equal), "links")
+    parts = stored(components(links), "components")
+    apart = differing(pairs.join(first, ["a", "b"], "left_anti"), parts)
+    links = links.union(stored(verified(apart, sets, percent), "more-links"))
     parts = stored(components(links), "components")
 
-    placed = members.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    open_cells = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_cells = stored(open_cells.filter("low < high").select("key"), "open")
-    if not open_cells.isEmpty():
-        inside = placed.join(open_cells, "key").join(sets.select("id", "n", "counts"), "id")
-        more = stored(verified(stored(tree_pairs(inside, percent), "tree-pairs"), sets, percent), "more-links")
-        parts = components(links.union(more))
+    inside = stored(open_cells(members, parts), "open-members")
+    if not inside.isEmpty():
+        located = inside.join(sets.select("id", "n", "counts"), "id")
+        found = stored(tree_pairs(located, percent).join(pairs, ["a", "b"], "left_anti"), "tree-pairs")
+        links = links.union(stored(verified(found, sets, percent), "last-links"))
+        parts = components(links)
     joined = listed.join(parts, "id", "left")
     return joined.select(
         F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id")

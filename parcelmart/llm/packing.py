@@ -48,33 +48,26 @@ def tokenized(docs: DataFrame, path: str, end_id: int | None, doc_id: str = "doc
         from pyspark import TaskContext
 
         task, place, tokenizer = TaskContext.get().partitionId(), 0, word_tokenizer(path)
-        narrow = id_type(path)
-        tail = b"" if end_id is None else np.array([end_id], ID_TYPE).tobytes()
+        tail = b"" if end_id is None else np.array([end_id], tokenizer.type).tobytes()
         for batch in text_batches(batches):
             encoded = [ids + tail for ids in tokenizer.encode_all(batch.column(1).to_pylist())]
-            sizes = np.array([len(ids) // ID_TYPE.itemsize for ids in encoded], np.int64)
+            sizes = np.array([len(ids) // tokenizer.type.itemsize for ids in encoded], np.int64)
             places = place + np.cumsum(sizes) - sizes
             place += int(sizes.sum())
-            values = [np.frombuffer(ids, ID_TYPE).astype(narrow).tobytes() for ids in encoded]
-            columns = [batch.column(0), pa.array([task] * len(sizes), pa.int64()), places, sizes, pa.array(values, pa.binary())]
-            yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], schema=schema)
+            columns = [batch.column(0), np.full(len(sizes), task), places, sizes, encoded]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(encode, TOKENIZED)
 
 
-def id_type(path: str) -> np.dtype:
-    """Type ids are kept in between the passes."""
-    return np.dtype("<u2") if word_tokenizer(path).tokenizer.get_vocab_size() <= 1 << 16 else ID_TYPE
-
-
 def cut(encoded: DataFrame, path: str, total: int, sequence: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
     """Pieces of documents that know their global start (``first``), one row per piece."""
     ddl = PIECES + (", ids binary" if with_ids else "")
     schema = to_arrow_schema(schema_of(ddl))
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        narrow = id_type(path)
+        narrow = word_tokenizer(path).type
         for batch in text_batches(batches):
             rows = []
             for doc_id, first, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):

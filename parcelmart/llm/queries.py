@@ -16,7 +16,6 @@ from parcelmart.llm.packing import op8_concat_and_cut
 from parcelmart.llm.quality_classifier import op5_hierarchical_quality
 from parcelmart.llm.quality_rules import op2_line_rules
 from parcelmart.llm.sharding import op9_virtual_slots
-
 from parcelmart.llm.token_matrix import op7_best_fit_matrix
 
 

@@ -18,8 +18,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from parcelmart.llm.common import table, text_batches
-from parcelmart.llm.packing import END_ID, SEQUENCE, id_type
-from parcelmart.llm.tokens import ID_TYPE, public_path, word_tokenizer
+from parcelmart.llm.packing import END_ID, SEQUENCE
+from parcelmart.llm.tokens import public_path, word_tokenizer
 
 BLOCK_BYTES = 16 << 20
 PAD_ID = 0
@@ -119,12 +119,13 @@ def token_matrix(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer, narrow = word_tokenizer(path), id_type(path)
+        tokenizer = word_tokenizer(path)
+        narrow = tokenizer.type
         number = TaskContext.get().partitionId() << 33
-        tail = b"" if end_id is None else np.array([end_id], ID_TYPE).tobytes()
+        tail = b"" if end_id is None else np.array([end_id], narrow).tobytes()
         for batch in text_batches(batches, BLOCK_BYTES):
             names = batch.column(0).to_pylist()
-            ids = [np.frombuffer(x + tail, ID_TYPE).astype(narrow) for x in tokenizer.encode_all(batch.column(1).to_pylist())]
+            ids = [np.frombuffer(x + tail, narrow) for x in tokenizer.encode_all(batch.column(1).to_pylist())]
             rows = best_fit_decreasing([len(x) for x in ids], row_length)
             matrix = np.full((len(rows), row_length), pad_id, narrow)
             ends = []

@@ -32,30 +32,31 @@ def public_path(name: str) -> str:
 
 
 class WordTokenizer:
-    """Ids as little-endian unsigned 32-bit integers, equal to the library's ``encode(text, add_special_tokens=False)``.
+    """Ids as little-endian unsigned 32-bit integers (16 if ``narrow`` and the vocabulary allows), equal to the library's ``encode(text, add_special_tokens=False)``.
 
     ``spaced`` tells whether the pre-tokenizer keeps white space in its words (byte-level) or drops it (word ends).
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS) -> None:
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS, narrow: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.type = np.dtype("<u2") if narrow and self.tokenizer.get_vocab_size() <= 1 << 16 else ID_TYPE
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.spaced = self.encode_whole("a b") != self.encode_whole("a") + self.encode_whole("b")
         self.cache_words = cache_words
-        self.mark_ids = {m: np.frombuffer(self.encode_whole(m), ID_TYPE)[0] for m in f"{MARKS}\n" if self.encode_whole(m)}
+        self.mark_ids = {m: np.frombuffer(self.encode_whole(m), self.type)[0] for m in f"{MARKS}\n" if self.encode_whole(m)}
         self.fixed = {"": b"", "\n": self.encode_whole("\n")}
         self.cache: dict[str, bytes] = dict(self.fixed)
         self.special = {
-            token.content: np.array([i], ID_TYPE).tobytes()
+            token.content: np.array([i], self.type).tobytes()
             for i, token in self.tokenizer.get_added_tokens_decoder().items()
         }
         self.special_pattern = re.compile("|".join(map(re.escape, self.special))) if self.special else None
 
     def encode_whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, ID_TYPE).tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of words that are new, many to a call: the words stand between marks whose id none of them has."""
@@ -64,10 +65,11 @@ class WordTokenizer:
         if mark is None:
             return [self.encode_whole(w) for w in words]
         joined = text if self.spaced else f" {mark} ".join(words)
-        ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, ID_TYPE)
+        ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, self.type)
         cuts = np.flatnonzero(ids == self.mark_ids[mark]).tolist()
         blob, starts = ids.tobytes(), [0, *(c + 1 for c in cuts)]
-        return [blob[4 * i : 4 * j] for i, j in zip(starts, [*cuts, len(ids)])]
+        width = self.type.itemsize
+        return [blob[width * i : width * j] for i, j in zip(starts, [*cuts, len(ids)])]
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_all([text])[0]
@@ -146,5 +148,5 @@ class WordTokenizer:
 
 @lru_cache(maxsize=4)
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One per file and Python worker, so words learned in one task serve the next."""
-    return WordTokenizer(path)
+    """One of narrow ids per file and Python worker, so words learned in one task serve the next."""
+    return WordTokenizer(path, narrow=True)
