@@ -111,6 +111,9 @@ def source(name: str, columns: str) -> str:
 _DATES = f'{ts(chr(34) + "createdAt" + chr(34))} AS "createdAt", {ts(chr(34) + "updatedAt" + chr(34))} AS "updatedAt"'
 _UPDATED = f'{ts(chr(34) + "updatedAt" + chr(34))} AS "updatedAt"'
 
+NEWEST = f"SELECT {ts('max(' + chr(34) + 'updatedAt' + chr(34) + ')')} AS run_date FROM {RAW['order_items']}"
+_SLASHED = "regexp_matches(\"deliveryDate\", '^\\d{1,2}/\\d{1,2}/\\d{4}$')"
+
 SCANS = {
     "s1_orders": source("orders", f'id, "orderNumber", "userId", "deliveryDate", "deliveryRiderId", {_DATES}'),
     "s2_order_items": source("order_items", f'"OrderId", "ProductId", quantity, notes, {_DATES}'),
@@ -120,7 +123,7 @@ SCANS = {
     "s4_users": source("users", f'id, city, country, gender, "dateOfBirth", {_UPDATED}'),
     "s5_riders": source("riders", f'id, "vehicleType", "courierId", gender, {_UPDATED}'),
     "s6_couriers": source("couriers", f"id, name AS courier_name, {_DATES}"),
-    "s7_last_run": "SELECT '2002-01-01 00:00:00' AS run_date",
+    "s7_last_run": NEWEST,
     "s9_date_keys": q("SELECT date_id FROM dim_date"),
 }
 
@@ -149,6 +152,12 @@ TRANSFORMS = {
     "t6_timestamps": source("orders", f"id, CASE WHEN id % 7 <> 0 THEN {ts(chr(34) + 'updatedAt' + chr(34))} END AS updated"),
     "t7_dim_user": q(f"SELECT {USER_COLS}, {_UPDATED} FROM dim_user"),
     "t8_gender": source("users", f"id, {gender('gender')} AS gender"),
+    "t3_white_space": source("products", f"id, {category('category')} AS normalized"),
+    "t8_white_space": source("users", f"id, {gender('gender')} AS gender"),
+    "t10_more_formats": source("orders", f"""id, CAST({day_of('"deliveryDate"')} AS VARCHAR) AS day"""),
+    "t10_trailing_digits": source(
+        "orders", f"""id, CASE WHEN NOT {_SLASHED} THEN CAST({day_of('"deliveryDate"')} AS VARCHAR) END AS day"""
+    ),
     "t9_clean_text": source("users", f"id, CASE WHEN id % 5 = 4 THEN trim({_CITY}) END AS city"),
     "t10_delivery_date": source("orders", f"""id, "deliveryDate", CAST({day_of('"deliveryDate"')} AS VARCHAR) AS day"""),
     "t10_birth_date": source("users", f"""id, "dateOfBirth", CAST({day_of('"dateOfBirth"')} AS VARCHAR) AS day"""),
@@ -214,15 +223,21 @@ LOADS = {
     ),
     "ld8_touched_orders": q(_TOUCHED),
     "ld9_bulk_write": TRANSFORMS["t24_fact"],
-    "ld10_run_log": "SELECT '1998-01-01 00:00:00' AS run_date UNION ALL SELECT '2002-01-01 00:00:00'",
-    "ld11_watermark": "SELECT '2002-01-01 00:00:00' AS run_date",
-    "ld11_watermark_first": "SELECT '1970-01-01 00:00:00' AS run_date",
+    "ld10_run_log": f"SELECT '1998-01-01 00:00:00' AS run_date UNION ALL {NEWEST}",
+    "ld11_watermark": NEWEST,
+    "ld11_watermark_first": f"SELECT '1970-01-01 00:00:00' AS run_date, count(\"updatedAt\") AS n_changed FROM {RAW['orders']}",
     "ld12_fact_orders": _TWO_LOADS,
     "ld12_fact_ids": q("SELECT count(*) AS facts, count(*) AS ids FROM fact"),
     "ld12_dim_product": q(f"SELECT {PRODUCT_COLS} FROM dim_product"),
     "ld12_dim_user": q(f"SELECT {USER_COLS} FROM dim_user"),
     "ld12_dim_rider": q(f"SELECT {RIDER_COLS} FROM dim_rider"),
     "ld12_dim_date": q(f"SELECT {DATE_COLS} FROM dim_date"),
+    "ld12_removed_rows": q(f"SELECT {FACT_KEYS}, {FACT_VALUES} FROM fact"),
+    "ld12_no_change_date": q(f"SELECT {FACT_KEYS}, {FACT_VALUES} FROM fact"),
+    "ld12_lost_keys": q(
+        f"SELECT {FACT_KEYS}, {FACT_VALUES} FROM fact WHERE order_id % 6 <> 0 AND (order_id % 10 <> 1 OR quantity % 2 <> 0)"
+    ),
+    "ld12_quality": TRANSFORMS["t25_quality"],
 }
 SCANS["s8_warehouse_fact"] = _TWO_LOADS
 
@@ -399,11 +414,13 @@ def countries(where: str = "TRUE", label: str = "All Categories") -> str:
     FROM fact f {_JOIN_RIDER} {_JOIN_USER} {_JOIN_DATE} {_JOIN_PRODUCT} WHERE d.year = 1998 AND {where} GROUP BY u.country"""
 
 
-def extremes(rows: str, label: str) -> str:
-    pick = "(SELECT {0} FROM x ORDER BY total_revenue {1}, {2} LIMIT 1)"
+def extremes(rows: str, label: str, within: tuple[str, ...] = ()) -> str:
+    ties = ", ".join([label, *within])
+    pick = "(SELECT {0} FROM x ORDER BY total_revenue {1}, " + ties + " LIMIT 1)"
+    more = "".join(f", {pick.format(c, 'DESC')} AS highest_{c}, {pick.format(c, 'ASC')} AS lowest_{c}" for c in within)
     return (
-        f"SELECT {pick.format(label, 'DESC', label)} AS highest, {pick.format('total_revenue', 'DESC', label)} AS highest_value, "
-        f"{pick.format(label, 'ASC', label)} AS lowest, {pick.format('total_revenue', 'ASC', label)} AS lowest_value"
+        f"SELECT {pick.format(label, 'DESC')} AS highest, {pick.format('total_revenue', 'DESC')} AS highest_value, "
+        f"{pick.format(label, 'ASC')} AS lowest, {pick.format('total_revenue', 'ASC')} AS lowest_value{more}"
     )
 
 
@@ -490,6 +507,9 @@ REPORTS = {
     ),
     "r21_country_extremes": q(extremes("x", "country"), ("x", countries())),
     "r21_city_extremes": q(extremes("x", "city"), _ASIA, ("x", "SELECT * FROM drill WHERE gid = 1")),
+    "r21_city_category_extremes": q(
+        extremes("x", "category", ("city",)), _ASIA, ("x", "SELECT * FROM drill WHERE gid = 0 AND country = 'ASIA' AND city IS NOT NULL")
+    ),
     "r21_category_extremes": q(extremes("x", "category"), _IN_CITY, ("x", "SELECT * FROM drill WHERE gid = 0")),
     "r22_table": q(f"SELECT city, category, {_TEXT} FROM drill WHERE gid = 0", _ASIA),
     "r22_country_table": q(f"SELECT country, category, {_TEXT} FROM ({countries()})"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import cached_property, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -54,13 +54,20 @@ class Context:
 
     @cached_property
     def path(self) -> str:
-        """A stored warehouse loaded in two runs: the source as of the watermark, then the whole source."""
+        """A stored warehouse loaded in two runs: the source as of the watermark, then the whole source as of its newest change."""
         path = fresh_dir(self.spark, "warehouse")
         early = lambda name: self.source(name).filter(F.col("updatedAt") <= F.lit(WATERMARK))
         etl.run_etl(self.spark, early, path, WATERMARK)
-        etl.run_etl(self.spark, self.source, path, SECOND_RUN)
+        micros = self.source("order_items").agg(F.unix_micros(F.max("updatedAt"))).first()[0]
+        etl.run_etl(self.spark, self.source, path, etl.EPOCH + timedelta(microseconds=micros))
         return path
 
+    def facts_after(self, first: Source, second: Source) -> DataFrame:
+        """Stored facts after a load of one source and then of another."""
+        path = fresh_dir(self.spark, "warehouse")
+        etl.run_etl(self.spark, first, path, WATERMARK)
+        return etl.run_etl(self.spark, second, path, SECOND_RUN)["fact_orders"].select(*fact.FACT_COLUMNS)
+
     @cached_property
     def loaded(self) -> Warehouse:
         return store.warehouse(self.spark, self.path)
@@ -146,10 +153,83 @@ def _numbered(c: Context) -> DataFrame:
     return c.spark.read.parquet(path).drop("delivery_month")
 
 
+LATER_CHANGE = datetime(2001, 6, 1, tzinfo=timezone.utc)
+
+
+def _changed(c: Context, edits: dict[str, Callable[[DataFrame], DataFrame]]) -> Source:
+    """The source with some tables edited."""
+    return lambda name: edits[name](c.source(name)) if name in edits else c.source(name)
+
+
+def _removed_rows(c: Context) -> DataFrame:
+    """A second source that lacks customers and orders and has all others changed: nothing may be lost."""
+    touch = lambda df: df.withColumn("updatedAt", F.lit(LATER_CHANGE))
+    edits = {
+        "users": lambda df: touch(df.filter("id % 7 <> 0")),
+        "orders": lambda df: touch(df.filter("id % 5 <> 0")),
+        "order_items": lambda df: touch(df.filter("OrderId % 5 <> 0")),
+    }
+    return c.facts_after(c.source, _changed(c, edits))
+
+
+def _no_change_date(c: Context) -> DataFrame:
+    """Orders without a change date, first missing and then there."""
+    undated = lambda df: df.withColumn("updatedAt", F.when(F.col("id") % 4 != 0, F.col("updatedAt")))
+    first = _changed(c, {"orders": lambda df: df.filter("id % 4 <> 0")})
+    return c.facts_after(first, _changed(c, {"orders": undated}))
+
+
+def _lost_keys(c: Context) -> DataFrame:
+    """Changed orders that lose their user, and changed items that lose their product."""
+    edits = {
+        "orders": lambda df: df.withColumns(
+            {
+                "userId": F.when(F.col("id") % 6 != 0, F.col("userId")),
+                "updatedAt": F.when(F.col("id") % 6 != 0, F.col("updatedAt")).otherwise(F.lit(LATER_CHANGE)),
+            }
+        ),
+        "order_items": lambda df: df.withColumns(
+            {
+                "ProductId": F.when(F.expr("OrderId % 10 <> 1 OR quantity % 2 <> 0"), F.col("ProductId")),
+                "updatedAt": F.when(F.expr("OrderId % 10 <> 1 OR quantity % 2 <> 0"), F.col("updatedAt")).otherwise(F.lit(LATER_CHANGE)),
+            }
+        ),
+    }
+    return c.facts_after(c.source, _changed(c, edits))
+
+
+def _load_quality(c: Context) -> DataFrame:
+    """Quality counts a load has put in its run-log row."""
+    path = fresh_dir(c.spark, "warehouse")
+    etl.run_etl(c.spark, c.source, path, SECOND_RUN)
+    return store.runs(c.spark, path).select("quality.*")
+
+
+def _rewritten_dates(c: Context) -> DataFrame:
+    """Delivery dates written in the fallback formats."""
+    day, key = clean.parse_mixed_date(F.col("deliveryDate")), F.col("id") % 4
+    text = F.date_format(day, "MMM d, yyyy")
+    for i, form in enumerate(["yyyyMMdd", "MMMM d, yyyy", "d MMM yyyy"]):
+        text = F.when(key == i, F.date_format(day, form)).otherwise(text)
+    return c.table("orders").select("id", clean.parse_mixed_date(text).alias("day"))
+
+
+def _trailing_digits(c: Context) -> DataFrame:
+    """Slashed dates with a digit too many, which are no dates."""
+    text = F.when(F.col("deliveryDate").contains("/"), F.concat("deliveryDate", F.lit("1"))).otherwise(F.col("deliveryDate"))
+    return c.table("orders").select("id", clean.parse_mixed_date(text).alias("day"))
+
+
+def _wrapped(left: str, name: str, right: str) -> Column:
+    return F.concat(F.lit(left), F.col(name), F.lit(right))
+
+
 def _first_watermark(c: Context) -> DataFrame:
     path = fresh_dir(c.spark, "warehouse")
     store.create_run_log(c.spark, path)
-    return etl.watermark(store.runs(c.spark, path))
+    first = etl.watermark(store.runs(c.spark, path)).first()["run_date"]
+    orders = load.changed_since(c.table("orders"), first)
+    return orders.agg(F.lit(first).alias("run_date"), F.count(F.lit(1)).alias("n_changed"))
 
 
 def _dirty_text(c: Context) -> DataFrame:
@@ -185,7 +265,15 @@ TRANSFORMS: dict[str, Callable[[Context], DataFrame]] = {
     "t6_timestamps": _dirty_times,
     "t7_dim_user": lambda c: dims.dim_user(c.table("users")),
     "t8_gender": lambda c: c.table("users").select("id", clean.normalize_gender(F.col("gender")).alias("gender")),
+    "t3_white_space": lambda c: c.table("products").select(
+        "id", clean.normalize_category(_wrapped("\u00a0\t", "category", "\u2003\n")).alias("normalized")
+    ),
+    "t8_white_space": lambda c: c.table("users").select(
+        "id", clean.normalize_gender(_wrapped("\t", "gender", "\r\n")).alias("gender")
+    ),
     "t9_clean_text": _dirty_text,
+    "t10_more_formats": _rewritten_dates,
+    "t10_trailing_digits": _trailing_digits,
     "t10_delivery_date": lambda c: c.table("orders").select(
         "id", "deliveryDate", clean.parse_mixed_date(F.col("deliveryDate")).alias("day")
     ),
@@ -234,6 +322,10 @@ LOADS: dict[str, Callable[[Context], DataFrame]] = {
     "ld12_dim_user": lambda c: c.loaded["dim_user"],
     "ld12_dim_rider": lambda c: c.loaded["dim_rider"],
     "ld12_dim_date": lambda c: c.loaded["dim_date"],
+    "ld12_removed_rows": _removed_rows,
+    "ld12_no_change_date": _no_change_date,
+    "ld12_lost_keys": _lost_keys,
+    "ld12_quality": _load_quality,
 }
 
 YEAR_1998 = ("1998-01-01", "1998-12-31")
@@ -323,6 +415,7 @@ REPORTS: dict[str, Callable[[Context], DataFrame]] = {
     "r21_category_extremes": lambda c: reports.high_low(
         reports.category_view(DRILL(c, **PLACE), **PLACE, top=None), "category"
     ),
+    "r21_city_category_extremes": lambda c: reports.high_low(_city_view(c, top=None), "category", within=["city"]),
     "r22_table": lambda c: reports.drill_table(_city_view(c, top=None), "city"),
     "r22_country_table": lambda c: reports.drill_table(reports.country_view(c.wh, 1998), "country"),
 }

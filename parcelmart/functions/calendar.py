@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ WEEKEND_DAYS = (5, 6)
 
 def date_id(day: Column) -> Column:
     """Integer yyyymmdd of a date."""
-    return F.date_format(day, "yyyyMMdd").cast("int")
+    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
 def calendar_attrs(day: Column) -> list[Column]:
@@ -52,8 +54,8 @@ def month_start(year: Column, month: Column) -> Column:
 
 
 def date_text_to_id(text: str) -> int:
-    """'YYYY-MM-DD' -> yyyymmdd, for query parameters."""
-    return int(text.replace("-", ""))
+    """'YYYY-MM-DD' -> yyyymmdd, for query parameters; raises ValueError for anything that is no date."""
+    return int(datetime.strptime(text, "%Y-%m-%d").strftime("%Y%m%d"))
 
 
 def prev_quarter(year: int, quarter: int) -> tuple[int, int]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from parcelmart.functions.calendar import date_id
@@ -62,12 +62,24 @@ def joined_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> Da
     )
 
 
-def fact_rows(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+def quality_counts() -> list[Column]:
+    """Data-quality counts over joined items: all of them, and those that miss a key or a price."""
+    missing = ("product_id", "user_id", "rider_id", "delivery_date_id", "unit_price")
+    return [
+        F.count(F.lit(1)).alias("total_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in missing],
+    ]
+
+
+def fact_rows(items: DataFrame, orders: DataFrame, products: DataFrame, seen: Observation | None = None) -> DataFrame:
     """Fact rows plus ``updated_at``, without the surrogate key.
 
-    Items without a product or without an order cannot be keyed and stay out; ``fact_quality`` counts them.
+    Items without a product, an order or its user cannot be keyed and stay out; ``seen`` gets the quality counts of
+    all joined items when the rows are first computed.
     """
     rows = joined_items(items, orders, products)
+    if seen is not None:
+        rows = rows.observe(seen, *quality_counts())
     for key in REQUIRED_KEYS:
         rows = rows.filter(F.col(key).isNotNull())
     return rows.select(
@@ -80,9 +92,4 @@ def fact_rows(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataF
 
 def fact_quality(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """One row of data-quality counts, taken before defaults are filled in."""
-    rows = joined_items(items, orders, products)
-    missing = ("product_id", "user_id", "rider_id", "delivery_date_id", "unit_price")
-    return rows.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in missing],
-    )
+    return joined_items(items, orders, products).agg(*quality_counts())

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from parcelmart.operators.fact import FACT_COLUMNS
 from parcelmart.session import work_table
-from parcelmart.sources.warehouse import delivery_month
+from parcelmart.sources.warehouse import QUALITY_COLUMNS, delivery_month
 
 # Columns that steer a load and are not stored.
 CONTROL_COLUMNS = ("updatedAt", "updated_at")
+# Bytes a row takes in a hash table besides its columns; rows of facts per task that sorts them.
+ROW_OVERHEAD = 48
+FACTS_PER_TASK = 2_000_000
 
 
 def changed(ts: datetime | None, col: str = "updatedAt") -> Column:
@@ -26,7 +29,7 @@ def changed_since(df: DataFrame, ts: datetime | None, col: str = "updatedAt") ->
 
 
 def load_mode(n_changed: Column, n_all: Column) -> Column:
-    """'none' when nothing changed, 'full' when every row did, else 'incremental'."""
+    """'none' when nothing changed, 'full' when every row did, else 'incremental'. It reports; no load depends on it."""
     return F.when(n_changed == 0, "none").when(n_changed < n_all, "incremental").otherwise("full")
 
 
@@ -70,10 +73,10 @@ def replace_by_group(target: DataFrame, current: DataFrame, changed_rows: DataFr
 
 
 def write_table(df: DataFrame, path: str) -> int:
-    """Write a table in parallel tasks and return the size of its column data in bytes, taken while writing."""
+    """Write a table in parallel tasks and return what its rows take in a hash table, in bytes, taken while writing."""
     texts = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
     fixed = 8 * (len(df.columns) - len(texts))
-    row_bytes = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(fixed))
+    row_bytes = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(fixed + ROW_OVERHEAD))
     seen = Observation()
     df.observe(seen, F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).write.mode("overwrite").parquet(path)
     return int(seen.get["bytes"])
@@ -92,28 +95,41 @@ def write_months(facts: DataFrame, path: str, mode: str) -> tuple[int, set[int]]
 def write_numbered_facts(rows: DataFrame, path: str, first_id: int) -> tuple[int, set[int]]:
     """Write facts with keys ``first_id, first_id + 1, ...``, partitioned by delivery month; returns count and months.
 
-    Keys follow the order month, order, then the other columns. One range shuffle on these columns serves three ends:
-    even files, few files per month, and positions to number by. Its last sort column is a row number of no meaning
-    that splits identical rows, so neither a huge order nor a mass of copies ends up in one task. The sorted rows are
-    written once before they are numbered, since positions must not move when a task is repeated; the key is then the
-    number of rows in the files before plus the position in the file.
+    Keys follow the order month, order, then the other columns. The rows are written once as they come, which fixes
+    them: the tie among identical rows is their file and place in it, and repeating a task cannot change it. Then one
+    range shuffle on the columns and the tie serves three ends: even files, few files per month, and positions to number
+    by; neither a huge order nor a mass of copies ends up in one task. The key is the number of rows in the sorted
+    files before plus the position in the file.
     """
     order = ["delivery_month", *FACT_COLUMNS]
-    placed = rows.select(*FACT_COLUMNS).withColumn("delivery_month", delivery_month())
-    ranged = placed.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*order, "_tie")
-    with work_table(ranged.sortWithinPartitions(*order).drop("_tie"), "facts") as stored:
-        file, row = F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
-        located = stored.select("*", file, row)
-        per_file = located.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-        # One row per file, so per task of the range shuffle: their number is the session's partition setting.
-        earlier = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = per_file.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-        fact_id = (F.col("_before") + F.col("_row") + first_id).cast("bigint").alias("fact_id")
-        numbered = located.join(F.broadcast(offsets), "_file").select(fact_id, *FACT_COLUMNS, "delivery_month")
-        return write_months(numbered, path, "overwrite")
-
-
-def record_run(spark: SparkSession, path: str, run_date: datetime, last_fact_id: int, parts: list, schema: str) -> None:
+    file, row = F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    with work_table(rows.select(*FACT_COLUMNS), "fact-rows") as fixed:
+        placed = fixed.select("*", delivery_month(), file, row)
+        spread = min(fixed.sparkSession.sparkContext.defaultParallelism, fixed.count() // 10_000 + 1)
+        tasks = max(spread, -(-fixed.count() // FACTS_PER_TASK))
+        ranged = placed.repartitionByRange(tasks, *order, "_file", "_row").sortWithinPartitions(*order, "_file", "_row")
+        with work_table(ranged.drop("_file", "_row"), "facts") as stored:
+            located = stored.select("*", file, row)
+            per_file = located.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+            # One row per file, so per task of the range shuffle: one for each two million facts.
+            earlier = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
+            offsets = per_file.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+            fact_id = (F.col("_before") + F.col("_row") + first_id).cast("bigint").alias("fact_id")
+            numbered = located.join(F.broadcast(offsets), "_file").select(fact_id, *FACT_COLUMNS, "delivery_month")
+            return write_months(numbered, path, "overwrite")
+
+
+def record_run(
+    spark: SparkSession,
+    path: str,
+    version: int,
+    run_date: datetime,
+    last_fact_id: int,
+    parts: list,
+    quality: dict | None,
+    schema: str,
+) -> None:
     """Append one row to the run log; this commits the load."""
-    row = (run_date, last_fact_id, [(p.table, p.month, p.version, p.bytes) for p in parts])
+    counts = tuple(quality[c] for c in QUALITY_COLUMNS) if quality else None
+    row = (version, run_date, last_fact_id, [(p.table, p.month, p.version, p.bytes) for p in parts], counts)
     spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(f"{path}/etl_runs")

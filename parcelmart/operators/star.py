@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelmart.functions.numeric import percent_of
+from parcelmart.functions.numeric import MONEY_SUM, percent_of
 from parcelmart.sources.warehouse import Warehouse
 
 # Dimension key column -> fact column that refers to it.
@@ -82,9 +82,11 @@ def star_sum(
     """
     near = [d for d in dims if wh.is_small(d.table)]
     far = [d for d in dims if not wh.is_small(d.table)]
-    totals = [F.sum(name).alias(name) for name in sums]
     carried = dict.fromkeys([*(k for k in keys if k in facts.columns), *(d.fact_key for d in dims)])
     rows = facts.select(*carried, *[expr.alias(name) for name, expr in sums.items()])
+    # One type per kind of sum, however many steps it is added up in.
+    kinds = {name: MONEY_SUM if rows.schema[name].dataType.typeName() == "decimal" else "bigint" for name in sums}
+    totals = [F.sum(name).cast(kind).alias(name) for name, kind in kinds.items()]
     for dim in near:
         rows = rows.join(F.broadcast(dim.frame(wh)), dim.fact_key)
     if far:
@@ -127,20 +129,23 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 def share_of_total(df: DataFrame, key: str, measure: str, out: str = "percent") -> DataFrame:
     """Sum per key and its percentage of the grand sum, rounded to two decimals."""
     per_key = df.groupBy(key).agg(F.sum(measure).alias(measure))
-    # One row per key is left here; the frame holds the whole report and nothing larger.
-    total = F.sum(measure).over(Window.partitionBy())
+    total = df.agg(F.sum(measure)).scalar()
     return per_key.select(key, measure, percent_of(F.col(measure), total).alias(out), total.alias("grand_total"))
 
 
-def extremes(df: DataFrame, measure: str, label: str) -> DataFrame:
-    """One row: label and value of the highest and of the lowest row; ties go to the smallest label."""
-    value, name = F.col(measure), F.col(label)
+def extremes(df: DataFrame, measure: str, label: str, within: Sequence[str] = ()) -> DataFrame:
+    """One row: label and value of the highest and of the lowest row, and the columns ``within`` of either.
+
+    Ties go to the smallest label, then to the smallest values of ``within``.
+    """
+    value, names = F.col(measure), [F.col(label).alias("l"), *within]
     return df.filter(value.isNotNull()).agg(
-        F.min(F.struct((-value).alias("v"), name.alias("l"))).alias("hi"),
-        F.min(F.struct(value.alias("v"), name.alias("l"))).alias("lo"),
+        F.min(F.struct((-value).alias("v"), *names)).alias("hi"),
+        F.min(F.struct(value.alias("v"), *names)).alias("lo"),
     ).select(
         F.col("hi.l").alias("highest"),
         (-F.col("hi.v")).alias("highest_value"),
         F.col("lo.l").alias("lowest"),
         F.col("lo.v").alias("lowest_value"),
+        *[F.col(f"{side}.{c}").alias(f"{name}_{c}") for side, name in (("hi", "highest"), ("lo", "lowest")) for c in within],
     )

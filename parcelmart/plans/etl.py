@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelmart.operators import load
@@ -22,13 +22,15 @@ from parcelmart.sources.warehouse import (
     Part,
     Warehouse,
     create_run_log,
-    latest_parts,
+    last_commit,
     read_parts,
     runs,
     warehouse,
 )
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+# Touched orders that are broadcast at most, at some 60 bytes each.
+BROADCAST_ORDERS = 1_000_000
 
 
 def dimensions(source: Source) -> dict[str, Callable[[], DataFrame]]:
@@ -60,34 +62,42 @@ def watermark(runs_df: DataFrame) -> DataFrame:
     return runs_df.agg(F.coalesce(F.max("run_date"), F.lit(EPOCH)).alias("run_date"))
 
 
-def touched_orders(items: DataFrame, orders: DataFrame, since: datetime) -> DataFrame:
-    """Ids of orders that changed or have a changed item. Both filters are pushed to the source."""
-    by_order = load.changed_since(orders, since).select(F.col("id").cast("bigint").alias("order_id"))
-    by_item = load.changed_since(items, since).select(F.col("OrderId").cast("bigint").alias("order_id"))
-    return by_order.union(by_item).dropna().distinct()
+def touched_orders(items: DataFrame, orders: DataFrame, since: datetime, facts: DataFrame | None = None) -> DataFrame:
+    """Ids of orders that changed or have a changed item; the date filters are pushed to the source.
+
+    With ``facts``, an order without facts counts too if it or an item of it has no change date.
+    """
+    sides = (orders, F.col("id")), (items, F.col("OrderId"))
+    ids = lambda rows, key: rows.select(key.cast("bigint").alias("order_id"))
+    changed = [ids(load.changed_since(rows, since), key) for rows, key in sides]
+    if facts is not None:
+        undated = [ids(rows.filter(F.col("updatedAt").isNull()), key) for rows, key in sides]
+        changed += [load.new_rows(facts, rows.dropna().distinct(), "order_id") for rows in undated]
+    return reduce(DataFrame.union, changed).dropna().distinct()
 
 
 def run_etl(spark: SparkSession, source: Source, path: str, now: datetime | None = None) -> Warehouse:
     """Load everything changed since the last run and commit a new snapshot.
 
-    The run is dated before anything is read, so a change made while it runs is picked up by the next one. Deletions in
-    the source are not seen. A price change alone does not touch facts: they keep the price of their load.
+    The first load takes all rows. Later loads replace what changed and add keys the target does not have; what is gone
+    from the source stays. The run is dated before anything is read, so a change made while it runs is picked up by the
+    next one; a date that is not after the last run's is moved just past it. A price change alone does not touch facts:
+    they keep the price of their load. One load at a time may write a warehouse.
     """
     run_date = now or datetime.now(timezone.utc)
     create_run_log(spark, path)
-    micros = watermark(runs(spark, path)).select(F.unix_micros("run_date")).first()[0]
-    since = EPOCH + timedelta(microseconds=micros)
-    parts, last_fact_id = latest_parts(spark, path)
-    version = max((p.version for p in parts), default=0) + 1
+    last_version, parts, last_fact_id = last_commit(spark, path)
+    since = None
+    if last_version:
+        micros = watermark(runs(spark, path)).select(F.unix_micros("run_date")).first()[0]
+        since = EPOCH + timedelta(microseconds=micros)
+        run_date = max(run_date, since + timedelta(microseconds=1))
+    version = last_version + 1
     old = {p.table: p for p in parts if p.month is None}
-    orders = read_source("orders", source)
 
     # The tables do not depend on each other, so their jobs share the cluster instead of queueing.
-    loads = [
-        partial(_load_dimension, spark, path, name, build(), old.get(name), version, since)
-        for name, build in dimensions(source).items()
-    ]
-    loads.append(partial(_load_dates, spark, path, orders, old.get("dim_date"), version))
+    loads = [partial(_load_dimension, spark, path, name, source, old.get(name), version, since) for name in dimensions(source)]
+    loads.append(partial(_load_dates, spark, path, read_source("orders", source), old.get("dim_date"), version, since))
     months = [p for p in parts if p.table == "fact_orders"]
     with ThreadPoolExecutor(len(loads) + 1) as pool:
         facts = pool.submit(
@@ -95,59 +105,74 @@ def run_etl(spark: SparkSession, source: Source, path: str, now: datetime | None
         )
         others = [pool.submit(inheritable_thread_target(spark)(run)) for run in loads]
         committed = [p for p in (done.result() for done in others) if p]
-        new_months, last_fact_id = facts.result()
-    load.record_run(spark, path, run_date, last_fact_id, committed + new_months, RUNS_SCHEMA)
+        new_months, last_fact_id, quality = facts.result()
+    load.record_run(spark, path, version, run_date, last_fact_id, committed + new_months, quality, RUNS_SCHEMA)
     return warehouse(spark, path)
 
 
+def changed_source(source: Source, name: str, since: datetime) -> Source:
+    """``source`` with the tables of a dimension cut to rows of changed keys, by filters that reach the scan.
+
+    The newest row of a key is also the newest of its changed rows, so nothing else of them is needed.
+    """
+    if name != "dim_rider":
+        return lambda table: load.changed_since(source(table), since)
+    riders, couriers = source("riders"), source("couriers")
+    moved = load.changed_since(couriers, since).select(F.col("id").alias("courierId"))
+    touched = load.changed_since(riders, since).select("id").union(riders.join(moved, "courierId", "left_semi").select("id"))
+    cut = riders.join(touched.distinct(), "id", "left_semi")
+    return lambda table: cut if table == "riders" else source(table)
+
+
 def _load_dimension(
-    spark: SparkSession, path: str, name: str, rows: DataFrame, old: Part | None, version: int, since: datetime
+    spark: SparkSession, path: str, name: str, source: Source, old: Part | None, version: int, since: datetime | None
 ) -> Part | None:
-    fresh = load.changed_since(rows, since)
-    mode = "full" if old is None else load.change_counts(rows, since).first()["mode"]
-    if mode == "none":
-        return old
-    if mode == "full":
-        result = load.drop_control(fresh)
-    else:
-        result = load.upsert(read_parts(spark, path, name, [old]), fresh, KEYS[name])
-    return Part(name, None, version, load.write_table(result, f"{path}/{name}/v={version}"))
-
-
-def _load_dates(spark: SparkSession, path: str, orders: DataFrame, old: Part | None, version: int) -> Part:
-    days = dim_date(orders)
-    if old is not None:
-        target = read_parts(spark, path, "dim_date", [old])
-        if load.new_rows(target, days, "date_id").isEmpty():
+    rows = dimensions(source)[name]()
+    if old is None or since is None:
+        return Part(name, None, version, load.write_table(load.drop_control(rows), f"{path}/{name}/v={version}"))
+    target, key = read_parts(spark, path, name, [old]), KEYS[name]
+    fresh = dimensions(changed_source(source, name, since))[name]()
+    unknown = load.new_rows(target, rows.filter(~F.coalesce(load.changed(since), F.lit(False))), key)
+    with work_table(fresh.unionByName(unknown), name) as found:
+        if found.isEmpty():
             return old
-        days = load.insert_new(target, days, "date_id")
+        result = load.upsert(target, found, key)
+        return Part(name, None, version, load.write_table(result, f"{path}/{name}/v={version}"))
+
+
+def _load_dates(
+    spark: SparkSession, path: str, orders: DataFrame, old: Part | None, version: int, since: datetime | None
+) -> Part:
+    if old is None or since is None:
+        return Part("dim_date", None, version, load.write_table(dim_date(orders), f"{path}/dim_date/v={version}"))
+    target = read_parts(spark, path, "dim_date", [old])
+    days = dim_date(orders.filter(load.changed(since) | F.col("updatedAt").isNull()))
+    if load.new_rows(target, days, "date_id").isEmpty():
+        return old
+    days = load.insert_new(target, days, "date_id")
     return Part("dim_date", None, version, load.write_table(days, f"{path}/dim_date/v={version}"))
 
 
 def _load_facts(
-    spark: SparkSession, path: str, source: Source, old: list[Part], version: int, since: datetime, last_id: int
-) -> tuple[list[Part], int]:
+    spark: SparkSession, path: str, source: Source, old: list[Part], version: int, since: datetime | None, last_id: int
+) -> tuple[list[Part], int, dict | None]:
     """Replace the facts of every touched order, rewriting only the months these facts are or were in."""
-    if not old:
-        fresh = load.changed_since(source_facts(source), since, "updated_at")
-        return _write_months(spark, path, fresh, None, [], version, last_id)
     items, orders, products = (read_source(t, source) for t in ("order_items", "orders", "products"))
-    with work_table(touched_orders(items, orders, since), "touched") as touched:
+    seen = Observation()
+    if since is None:
+        fresh = fact_rows(items, orders, products, seen)
+        return *_write_months(spark, path, fresh, None, [], version, last_id), seen.get
+    target = read_parts(spark, path, "fact_orders", old)
+    with work_table(touched_orders(items, orders, since, target), "touched") as touched:
+        n = touched.count()
+        if not n:
+            return old, last_id, None
+        # Few touched orders are sent to the tables, many are joined by a shuffle.
+        touched = F.broadcast(touched) if n <= BROADCAST_ORDERS else touched
         hit_items = items.withColumn("order_id", F.col("OrderId").cast("bigint")).join(touched, "order_id", "left_semi")
         hit_orders = orders.withColumn("order_id", F.col("id").cast("bigint")).join(touched, "order_id", "left_semi")
-        with work_table(fact_rows(hit_items, hit_orders, products), "changed") as fresh:
-            keys = load.touched_keys(load.changed_since(fresh, since, "updated_at"), "order_id")
-            fresh = fresh.join(keys, "order_id", "left_semi")
-            untouched = items.select(F.col("OrderId").cast("bigint").alias("order_id"), "ProductId").dropna()
-            some_unchanged = not (
-                fresh.filter(~F.coalesce(load.changed(since, "updated_at"), F.lit(False))).isEmpty()
-                and untouched.join(touched, "order_id", "left_anti").isEmpty()
-            )
-            if fresh.isEmpty():
-                return old, last_id
-            if not some_unchanged:
-                return _write_months(spark, path, fresh, None, [], version, last_id)
-            return _write_months(spark, path, fresh, keys, old, version, last_id)
+        fresh = fact_rows(hit_items, hit_orders, products, seen)
+        return *_write_months(spark, path, fresh, touched, old, version, last_id), seen.get
 
 
 def _write_months(

@@ -22,7 +22,6 @@ from parcelmart.operators.star import (
     star_sum,
     top_k,
 )
-from parcelmart.session import checkpointed
 from parcelmart.sources.warehouse import Warehouse
 
 # The labels of subtotal rows in the revenue rollups.
@@ -135,8 +134,8 @@ def top_percentile_riders(
         F.count_if(current).alias("customers_served"),
     )
     listed = per_rider.filter(F.col("customers_served") > 0).withColumn("sales_cents", cents(F.col("total_sales")))
-    # Ranking reads the riders twice; keep them so the facts are read once.
-    ranked = percent_rank_pct(checkpointed(listed), "sales_cents", "sales_percentile")
+    # Ranking uses the riders twice; both uses share the exchange that sums them up.
+    ranked = percent_rank_pct(listed, "sales_cents", "sales_percentile")
     result = ranked.filter(F.col("sales_percentile") <= percentile).select(
         "country",
         quarter_label(F.lit(year), F.lit(quarter)).alias("period"),

@@ -170,10 +170,9 @@ def drilldown(
     When a category has no leaf row in the scope, the scope is shown without it.
     """
     rollup = revenue_rollup if metric == "total" else revenue_rollup_filtered
-    rows = rollup(wh, year, country, city, category, with_gid=True)
-    if category is not None and _level(rows, LEAF).isEmpty():
-        rows = rollup(wh, year, country, city, None, with_gid=True)
-    return rows
+    if category is not None and revenue_leaves(wh, year, country, city, category).isEmpty():
+        category = None
+    return rollup(wh, year, country, city, category, with_gid=True)
 
 
 def drill_options(
@@ -263,9 +262,12 @@ def city_category_matrix(
     return wide.fillna(0.0).orderBy("city_rank")
 
 
-def high_low(view: DataFrame, label: str, metric: str = "total") -> DataFrame:
-    """Highest and lowest row of a view, by its country, city or category column."""
-    return extremes(view, METRICS[metric], label)
+def high_low(view: DataFrame, label: str, metric: str = "total", within: Sequence[str] = ()) -> DataFrame:
+    """Highest and lowest row of a view, by its country, city or category column.
+
+    ``within`` adds columns of these rows, as the city the highest and the lowest category are in.
+    """
+    return extremes(view, METRICS[metric], label, within)
 
 
 def drill_table(view: DataFrame, level: str, metric: str = "total") -> DataFrame:

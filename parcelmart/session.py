@@ -66,11 +66,3 @@ def work_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the checkpoint folder, for a small result that is used more than once."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(work_dir(df.sparkSession))
-    return df.checkpoint()

@@ -20,14 +20,14 @@ def test_singularize(spark):
 
 
 def test_category(spark):
-    words = ["  Toy  Bags ", "Electronics", "BAG", " ", "", None, "\tshoes\n"]
-    expected = ["toybag", "electronic", "bag", None, None, None, "shoes"]
+    words = ["  Toy  Bags ", "Electronics", "BAG", " ", "", None, "\tshoes\n", "bags\u00a0", "toy\u2003bags"]
+    expected = ["toybag", "electronic", "bag", None, None, None, "shoes", "bag", "toybag"]
     assert apply(spark, words, clean.normalize_category) == expected
 
 
 def test_gender(spark):
-    words = ["F", "Female", " female ", "M", "male", "x", "", None]
-    assert apply(spark, words, clean.normalize_gender) == ["F", "F", "F", "M", "M", None, None, None]
+    words = ["F", "Female", " female ", "M", "male", "x", "", None, "\tF\n", "F\r", "\u00a0m\u3000"]
+    assert apply(spark, words, clean.normalize_gender) == ["F", "F", "F", "M", "M", None, None, None, "F", "F", "M"]
 
 
 def test_clean_text(spark):
@@ -48,6 +48,14 @@ def test_clean_text(spark):
         ("Jan 5, 2024", date(2024, 1, 5)),
         ("1/5/2024 10:30:00", date(2024, 1, 5)),
         ("2024-1-5", date(2024, 1, 5)),
+        ("\t1/5/2024\n", date(2024, 1, 5)),
+        ("20240105", date(2024, 1, 5)),
+        ("January 5, 2024", date(2024, 1, 5)),
+        ("5 Jan 2024", date(2024, 1, 5)),
+        ("1/1/20241", None),
+        ("2024/1/123", None),
+        ("0024-01-05", None),
+        ("9024-01-05", None),
         ("13/45/2024", None),
         ("2024-02-30", None),
         ("12:30:00", None),
@@ -100,3 +108,14 @@ def test_numbers_and_money_text(spark):
     assert apply(spark, ["1.5", "x", None], lambda c: numeric.to_number(c, 0.0)) == [1.5, 0.0, 0.0]
     assert apply(spark, ["1.5", "x"], numeric.to_number) == [1.5, None]
     assert apply(spark, ["1234567.5", None], lambda c: numeric.money_text(c)) == ["1,234,567.50", ""]
+
+
+def test_fallback_formats_are_a_parameter(spark):
+    rule = lambda c: clean.parse_mixed_date(c, ["dd.MM.yyyy"])
+    assert apply(spark, ["05.01.2024", "Jan 5, 2024", "2024-01-05"], rule) == [date(2024, 1, 5), None, date(2024, 1, 5)]
+
+
+def test_parameter_dates():
+    assert cal.date_text_to_id("2024-1-5") == cal.date_text_to_id("2024-01-05") == 20240105
+    with pytest.raises(ValueError):
+        cal.date_text_to_id("2024-13-01")

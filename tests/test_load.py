@@ -12,7 +12,7 @@ from parcelmart.sources import warehouse as store
 from parcelmart.sources.tables import read_source
 from parcelmart.sources.testdata import mapped_source
 from tests.conftest import SMALL
-from tests.fixture import BASE, at, courier, item, make_source, order, product
+from tests.fixture import BASE, at, courier, item, make_source, order, product, user
 from tests.helpers import frame_rows, values
 
 
@@ -81,10 +81,59 @@ def test_nothing_changed_keeps_every_part(spark, tmp_path):
     assert store.runs(spark, str(tmp_path)).count() == 2
 
 
-def test_everything_changed_replaces_the_table(spark, tmp_path):
+def test_what_is_gone_from_the_source_stays(spark, tmp_path):
+    """Whatever the share of changed rows: all remaining ones here."""
     loaded(spark, tmp_path, make_source(spark), 10)
-    wh = loaded(spark, tmp_path, make_source(spark, orders=[order(1, changed=11)], order_items=[item(1)]), 20)
-    assert fact_values(wh) == [(1, 1, 1)]
+    source = make_source(spark, orders=[order(1, changed=11)], order_items=[item(1)], users=[user(1, "Bari", changed=11)])
+    wh = loaded(spark, tmp_path, source, 20)
+    assert fact_values(wh) == [(1, 1, 1), (2, 1, 2), (3, 2, 1)]
+    assert sorted(values(wh["dim_user"], "user_id", "city")) == [(1, "Bari"), (2, "Oslo")]
+
+
+def test_rows_without_a_change_date_are_loaded(spark, tmp_path):
+    undated = {"users": [(*user(1)[:-1], None), user(2)], "orders": [(*order(1)[:-1], None), order(2), order(3)]}
+    wh = loaded(spark, tmp_path / "first", make_source(spark, **undated), 10)
+    assert {r[0] for r in values(wh["dim_user"], "user_id")} == {1, 2} and wh["fact_orders"].count() == 5
+    loaded(spark, tmp_path / "later", make_source(spark, users=[user(2)], orders=[order(2), order(3)]), 10)
+    wh = loaded(spark, tmp_path / "later", make_source(spark, **undated), 20)
+    assert {r[0] for r in values(wh["dim_user"], "user_id")} == {1, 2} and wh["fact_orders"].count() == 5
+
+
+def test_facts_that_lose_a_key_leave(spark, tmp_path):
+    loaded(spark, tmp_path, make_source(spark), 10)
+    orders = [order(1), order(2, user=None, day="1/6/2024", changed=11), order(3, day="2024-02-07 10:30:00", rider=None)]
+    items = [item(1), item(1, None, 3, changed=11), item(1, 2, 5), item(2, 1, 2), item(3, None, 1, changed=11)]
+    source = make_source(spark, orders=orders, order_items=items)
+    wh = loaded(spark, tmp_path, source, 20)
+    assert fact_values(wh) == [(1, 1, 1), (1, 2, 5)]
+    quality = store.runs(spark, str(tmp_path)).orderBy(F.col("version").desc()).first()["quality"]
+    assert (quality["total_rows"], quality["missing_product_id"], quality["missing_user_id"]) == (5, 2, 1)
+
+
+def test_a_clock_set_back_hides_nothing(spark, tmp_path):
+    loaded(spark, tmp_path, make_source(spark), 20)
+    wh = loaded(spark, tmp_path, make_source(spark, order_items=[*BASE["order_items"], item(3, 1, 9, changed=25)]), 15)
+    assert wh["fact_orders"].count() == 6
+    runs = store.runs(spark, str(tmp_path)).orderBy("version").collect()
+    assert [r["version"] for r in runs] == [1, 2] and runs[0]["run_date"] < runs[1]["run_date"]
+    assert loaded(spark, tmp_path, make_source(spark), 30)["fact_orders"].count() == 6
+
+
+def test_incremental_filters_reach_the_source(spark, tmp_path):
+    source = mapped_source(spark, SMALL)
+    for name in ("dim_product", "dim_user"):
+        plan = etl.dimensions(etl.changed_source(source, name, at(5)))[name]()._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters: [" in plan and "PushedFilters: []" not in plan
+
+
+def test_numbering_twice_gives_the_same_ids(spark, tmp_path):
+    rows = [item(1, 1, 1) for _ in range(300)] + [item(2, 2, k % 5) for k in range(300)]
+    facts = etl.source_facts(make_source(spark, order_items=rows)).repartition(5)
+    facts.write.parquet(str(tmp_path / "rows"))
+    for run in ("a", "b"):
+        load.write_numbered_facts(spark.read.parquet(str(tmp_path / "rows")), str(tmp_path / run), 1)
+    a, b = (frame_rows(spark.read.parquet(str(tmp_path / run))) for run in ("a", "b"))
+    assert a == b
 
 
 def test_a_price_change_alone_leaves_facts_as_loaded(spark, tmp_path):

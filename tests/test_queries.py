@@ -47,6 +47,18 @@ def test_broadcast_and_summed_shapes_agree(stored, big_dims, name):
     assert frame_rows(CASES[name](stored)) == frame_rows(CASES[name](big_dims))
 
 
+@pytest.mark.parametrize("name", CASES)
+def test_result_types_do_not_depend_on_sizes(stored, big_dims, name):
+    assert CASES[name](stored).schema == CASES[name](big_dims).schema
+
+
+def test_percentiles_run_nothing_while_planned(spark, stored):
+    spark.sparkContext.setJobGroup("planning-q7", "")
+    CASES["q7"](stored)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning-q7")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_facts_are_summed_before_a_big_dimension_is_joined(spark, big_dims):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
