@@ -201,6 +201,7 @@ class Page:
                 continue
             self.open(tag, attributes)
         self.close_to(1)
+        self.end_block()
         return self
 
 
