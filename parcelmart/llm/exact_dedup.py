@@ -249,7 +249,8 @@ def trie_owners(carriers: DataFrame, sign: int, budget: int = TRIE_BYTES) -> Dat
 def grouped(docs: DataFrame, keep: str, doc_id: str, text: str, keep_rows: bool) -> DataFrame:
     sign = {"largest": 1, "smallest": -1}[keep]
     rows = stored(prepared(docs, sign, doc_id, text, keep_rows), "texts")
-    owners = trie_owners(rows.filter(F.col("n").isNotNull()), sign)
+    # Stored, so that the join has an exchange of its own on this side and can split the rows of a very common text.
+    owners = stored(trie_owners(rows.filter(F.col("n").isNotNull()), sign), "owners")
     return rows.drop("text").join(owners, "sha").withColumn("kept", F.col("tag") == F.col("keep_tag"))
 
 
