@@ -6,8 +6,8 @@ document for the shuffle and links the others of its block to it. Inside cells d
 shingles per group: the sum of coordinate minima bounds the overlap of two sets from above, and R-trees over the points
 discard what cannot be similar. What is left is verified on the sets.
 
-Links are sought in three rounds. The first tests each document against one leader of its cells, so a group of many near
-copies costs one test each. The second tests the pairs with other leaders that are not yet in one component. The third
+Links are sought in rounds. The first tests each document against one leader of its cells, so a group of many near
+copies costs one test each. The next two test the pairs with other leaders that are not yet in one component. The last
 takes the cells that still lie in several components, and tests all other pairs of different components that the trees
 leave over. No pair is skipped that could join two components.
 """
@@ -30,11 +30,13 @@ from parcelmart.llm.components import components
 GROUPS = 256
 COUNT_TYPE = "<u2"
 # Words remembered per Python worker, and documents per node of a tree.
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 500_000
 LEAF = 16
-# Members of a cell in one block of round three.
+# Members of a cell in one block of the last round.
 CELL_BLOCK = 1024
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
+# Pairs a task remembers so that it does not name them again.
+SEEN_PAIRS = 500_000
 # Ids of candidate documents that are broadcast at most (8 bytes each).
 BROADCAST_IDS = 1_000_000
 BAND_RATIO = 1.6
@@ -109,9 +111,14 @@ class Bands:
         return int(np.searchsorted(self.edges, n, side="right")) - 1
 
     def groups(self, band: int) -> tuple[int, int]:
-        """Number of groups of a band and how many of them may be empty without a link being lost."""
+        """Number of groups of a band, and how many of its smallest groups a set may leave out.
+
+        Linked sets agree on more than ``spare`` groups, and these have the same sizes in both. Leaving out the
+        smallest groups in an order that both sets share, each loses at most ``spare`` of them, and the set that leaves
+        out the larger sizes decides: one at least stays in both. Small groups are what unrelated texts share.
+        """
         most = self.differing(self.edges[band + 1] - 1)
-        spare = 3 + (most + 1) // 12
+        spare = 2 + (most + 1) // 4
         return most + 1 + spare, spare
 
     def cells(self, shingles: np.ndarray) -> np.ndarray:
@@ -130,10 +137,10 @@ class Bands:
                 group = (shingles % U64(m)).astype(np.int64)
                 content = np.zeros(m, U64)
                 np.add.at(content, group, hashed)
-                empty = np.bincount(group, minlength=m) == 0
-                content[empty] = EMPTY
+                held = np.bincount(group, minlength=m)
+                content[held == 0] = EMPTY
                 place = np.arange(m, dtype=U64) * MIX[0] + U64(band + 1) * MIX[3]
-                keys.append(mix(mix(content) + place)[slice(None) if empty.sum() > spare else ~empty])
+                keys.append(mix(mix(content) + place)[np.argsort(held, kind="stable")[spare:]])
         return np.concatenate(keys)
 
 
@@ -292,7 +299,9 @@ def open_cells(members: DataFrame, parts: DataFrame) -> DataFrame:
 
     Of cells with the same members one is enough; sets of members are compared by their number and two checksums.
     """
-    placed = members.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    # A cell of two documents had its only pair tested. Members without a count are known to their block only.
+    several = members.filter("held IS NULL OR held > 2")
+    placed = several.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     placed = stored(placed, "placed")
     sums = [F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")]
     cells = placed.groupBy("key").agg(
@@ -327,21 +336,30 @@ def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
             hits = hits[(ids[hits] > ids[i]) & (parts[hits] != parts[i])]
             if low[0] != high[0]:
                 hits = hits[own[hits] != own[i]]
-            out += [(ids[i], ids[h]) for h in hits]
+            out += [(int(ids[i]), int(ids[h])) for h in hits]
         return out
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
-        for batch in batches:
+        seen: set[tuple[int, int]] = set()
+
+        def fresh() -> list[tuple[int, int]]:
+            if len(seen) > SEEN_PAIRS:
+                seen.clear()
+            new = [p for p in pairs(group) if p not in seen]
+            seen.update(new)
+            return new
+
+        for batch in text_batches(batches):
             out: list[tuple[int, int]] = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if group and row[:3] != group[0][:3]:
-                    out += pairs(group)
+                    out += fresh()
                     group = []
                 group.append(row)
             yield batch_of_pairs(out)
         if group:
-            yield batch_of_pairs(pairs(group))
+            yield batch_of_pairs(fresh())
 
     def batch_of_pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
         columns = zip(*out) if out else ((), ())
@@ -358,11 +376,12 @@ def chosen_rows(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def differing(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """The pairs whose documents are in different components so far."""
+    """The pairs whose documents are in different components so far, with the component of ``a``."""
     for side in ("a", "b"):
         named = parts.select(F.col("id").alias(side), F.col("component").alias(f"{side}_part"))
         pairs = pairs.join(named, side, "left")
-    return pairs.filter(F.coalesce("a_part", "a") != F.coalesce("b_part", "b")).select("a", "b")
+    part = {side: F.coalesce(f"{side}_part", side) for side in ("a", "b")}
+    return pairs.filter(part["a"] != part["b"]).select("a", "b", part["a"].alias("a_part"))
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -379,10 +398,11 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_i
     listed = found.filter("kind = 0").select("id", F.col("key").alias("n_shingles"), F.col("leader").alias("rep"))
 
     # A cell has at most one row per block of the scan here; its smallest document leads it.
-    cell = F.expr("struct(min(id) OVER (PARTITION BY key) AS leader, count(*) OVER (PARTITION BY key) AS blocks)")
-    led = found.filter("kind = 1").select("key", "id", "members", cell.alias("cell"))
-    shared = led.filter("cell.blocks > 1 OR members > 1").select("key", "id", F.col("cell.leader").alias("leader"))
-    members = stored(shared.union(found.filter("kind = 2").select("key", "id", "leader")), "members")
+    cell = F.expr("struct(min(id) OVER (PARTITION BY key) AS leader, sum(members) OVER (PARTITION BY key) AS held)")
+    led = found.filter("kind = 1").select("key", "id", cell.alias("cell"))
+    shared = led.filter("cell.held > 1").select("key", "id", "cell.leader", "cell.held")
+    others = found.filter("kind = 2").select("key", "id", "leader", F.lit(None).cast("bigint").alias("held"))
+    members = stored(shared.union(others), "members")
 
     pairs = members.filter("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
     pairs = stored(pairs.distinct(), "pairs")
@@ -393,8 +413,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_i
     equal = listed.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     links = stored(verified(first, sets, percent).union(equal), "links")
     parts = stored(components(links), "components")
-    apart = differing(pairs.join(first, ["a", "b"], "left_anti"), parts)
-    links = links.union(stored(verified(apart, sets, percent), "more-links"))
+    # Of each document's pairs with one other component a single one goes first here too.
+    apart = stored(differing(pairs.join(first, ["a", "b"], "left_anti"), parts), "apart")
+    second = stored(apart.groupBy("b", "a_part").agg(F.min("a").alias("a")).select("a", "b"), "second-pairs")
+    links = links.union(stored(verified(second, sets, percent), "second-links"))
+    parts = stored(components(links), "components")
+    third = differing(apart.select("a", "b").join(second, ["a", "b"], "left_anti"), parts).select("a", "b")
+    links = links.union(stored(verified(third, sets, percent), "third-links"))
     parts = stored(components(links), "components")
 
     inside = stored(open_cells(members, parts), "open-members")
