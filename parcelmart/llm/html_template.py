@@ -1,10 +1,13 @@
 """Main text of web pages by template deduction from equivalence classes.
 
-Structural tokens (an element with its path) are counted on every page. Tokens of one host whose counts agree on every
-page share an occurrence vector and form an equivalence class; the vectors are compared by an order-free checksum, so a host
-with very many pages is only ever summed up. Classes that enough pages have, and whose tokens nest, make up the host's
-template. What lies between template tokens are its slots: those that hold the page's prose and are neither navigation,
-advert, notice, form nor comments are the main ones, and their text is extracted from each page.
+Structural tokens (an element with its path) and text tokens (a block of text with its path) are counted on every page.
+Pages of one host with the same outer containers form a layout; layouts of very few pages are taken together. Tokens of
+a layout whose counts agree on every page share an occurrence vector and form an equivalence class; the vectors are
+compared by an order-free checksum, so a layout with very many pages is only ever summed up. Classes that enough pages
+have, and whose tokens nest, make up the layout's template. A text in the class of an element around it stands wherever
+that element does, so it belongs to the template. What lies between template tokens are its slots: the main one holds most
+of the prose that varies. Tags and words of classes only add evidence: they never remove what holds a page's article or
+most of its prose.
 """
 
 from __future__ import annotations
@@ -26,6 +29,12 @@ from parcelmart.llm.common import stored, table, text_batches
 # Share of a host's pages a class must be on, and of the prose of its surroundings a main slot must hold.
 SUPPORT = 0.2
 PROSE_SHARE = 0.5
+# Share of a page's prose from which weak evidence does not remove an element.
+WEAK_SHARE = 0.1
+# Layouts of fewer pages are taken together per host, and a text on fewer pages is no template.
+LEAST_PAGES = 3
+# Levels of containers, html and body included, that tell layouts apart.
+LAYOUT_LEVELS = 4
 # Templates up to this many bytes are broadcast, more are joined by a shuffle.
 BROADCAST_BYTES = 16 << 20
 DEEPEST = 60
@@ -36,7 +45,9 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
     "sub sup time tt u var wbr".split()
 )
-SKIPPED = frozenset("head nav footer aside form button select option svg canvas object audio video menu dialog".split())
+# Never text of a page.
+CONTROLS = frozenset("head button select option svg canvas object audio video".split())
+SKIPPED = frozenset("nav footer aside form menu dialog".split())
 ROOTS = frozenset(["html", "body", "article", "main"])
 # Elements that a new element of the given kind ends.
 ENDS = {
@@ -48,6 +59,9 @@ ENDS = {
     "th": frozenset(["td", "th"]),
     "option": frozenset(["option"]),
 }
+# Containers that tell layouts apart, and those that may be a fixed part of a slot.
+OUTER = frozenset("body article main section div table nav aside footer header form".split())
+PARTS = frozenset("section div table ul ol dl nav aside footer header form menu".split())
 FENCES = frozenset("html body article main section div table ul ol dl td th blockquote nav aside footer header form".split())
 # Words in class, id or role that tell what an element is.
 ASIDE_WORDS = frozenset(
@@ -56,6 +70,14 @@ ASIDE_WORDS = frozenset(
     "pagination pager comment comments discussion disqus replies respond footer share sharing social related "
     "recommended newsletter subscribe subscription signup login search toolbar widget skip".split()
 )
+# Of these the ones that tell it even beside other words, unless one of those says otherwise.
+PLAIN_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr nav navbar navigation "
+    "breadcrumb breadcrumbs pagination pager comment comments disqus replies respond footer newsletter subscribe".split()
+)
+OTHERWISE = frozenset("has no not with without wrap wrapper container layout page site content".split())
+# And those that also name ordinary sections.
+DOUBTFUL_WORDS = frozenset("discussion related notice notices alert search".split())
 HEAD_WORDS = frozenset(["header", "masthead", "topbar"])
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -65,46 +87,67 @@ TAG = re.compile(
 )
 NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
-SUMMARY = "host string, token string, pages bigint, total bigint, vector bigint, prose bigint, linked bigint"
+SUMMARY = "host string, layout bigint, token string, pages bigint, total bigint, vector bigint, prose bigint, linked bigint"
 
 
 class Element:
-    __slots__ = ("tag", "path", "skipped", "linked", "article", "main", "chosen")
+    __slots__ = ("tag", "path", "above", "block", "control", "evidence", "linked", "article", "main", "chosen", "skipped", "prose", "links", "varying", "held")
 
     def __init__(self, tag: str, path: str, above: Element | None) -> None:
-        self.tag, self.path = tag, path
-        self.skipped = above.skipped if above else False
+        self.tag, self.path, self.above = tag, path, above
+        self.block = self
+        self.control = above.control if above else False
+        self.evidence = 0
         self.linked = above.linked if above else False
         self.article = above.article if above else 0
         self.main = above.main if above else False
         self.chosen = above.chosen if above else False
+        self.skipped = self.held = False
+        self.prose = self.links = self.varying = 0
 
 
-def described(tag: str, attributes: str) -> tuple[str, frozenset[str]]:
-    """Name of an element in paths, and the words of its class, id and role. Digits are left out of names."""
+def described(tag: str, attributes: str) -> tuple[str, int, bool]:
+    """Name of an element in paths, evidence in its class, id and role that it is not main text (2 plain, 1 weak), and
+    whether they call it a page's head. Digits are left out of names."""
     if not attributes or "=" not in attributes:
-        return tag, frozenset()
+        return tag, 0, False
     words: list[str] = []
+    evidence, head = 0, False
     for _, value in NAMES.findall(attributes):
-        words += WORD.findall(value.lower())
-    return ".".join([tag, *words[:4]]), frozenset(words)
+        for name in value.lower().strip("\"'").split():
+            parts = WORD.findall(name)
+            words += parts
+            head = head or not HEAD_WORDS.isdisjoint(parts)
+            aside = ASIDE_WORDS.intersection(parts)
+            if aside:
+                plain = aside.issuperset(parts) or (aside & PLAIN_WORDS and OTHERWISE.isdisjoint(parts))
+                evidence = max(evidence, 2 if plain and not aside <= DOUBTFUL_WORDS else 1)
+    return ".".join([tag, *words[:4]]), evidence, head
+
+
+def text_token(path: str, text: str) -> str:
+    """Token of a block of text; no name of an element begins like it."""
+    import xxhash
+
+    return f"{path}>#{xxhash.xxh3_64_hexdigest(text.encode('utf-8', 'surrogatepass'))}"
 
 
 class Page:
-    """One pass over a page: calls ``on_open`` for every element outside inline markup, and collects blocks of text."""
+    """One pass over a page: collects the elements outside inline markup, and blocks of text with their element and
+    whether they are links. Nothing but controls is left out before ``weigh`` has seen the whole page."""
 
     def __init__(self, chosen: frozenset[str] = frozenset()) -> None:
         self.chosen = chosen
         self.stack: list[Element] = [Element("", "", None)]
-        self.blocks: list[tuple[str, Element]] = []
+        self.blocks: list[tuple[str, Element, bool]] = []
         self.parts: list[str] = []
         self.owner = self.stack[0]
-        self.opened: list[tuple[str, Element]] = []
+        self.opened: list[Element] = []
         self.articles = 0
 
     def text(self, raw: str) -> None:
         top = self.stack[-1]
-        if raw and not top.skipped:
+        if raw and not top.control:
             if not self.parts:
                 self.owner = top
             self.parts.append(raw)
@@ -113,7 +156,7 @@ class Page:
         if self.parts:
             text = " ".join(unescape("".join(self.parts)).split())
             if text:
-                self.blocks.append((text, self.owner))
+                self.blocks.append((text, self.owner.block, self.owner.linked))
             self.parts = []
 
     def close_to(self, index: int) -> None:
@@ -142,26 +185,23 @@ class Page:
         above = self.stack[-1]
         if not block:
             element = Element(tag, above.path, above)
+            element.block = above.block
             element.linked = above.linked or tag == "a"
         else:
-            name, words = described(tag, attributes)
+            name, evidence, head = described(tag, attributes)
             path = f"{above.path}>{name}" if len(self.stack) < DEEPEST else above.path
-            element = Element(tag, path, above)
+            element = Element(tag, path, above.block)
+            element.linked = above.linked
+            element.control = above.control or tag in CONTROLS
             inside = above.article or above.main
-            element.skipped = above.skipped or (
-                tag not in ROOTS
-                and (
-                    tag in SKIPPED
-                    or bool(words & ASIDE_WORDS)
-                    or (not inside and (tag == "header" or bool(words & HEAD_WORDS)))
-                )
-            )
+            if tag not in ROOTS:
+                element.evidence = 2 if tag in SKIPPED or (not inside and (tag == "header" or head)) else evidence
             if tag == "article" and not above.article:
                 self.articles += 1
                 element.article = self.articles
             element.main = above.main or tag == "main"
             element.chosen = above.chosen or path in self.chosen
-            self.opened.append((path, element))
+            self.opened.append(element)
         self.stack.append(element)
 
     def close(self, tag: str) -> None:
@@ -205,39 +245,96 @@ class Page:
         return self
 
 
-def main_text(html: str | None, chosen: frozenset[str] = frozenset()) -> str:
-    """Text of the main slots of a page; where it has none of them, of its longest article, main part or body."""
+    def weigh(self, template: frozenset[str] = frozenset()) -> list[bool]:
+        """Decides what evidence removes, and tells which blocks are text of the template."""
+        root = self.stack[0]
+        fixed = [bool(template) and text_token(e.path, text) in template for text, e, _ in self.blocks]
+        for (text, e, linked), known in zip(self.blocks, fixed):
+            if not known:
+                e.varying += 1
+                if linked:
+                    e.links += len(text)
+                else:
+                    e.prose += len(text)
+        for e in reversed(self.opened):
+            e.above.prose += e.prose
+            e.above.links += e.links
+            e.above.varying += e.varying
+        heads = [e for e in self.opened if e.tag == "article"] or [e for e in self.opened if e.tag == "main"]
+        best = max(heads, key=lambda e: e.prose, default=None)
+        if best is not None and best.prose >= SUPPORT * root.prose:
+            while best is not None:
+                best.held = True
+                best = best.above
+        for e in self.opened:
+            e.skipped = e.above.skipped or (
+                e.evidence > 0
+                and not e.held
+                and e.prose <= PROSE_SHARE * root.prose
+                and (e.evidence > 1 or e.prose < WEAK_SHARE * root.prose or e.links > e.prose or not e.prose)
+            )
+        return fixed
+
+    def layout(self) -> int:
+        """Checksum of the outer containers; 0 stands for layouts taken together and is never one."""
+        import xxhash
+
+        outer = {e.path for e in self.opened if e.tag in OUTER and e.path.count(">") <= LAYOUT_LEVELS}
+        return (xxhash.xxh3_64_intdigest("\n".join(sorted(outer)).encode("utf-8", "surrogatepass")) >> 1) or 1
+
+
+def main_text(html: str | None, chosen: frozenset[str] = frozenset(), template: frozenset[str] = frozenset()) -> str:
+    """Text of the main slots of a page; where it has none of them, of its longest article, main part or body.
+
+    Text of the template goes, but a slot's own headings and paragraphs stay even if every page has them.
+    """
     page = Page(chosen).read(html)
-    blocks = page.blocks
+    fixed = page.weigh(template)
+    blocks = [(text, e, known) for (text, e, _), known in zip(page.blocks, fixed) if not e.skipped]
     for test in (lambda e: e.chosen, None, lambda e: e.main):
         if test is None:
             sizes: dict[int, int] = defaultdict(int)
-            for text, e in blocks:
+            for text, e, _ in blocks:
                 sizes[e.article] += len(text)
             sizes.pop(0, None)
             best = max(sizes, key=lambda a: (sizes[a], -a), default=0)
-            found = [text for text, e in blocks if best and e.article == best]
-        else:
-            found = [text for text, e in blocks if test(e)]
+            if not best:
+                continue
+            test = lambda e, best=best: e.article == best
+        found = [(text, e, known) for text, e, known in blocks if test(e)]
         if found:
-            return "\n".join(found)
-    return "\n".join(text for text, _ in blocks)
+            return "\n".join(text for text, e, known in found if not known or not fixed_part(e, test))
+    left = [text for text, _, known in blocks if not known]
+    return "\n".join(left or [text for text, _, _ in blocks])
+
+
+def fixed_part(element: Element, inside) -> bool:
+    """Whether an element lies in a container strictly within a slot that has nothing but text of the template."""
+    while element.above is not None and inside(element.above) and not element.varying:
+        if element.tag in PARTS:
+            return True
+        element = element.above
+    return False
 
 
-def page_tokens(html: str | None) -> dict[str, list[int]]:
-    """Occurrences of each structural token, with the unlinked and linked text below it outside skipped parts."""
+def page_tokens(html: str | None) -> tuple[int, dict[str, list[int]]]:
+    """Layout of a page, and occurrences of each structural and text token with the unlinked and linked text below it
+    outside skipped parts."""
     page = Page().read(html)
+    page.weigh()
     counts: dict[str, list[int]] = {}
-    for path, element in page.opened:
-        if not element.skipped:
-            counts.setdefault(path, [0, 0, 0])[0] += 1
-    for text, owner in page.blocks:
-        path = owner.path
-        while path:
-            if path in counts:
-                counts[path][2 if owner.linked else 1] += len(text)
-            path = path.rpartition(">")[0]
-    return counts
+    for e in page.opened:
+        counts.setdefault(e.path, [0, 0, 0])[0] += 1
+    for text, owner, linked in page.blocks:
+        token = text_token(owner.path, text)
+        counts.setdefault(token, [0, 0, 0])[0] += 1
+        if owner.skipped:
+            continue
+        while token:
+            if token in counts:
+                counts[token][2 if linked else 1] += len(text)
+            token = token.rpartition(">")[0]
+    return page.layout(), counts
 
 
 def host_of(url: Column) -> Column:
@@ -247,21 +344,21 @@ def host_of(url: Column) -> Column:
 
 
 def token_summaries(pages: DataFrame) -> DataFrame:
-    """Per host and token: pages that have it, occurrences, checksum of its occurrence vector and text below it."""
+    """Per host, layout and token: pages that have it, occurrences, checksum of its occurrence vector and text below it."""
     schema = to_arrow_schema(_parse_datatype_string(SUMMARY))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in text_batches(batches):
-            sums: dict[tuple[str, str], list[int]] = {}
+            sums: dict[tuple[str, int, str], list[int]] = {}
             for page_id, host, html in zip(*(c.to_pylist() for c in batch.columns)):
-                tokens = page_tokens(html)
+                layout, tokens = page_tokens(html)
                 if page_id is None:
                     page_id = xxhash.xxh3_64_intdigest((html or "").encode())
                 for token, (count, prose, linked) in [("", (1, 0, 0)), *tokens.items()]:
                     place = xxhash.xxh3_64_intdigest(f"{page_id}:{count}") >> 1
-                    row = sums.setdefault((host, token), [0, 0, 0, 0, 0])
+                    row = sums.setdefault((host, layout, token), [0, 0, 0, 0, 0])
                     row[0] += 1
                     row[1] += count
                     row[2] ^= place
@@ -271,7 +368,11 @@ def token_summaries(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     found = pages.select("page_id", "host", "html").mapInArrow(run, SUMMARY)
-    return found.groupBy("host", "token").agg(
+    return summed(found)
+
+
+def summed(tokens: DataFrame) -> DataFrame:
+    return tokens.groupBy("host", "layout", "token").agg(
         F.sum("pages").alias("pages"),
         F.sum("total").alias("total"),
         F.bit_xor("vector").alias("vector"),
@@ -281,7 +382,7 @@ def token_summaries(pages: DataFrame) -> DataFrame:
 
 
 def nested_template(tokens: pd.DataFrame) -> pd.DataFrame:
-    """Classes, nesting and roles of one host's frequent tokens.
+    """Classes, nesting and roles of one layout's frequent tokens.
 
     A class is valid if each two of its tokens nest or stand side by side under a token of the template; paths guarantee
     that as soon as every token's parent is in the template too, so tokens with a missing parent are left out.
@@ -291,37 +392,89 @@ def nested_template(tokens: pd.DataFrame) -> pd.DataFrame:
     rows = rows[[t.rpartition(">")[0] in present or t.count(">") == 1 for t in rows["token"]]].copy()
     names = {v: i for i, v in enumerate(dict.fromkeys(zip(rows["pages"], rows["vector"])))}
     rows["class_id"] = [names[v] for v in zip(rows["pages"], rows["vector"])]
-    once = rows[rows["total"] == rows["pages"]]
+    classes = dict(zip(rows["token"], rows["class_id"]))
+    # Text of the template: it is in the class of an element around it, so it stands wherever that does.
+    fixed = set()
+    for token, pages in zip(rows["token"], rows["pages"]):
+        above = token.rpartition(">")[0]
+        if pages >= LEAST_PAGES and token.startswith("#", len(above) + 1):
+            outer = above
+            while outer and classes.get(outer) != classes[token]:
+                outer = outer.rpartition(">")[0]
+            if outer:
+                fixed.add(token)
+    structure = rows[[not t.rpartition(">")[2].startswith("#") for t in rows["token"]]]
+    varying = dict(zip(structure["token"], structure["prose"] - structure["linked"]))
+    constant: dict[str, int] = defaultdict(int)
+    for token, prose in zip(rows["token"], rows["prose"]):
+        if token in fixed:
+            above = token.rpartition(">")[0]
+            while above:
+                constant[above] += prose
+                above = above.rpartition(">")[0]
+    left = {t: v - constant[t] for t, v in varying.items()}
+    whole = sum(v for t, v in left.items() if t.count(">") == 1)
+    if whole <= 0:
+        # Copies of one page: nothing tells its template from its text.
+        fixed, left = set(), varying
+        whole = sum(v for t, v in left.items() if t.count(">") == 1)
+    once = structure[structure["total"] == structure["pages"]]
     tags = {t: t.rpartition(">")[2].split(".")[0] for t in once["token"]}
     articles = [t for t in once["token"] if tags[t] == "article"] or [t for t in once["token"] if tags[t] == "main"]
     chosen = {t for t in articles if not any(t.startswith(f"{o}>") for o in articles)}
+    if sum(left[t] for t in chosen) < SUPPORT * whole:
+        chosen = set()
     if not chosen and len(once):
-        # The deepest slot on the way to most of the prose.
-        prose = dict(zip(once["token"], once["prose"] - once["linked"]))
+        # The deepest slot on the way to most of the prose that varies.
+        prose = {t: left[t] for t in once["token"]}
         token = max((t for t in prose if t.count(">") == 1), key=lambda t: prose[t], default=None)
+        below: dict[str, list[str]] = defaultdict(list)
+        for t in prose:
+            below[t.rpartition(">")[0]].append(t)
         while token is not None:
-            below = [t for t in prose if t.rpartition(">")[0] == token]
-            best = max(below, key=lambda t: prose[t], default=None)
+            best = max(below[token], key=lambda t: prose[t], default=None)
             if best is None or prose[best] <= PROSE_SHARE * prose[token] or tags[best] in ("p", "h1", "h2", "h3", "ul", "ol"):
                 break
             token = best
         if token is not None and tags[token] not in ("html", "body"):
             chosen = {token}
     rows["main"] = rows["token"].isin(chosen)
-    return rows[["host", "token", "class_id", "pages", "total", "prose", "linked", "main"]]
+    rows["fixed"] = rows["token"].isin(fixed)
+    return rows[["host", "layout", "token", "class_id", "pages", "total", "prose", "linked", "main", "fixed"]]
 
 
 def deduce_templates(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """The template of every host: its tokens with their class, counts and whether they open a main slot.
+    """The template of every layout of every host: its tokens with their class, counts, whether they open a main slot, and
+    whether they are text of the template. Layout 0 stands for all of a host's layouts of very few pages.
 
     ``pages`` has page_id, host and html.
     """
     found = stored(token_summaries(pages), "tokens")
-    hosts = found.filter("token = ''").select("host", F.col("pages").alias("_pages"))
-    # What is left per host is bounded by the size of a page: each token is on a fifth of the pages at least.
-    frequent = found.filter("token <> ''").join(hosts, "host").filter(F.col("pages") >= support * F.col("_pages"))
-    schema = "host string, token string, class_id int, pages bigint, total bigint, prose bigint, linked bigint, main boolean"
-    return frequent.drop("_pages").groupBy("host").applyInPandas(nested_template, schema)
+    layouts = found.filter("token = ''").select("host", "layout", F.col("pages").alias("_pages"))
+    kept = layouts.filter(F.col("_pages") >= LEAST_PAGES).select("host", "layout", F.lit(True).alias("_kept"))
+    merged = found.join(kept, ["host", "layout"], "left").withColumn("layout", F.when(F.col("_kept"), F.col("layout")).otherwise(0))
+    found = stored(summed(merged), "layouts")
+    layouts = found.filter("token = ''").select("host", "layout", F.col("pages").alias("_pages"))
+    # What is left per layout is bounded by the size of a page: each token is on a fifth of the pages at least.
+    frequent = found.filter("token <> ''").join(layouts, ["host", "layout"]).filter(F.col("pages") >= support * F.col("_pages"))
+    schema = (
+        "host string, layout bigint, token string, class_id int, pages bigint, total bigint, prose bigint, linked bigint, "
+        "main boolean, fixed boolean"
+    )
+    return frequent.drop("_pages").groupBy("host", "layout").applyInPandas(nested_template, schema)
+
+
+def with_layouts(rows: DataFrame) -> DataFrame:
+    """Rows of page_id, url, html and host with the layout of their page."""
+    result = "page_id bigint, url string, html string, host string, layout bigint"
+    schema = to_arrow_schema(_parse_datatype_string(result))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches):
+            layouts = pa.array([Page().read(h).layout() for h in batch.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, layouts], schema=schema)
+
+    return rows.select("page_id", "url", "html", "host").mapInArrow(run, result)
 
 
 def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -337,20 +490,31 @@ def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "ur
         host_of(F.col(url)).alias("host"),
     )
     templates = stored(deduce_templates(rows.select("page_id", "host", "html")), "templates")
-    slots = templates.filter("main").groupBy("host").agg(F.concat_ws("\n", F.sort_array(F.collect_set("token"))).alias("slots"))
+    used = templates.filter("main or fixed").groupBy("host", "layout")
+    slots = used.agg(F.concat_ws("\n", F.sort_array(F.collect_set("token"))).alias("slots"))
     size = slots.agg(F.sum(F.octet_length("slots") + F.octet_length("host") + 64).alias("bytes")).first()["bytes"] or 0
-    placed = rows.join(F.broadcast(slots) if size <= BROADCAST_BYTES else slots, "host", "left")
+    # A layout of its own pages has a row even if nothing is chosen or fixed in it.
+    own = templates.filter("layout <> 0").select("host", "layout").distinct().join(slots, ["host", "layout"], "left")
+    own = own.withColumn("slots", F.coalesce("slots", F.lit("")))
+    rest = slots.filter("layout = 0").select("host", F.col("slots").alias("_rest"))
+    if size <= BROADCAST_BYTES:
+        own, rest = F.broadcast(own), F.broadcast(rest)
+    placed = with_layouts(rows).join(own, ["host", "layout"], "left").join(rest, "host", "left")
+    placed = placed.withColumn("slots", F.coalesce("slots", "_rest"))
     schema = to_arrow_schema(_parse_datatype_string("page_id bigint, url string, text string, n_chars bigint"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str | None, frozenset[str]] = {None: frozenset()}
+        nothing = (frozenset(), frozenset())
+        known: dict[str | None, tuple[frozenset[str], frozenset[str]]] = {None: nothing}
         for batch in text_batches(batches):
             texts = []
             for html, slots in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if slots not in known:
-                    known = {None: frozenset()} if len(known) > 10_000 else known
-                    known[slots] = frozenset(slots.split("\n"))
-                texts.append(main_text(html, known[slots]))
+                    known = {None: nothing} if len(known) > 10_000 else known
+                    tokens = slots.split("\n")
+                    texts_of = {t for t in tokens if t.rpartition(">")[2].startswith("#")}
+                    known[slots] = frozenset(tokens) - texts_of, frozenset(texts_of)
+                texts.append(main_text(html, *known[slots]))
             columns = [*batch.columns[:2], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 

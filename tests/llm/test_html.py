@@ -82,3 +82,22 @@ def test_hosts(spark):
     urls = ["HTTPS://User@Ex.Org:8/x?y", "http://a.b", "//c/d", None, "mailto:x", "http://[bad"]
     frame = spark.createDataFrame([(u,) for u in urls], "url string")
     assert [r[0] for r in frame.select(host_of(frame.url)).collect()] == ["ex.org", "a.b", "", "", "", "[bad"]
+
+
+PROSE = "Plenty of words number {} stand in this paragraph, which is the page's own."
+
+
+def texts(spark, pages: list[str]) -> list[str]:
+    rows = [(i, f"http://t.h/{i}", p) for i, p in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    return [r["text"] for r in sorted(extract_main_text(frame).collect(), key=lambda r: r["page_id"])]
+
+
+def test_text_on_every_page_is_template(spark):
+    """Menus and notices without telling class words, in the body and within a slot, beside a layout with an article."""
+    notice = "<div class=q>This site is run by volunteers and pays for itself.</div>"
+    plain = ["<body><div class=x>Home and away</div>" + f"<p>{PROSE.format(i)}</p>" + notice + "</body>" for i in range(8)]
+    inner = [f"<body><article><p>{PROSE.format(i)}</p>{notice}</article><div class=x>Home and away</div></body>" for i in range(4)]
+    assert texts(spark, plain + inner) == [PROSE.format(i) for i in [*range(8), *range(4)]]
+    copies = texts(spark, [plain[0]] * 4)
+    assert all(PROSE.format(0) in t for t in copies)
