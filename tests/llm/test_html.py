@@ -101,3 +101,14 @@ def test_text_on_every_page_is_template(spark):
     assert texts(spark, plain + inner) == [PROSE.format(i) for i in [*range(8), *range(4)]]
     copies = texts(spark, [plain[0]] * 4)
     assert all(PROSE.format(0) in t for t in copies)
+
+
+@pytest.mark.parametrize("name", ["page has-sidebar", "content-sidebar-wrap", "no-sidebar", "comments"])
+def test_wrappers_stay(name):
+    assert main_text(f"<body><div class='{name}'><article><p>{PROSE}</p></article></div></body>") == PROSE
+    assert main_text(f"<body><div class='{name}'><div><p>{PROSE}</p></div></div><nav>Home</nav></body>") == PROSE
+
+
+@pytest.mark.parametrize("name", ["id=discussion", "class=related-work", "class=search-results"])
+def test_real_sections_stay(name):
+    assert main_text(f"<article><p>{PROSE}</p><section {name}><p>{PROSE}</p></section></article>") == f"{PROSE}\n{PROSE}"
