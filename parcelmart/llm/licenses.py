@@ -1,6 +1,7 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
-Every line of every text is held against the templates, and so is every whole text, which tells licence files. Weights
+Every line of every text, and every stretch of a line as long as a template, is held against the templates, and so is every
+whole text, which tells licence files. Weights
 come from document frequencies over the whole corpus, for the terms of the templates only. A file without a licence of
 its own takes that of the nearest directory above it with a licence file, found by joining directories with their
 ancestors.
@@ -25,8 +26,10 @@ LINE_COSINE = 0.6
 FILE_COSINE = 0.75
 BROADCAST_BYTES = 16 << 20
 TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
-# Lines longer than this many terms are matched in overlapping windows, so that a notice inside running text is found.
+# Lines longer than this many terms are matched in overlapping windows instead of whole.
 WINDOW = 24
+# Most a term outside the templates weighs: like one in a thousand texts, however many there are.
+UNKNOWN_WEIGHT = math.log(1000) + 1
 # Wordings of licence notices.
 TEMPLATES: dict[str, list[str]] = {
     "Apache-2.0": [
@@ -78,27 +81,31 @@ class Matcher:
 
     def __init__(self, templates: Mapping[str, list[str]], weights: Mapping[str, float], least: float) -> None:
         self.weights, self.least = weights, least
+        self.unknown = min(UNKNOWN_WEIGHT, max(weights.values()))
         self.vectors = []
         for name, texts in templates.items():
             for text in texts:
                 vector = {t: n * weights[t] for t, n in Counter(terms(text)).items()}
                 norm = math.sqrt(sum(v * v for v in vector.values()))
                 self.vectors.append((name, {t: v / norm for t, v in vector.items()}))
+        lengths = [len(terms(text)) for texts in templates.values() for text in texts]
         # A vector without any of a template's anchors has a cosine below ``least``: the rest of it is too short.
         self.anchors: set[str] = set()
-        for _, vector in self.vectors:
-            rest = 1.0
+        self.stretches: list[tuple[str, dict[str, float], int, set[str]]] = []
+        for (name, vector), length in zip(self.vectors, lengths):
+            rest, own = 1.0, set()
+            self.stretches.append((name, vector, length, own))
             for t in sorted(vector, key=lambda t: (-vector[t], t)):
                 if rest < least * least * 0.999:
                     break
-                self.anchors.add(t)
+                own.add(t)
                 rest -= vector[t] ** 2
+            self.anchors |= own
 
     def best(self, found: list[str]) -> tuple[float, str | None]:
-        """Highest cosine of a template; a term outside the templates counts with the highest weight."""
+        """Highest cosine of a template; a term outside the templates counts like a rare one."""
         counts = Counter(found)
-        unknown = max(self.weights.values())
-        vector = {t: n * self.weights.get(t, unknown) for t, n in counts.items()}
+        vector = {t: n * self.weights.get(t, self.unknown) for t, n in counts.items()}
         norm = math.sqrt(sum(v * v for v in vector.values()))
         best, name = 0.0, None
         for template, weights in self.vectors:
@@ -108,14 +115,34 @@ class Matcher:
         return best, name
 
     def line(self, line: str) -> tuple[float, str | None]:
-        """Best match of a line or, if it is long, of its windows around anchors."""
+        """Best match of a line or, if it is long, of its windows around anchors, and of its stretches."""
         found = terms(line)
         if self.anchors.isdisjoint(found):
             return 0.0, None
         if len(found) <= WINDOW:
-            return self.best(found)
-        spots = {max(0, i - k) for i, t in enumerate(found) if t in self.anchors for k in range(0, WINDOW, 2)}
-        return max((self.best(found[s : s + n]) for s in spots for n in (6, 11, WINDOW)), key=lambda b: b[0])
+            best = self.best(found)
+        else:
+            spots = {max(0, i - k) for i, t in enumerate(found) if t in self.anchors for k in range(0, WINDOW, 2)}
+            best = max((self.best(found[s : s + n]) for s in spots for n in (6, 11, WINDOW)), key=lambda b: b[0])
+        return self.stretch(found, best)
+
+    def stretch(self, found: list[str], best: tuple[float, str | None]) -> tuple[float, str | None]:
+        """The better of ``best`` and any stretch as long as a template, at every start that holds an anchor of it."""
+        weights = [self.weights.get(t, self.unknown) for t in found]
+        for name, vector, length, anchors in self.stretches:
+            if length >= len(found) or anchors.isdisjoint(found):
+                continue
+            last = len(found) - length
+            spots = [i for i, t in enumerate(found) if t in anchors]
+            for s in sorted({s for i in spots for s in range(max(0, i - length + 1), min(i, last) + 1)}):
+                counts: dict[str, float] = {}
+                for t, w in zip(found[s : s + length], weights[s : s + length]):
+                    counts[t] = counts.get(t, 0.0) + w
+                dot = sum(v * counts[t] for t, v in vector.items() if t in counts)
+                cosine = dot / math.sqrt(sum(v * v for v in counts.values()))
+                if cosine > best[0] + 1e-12:
+                    best = cosine, name
+        return best
 
     def text(self, text: str) -> tuple[tuple[float, str | None], tuple[float, str | None]]:
         """Best match of any line, and of the text as a whole."""
@@ -140,8 +167,7 @@ def term_weights(texts: DataFrame, templates: Mapping[str, list[str]]) -> dict[s
         for batch in text_batches(batches):
             for text in batch.column(0).to_pylist():
                 n += 1
-                words = {w.strip(".,;:()!?") for w in (text or "").lower().split()}
-                seen.update(vocabulary & words)
+                seen.update(vocabulary.intersection(terms(text or "")))
         rows = [("", n), *seen.items()]
         yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows]), pa.array([k for _, k in rows], pa.int64())], names=["term", "n"])
 

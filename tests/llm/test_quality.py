@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -11,7 +12,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from parcelmart.llm.licenses import scan_licenses
+from parcelmart.llm.licenses import LINE_COSINE, TEMPLATES, Matcher, scan_licenses, template_terms
 from parcelmart.llm.quality_classifier import classify_quality, fit, keep_good, text_features
 from parcelmart.llm.quality_rules import apply_quality_rules, cleaned_text, judge, line_failure, quality_verdicts
 from parcelmart.llm.sharding import deal, load_map, rebalance, shard_by_slots
@@ -187,3 +188,18 @@ def test_dealing_and_rebalancing():
     shrunk = rebalance(grown, sizes, 16)
     assert max(shrunk.values()) == 15 and max(load(shrunk, 16)) - min(load(shrunk, 16)) < 1500
     assert deal({}, 3) == rebalance({}, {}, 3) == {}
+
+
+@pytest.mark.parametrize("n", [10_000, 600_000, 6_000_000])
+def test_notice_among_other_words(n):
+    known = {"the": 0.9, "under": 0.1, "license": 0.02, "licensed": 0.01, "released": 0.01, "mit": 0.005}
+    vocabulary = template_terms(TEMPLATES)
+    weights = {t: math.log((n + 1) / (n * known.get(t, 0) + 1)) + 1 for t in vocabulary}
+    matcher = Matcher(TEMPLATES, weights, LINE_COSINE)
+    for line in (
+        "Copyright 2019 Jane Doe. Released under the MIT License.",
+        "Released under the MIT License, see there",
+        f"{PROSE * 4} Released under the MIT License. {PROSE * 4}",
+    ):
+        cosine, name = matcher.line(line.lower())
+        assert name == "MIT" and cosine == pytest.approx(1.0)
