@@ -50,6 +50,10 @@ MARKS = ".,;:!?"
 NO_SYMBOLS = bytes("#*$%&<>{}[]^~_=+@\\", "ascii")
 
 
+def digit_count(text: str, raw: bytes) -> int:
+    return len(raw) - len(raw.translate(None, b"0123456789")) if len(raw) == len(text) else sum(map(str.isdigit, text))
+
+
 def text_features(text: str | None) -> list[float]:
     """Fixed-length counts and shares of a text; all zero but the bias for a NULL or empty one."""
     text = text or ""
@@ -73,7 +77,7 @@ def text_features(text: str | None) -> list[float]:
         max(counts.values()) / n if n >= 5 else 0.0,
         min(20.0, letters / n),
         min(1.0, sum(map(text.count, MARKS)) / n),
-        min(1.0, sum(map(str.isdigit, text)) / letters) if n < 50_000 else 0.0,
+        min(1.0, digit_count(text, raw) / letters),
         1 - len(set(lines)) / len(lines),
         math.log1p(n / len(lines)),
     ]

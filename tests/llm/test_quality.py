@@ -190,6 +190,12 @@ def test_dealing_and_rebalancing():
     assert deal({}, 3) == rebalance({}, {}, 3) == {}
 
 
+def test_digits_of_very_long_texts():
+    share = lambda n: text_features("12345 " * n)[10]
+    assert share(49_999) == share(50_000) == share(60_000) == 1.0
+    assert text_features("é 12 " * 30_000)[10] == pytest.approx(2 / 4)
+
+
 @pytest.mark.parametrize("n", [10_000, 600_000, 6_000_000])
 def test_notice_among_other_words(n):
     known = {"the": 0.9, "under": 0.1, "license": 0.02, "licensed": 0.01, "released": 0.01, "mit": 0.005}
