@@ -31,6 +31,15 @@ LEAST_RULED_WORDS = 4  # shorter lines are only held against boilerplate and rep
 SYMBOLS_PER_WORD = 0.5
 SHOUTED_SHARE = 0.5
 BARE_WORDS = 60  # a line of so many words without any mark is not prose
+# Lines without any mark, so many in a row or more (blank lines aside), are a menu or a bare list unless a line that ends
+# in a colon leads them in. A line of few words and many letters may be of a script without spaces or marks.
+LEAST_RUN = 3
+ENTRY_CHARS = 40
+COLONS = (":", "：")
+NAVIGATION_WORDS = frozenset(
+    "home about contact news shop login logout register account cart search help faq blog archive sitemap support products "
+    "services privacy terms careers jobs press events gallery forum download downloads imprint menu us sign in up".split()
+)
 MARKS = re.compile(r"[.,;:!?…。，、！？؟।]")
 SEPARATORS = frozenset("|/»›>•·→")
 SEPARATOR_SHARE = 0.2
@@ -98,6 +107,8 @@ def line_failure(line: str) -> str | None:
         return None
     if sum(map(SEPARATORS.__contains__, words)) >= max(2, SEPARATOR_SHARE * n):
         return "navigation"
+    if n < BARE_WORDS and 2 * sum(w in NAVIGATION_WORDS for w in map(str.lower, words)) >= max(6, n) and not MARKS.search(line):
+        return "navigation"
     if len(line) - len(line.translate(_DROP_SYMBOLS)) >= SYMBOLS_PER_WORD * n:
         return "symbols"
     if line.count("!!") >= SHOUTED_SHARE * n:
@@ -107,11 +118,43 @@ def line_failure(line: str) -> str | None:
     return None
 
 
+def is_bare(line: str) -> bool:
+    """Whether a line with words could be an entry of a menu or bare list: no mark, and no number at its start if short."""
+    if MARKS.search(line):
+        return False
+    words = line.split()
+    if len(words) < LEAST_RULED_WORDS:
+        return bool(words) and len(line) <= ENTRY_CHARS and not words[0][0].isdigit()
+    return True
+
+
+def bare_runs(lines: list[str]) -> set[int]:
+    """Places of the lines in runs of bare ones."""
+    found: set[int] = set()
+    run: list[int] = []
+    led = leads = False
+    for i, line in enumerate([*lines, "."]):
+        if not line.strip(SPACE):
+            continue
+        if is_bare(line):
+            if not run:
+                led = leads
+            run.append(i)
+            continue
+        if len(run) >= LEAST_RUN and not led:
+            found.update(run)
+        run = []
+        leads = line.rstrip().endswith(COLONS)
+    return found
+
+
 def clean_lines(text: str) -> tuple[list[str], int]:
     """Lines that stay, and the number removed; a line with words that equals an earlier one is removed too."""
     kept, seen, removed = [], set(), 0
-    for line in text.split("\n"):
-        if line in seen or line_failure(line):
+    lines = text.split("\n")
+    bare = bare_runs(lines)
+    for i, line in enumerate(lines):
+        if line in seen or i in bare or line_failure(line):
             removed += 1
             continue
         kept.append(line)

@@ -209,3 +209,16 @@ def test_notice_among_other_words(n):
     ):
         cosine, name = matcher.line(line.lower())
         assert name == "MIT" and cosine == pytest.approx(1.0)
+
+
+def test_menus_and_bare_lists():
+    menu = "Home\nAbout us\n\nContact\nOur shop"
+    items = "\n".join(" ".join(f"item{i}{k}" for k in range(3 + i)) for i in range(1, 8))
+    flat = "Home About News Contact Shop Login"
+    body = "\n".join(" ".join(f"word{i}{k}" for k in range(12)) + "." for i in range(20, 29))
+    for junk in (menu, items, flat):
+        assert cleaned_text(f"{body}\n{junk}\n{PROSE}").split() == f"{body}\n{PROSE}".split()
+    assert judge(f"{menu}\n{items}\n{flat}")[6] is False
+    for fine in ("A Heading", "A Heading\nIts Second Line", "You need:\ntwo eggs\nsome flour\nmuch milk"):
+        text = f"{body}\n{fine}\n{PROSE}"
+        assert cleaned_text(text) == text
