@@ -17,6 +17,7 @@ from parcelmart.llm.quality_classifier import op5_hierarchical_quality
 from parcelmart.llm.quality_rules import op2_line_rules
 from parcelmart.llm.sharding import op9_virtual_slots
 from parcelmart.llm.token_matrix import op7_best_fit_matrix
+from parcelmart.llm.top_k import OP13_SQL, op13_maxscore
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -31,9 +32,10 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_concat_and_cut": op8_concat_and_cut,
         "op9_virtual_slots": op9_virtual_slots,
         "op10_template_slots": op10_template_slots,
+        "op13_maxscore": op13_maxscore,
     }
     return {name: with_code(query) for name, query in queries.items()}
 
 
 def check_sql() -> dict[str, str]:
-    return {"op6_trie_owners": OP6_SQL}
+    return {"op6_trie_owners": OP6_SQL, "op13_maxscore": OP13_SQL}
