@@ -12,6 +12,7 @@ from parcelmart.llm.exact_dedup import OP6_SQL, op6_trie_owners
 from parcelmart.llm.html_template import op10_template_slots
 from parcelmart.llm.jaccard_join import op3_count_tree_join
 from parcelmart.llm.licenses import op1_license_scan
+from parcelmart.llm.merkle import OP12_SQL, op12_merkle_proofs
 from parcelmart.llm.packing import op8_concat_and_cut
 from parcelmart.llm.quality_classifier import op5_hierarchical_quality
 from parcelmart.llm.quality_rules import op2_line_rules
@@ -32,10 +33,11 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_concat_and_cut": op8_concat_and_cut,
         "op9_virtual_slots": op9_virtual_slots,
         "op10_template_slots": op10_template_slots,
+        "op12_merkle_proofs": op12_merkle_proofs,
         "op13_maxscore": op13_maxscore,
     }
     return {name: with_code(query) for name, query in queries.items()}
 
 
 def check_sql() -> dict[str, str]:
-    return {"op6_trie_owners": OP6_SQL, "op13_maxscore": OP13_SQL}
+    return {"op6_trie_owners": OP6_SQL, "op12_merkle_proofs": OP12_SQL, "op13_maxscore": OP13_SQL}
