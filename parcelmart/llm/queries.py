@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelmart.llm.alignment import op11_pair_alignment
 from parcelmart.llm.bpe import op4_speculative_bpe
 from parcelmart.llm.common import with_code
 from parcelmart.llm.exact_dedup import OP6_SQL, op6_trie_owners
@@ -33,6 +34,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_concat_and_cut": op8_concat_and_cut,
         "op9_virtual_slots": op9_virtual_slots,
         "op10_template_slots": op10_template_slots,
+        "op11_pair_alignment": op11_pair_alignment,
         "op12_merkle_proofs": op12_merkle_proofs,
         "op13_maxscore": op13_maxscore,
     }
