@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from parcelmart.functions.clean import to_utc_ts
 from parcelmart.operators.fact import FACT_COLUMNS
 from parcelmart.session import work_table
-from parcelmart.sources.warehouse import QUALITY_COLUMNS, delivery_month
+from parcelmart.sources.warehouse import Commit, delivery_month, write_commit
 
 # Columns that steer a load and are not stored.
 CONTROL_COLUMNS = ("updatedAt", "updated_at")
@@ -18,14 +20,25 @@ ROW_OVERHEAD = 48
 FACTS_PER_TASK = 2_000_000
 
 
-def changed(ts: datetime | None, col: str = "updatedAt") -> Column:
+def change_date(df: DataFrame, col: str = "updatedAt") -> Column:
+    """Date a row changed. A column of dates stays as it is, so filters on it reach the scan; text that cannot be read
+    is no date."""
+    return to_utc_ts(F.col(col)) if df.schema[col].dataType.typeName() == "string" else F.col(col)
+
+
+def changed(df: DataFrame, ts: datetime | None, col: str = "updatedAt") -> Column:
     """Predicate: changed strictly after ``ts`` (None = always true); a row without a date never passes."""
-    return F.lit(True) if ts is None else F.col(col) > F.lit(ts)
+    return F.lit(True) if ts is None else change_date(df, col) > F.lit(ts)
 
 
 def changed_since(df: DataFrame, ts: datetime | None, col: str = "updatedAt") -> DataFrame:
     """Rows changed after ``ts``; the filter reaches the scan."""
-    return df.filter(changed(ts, col))
+    return df.filter(changed(df, ts, col))
+
+
+def undated(df: DataFrame, col: str = "updatedAt") -> DataFrame:
+    """Rows without a date they changed at."""
+    return df.filter(change_date(df, col).isNull())
 
 
 def load_mode(n_changed: Column, n_all: Column) -> Column:
@@ -35,7 +48,7 @@ def load_mode(n_changed: Column, n_all: Column) -> Column:
 
 def change_counts(df: DataFrame, ts: datetime | None, col: str = "updatedAt") -> DataFrame:
     """One row: number of changed rows, of all rows, and the load mode that follows."""
-    counts = df.agg(F.count_if(changed(ts, col)).alias("n_changed"), F.count(F.lit(1)).alias("n_all"))
+    counts = df.agg(F.count_if(changed(df, ts, col)).alias("n_changed"), F.count(F.lit(1)).alias("n_all"))
     return counts.withColumn("mode", load_mode(F.col("n_changed"), F.col("n_all")))
 
 
@@ -82,54 +95,58 @@ def write_table(df: DataFrame, path: str) -> int:
     return int(seen.get["bytes"])
 
 
-def write_months(facts: DataFrame, path: str, mode: str) -> tuple[int, set[int]]:
-    """Write facts partitioned by delivery month; returns how many and in which months, counted while writing."""
+def write_pieces(rows: DataFrame, path: str, key: str, mode: str = "overwrite") -> tuple[int, set[int]]:
+    """Write rows partitioned by ``key``; returns how many and which pieces there are, counted while writing."""
     seen = Observation()
-    months = F.collect_set("delivery_month").alias("months")  # at most one value per calendar month
-    measured = facts.observe(seen, F.count(F.lit(1)).alias("n"), months)
-    writer = measured.write.mode(mode).option("partitionOverwriteMode", "static")
-    writer.partitionBy("delivery_month").parquet(path)
-    return int(seen.get["n"]), set(seen.get["months"])
+    pieces = F.collect_set(key).alias("pieces")  # at most one value per calendar month or bucket
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("n"), pieces).write.mode(mode)
+    writer.option("partitionOverwriteMode", "static").partitionBy(key).parquet(path)
+    return int(seen.get["n"]), set(seen.get["pieces"])
+
+
+def write_months(facts: DataFrame, path: str, mode: str) -> tuple[int, set[int]]:
+    """Write facts partitioned by delivery month; returns how many and in which months."""
+    return write_pieces(facts, path, "delivery_month", mode)
+
+
+def sorting_tasks(df: DataFrame, rows: int) -> int:
+    """Tasks to sort so many facts in: all cores for as few as 10,000 facts each, more beyond ``FACTS_PER_TASK`` each."""
+    return max(min(df.sparkSession.sparkContext.defaultParallelism, rows // 10_000 + 1), -(-rows // FACTS_PER_TASK))
 
 
 def write_numbered_facts(rows: DataFrame, path: str, first_id: int) -> tuple[int, set[int]]:
     """Write facts with keys ``first_id, first_id + 1, ...``, partitioned by delivery month; returns count and months.
 
-    Keys follow the order month, order, then the other columns. The rows are written once as they come, which fixes
-    them: the tie among identical rows is their file and place in it, and repeating a task cannot change it. Then one
-    range shuffle on the columns and the tie serves three ends: even files, few files per month, and positions to number
-    by; neither a huge order nor a mass of copies ends up in one task. The key is the number of rows in the sorted
-    files before plus the position in the file.
+    The rows are written once as they come, which fixes them; see ``number_facts``.
+    """
+    with work_table(rows.select(*FACT_COLUMNS), "fact-rows") as fixed:
+        return number_facts(fixed, fixed.count(), path, first_id)
+
+
+def number_facts(fixed: DataFrame, n: int, path: str, first_id: int) -> tuple[int, set[int]]:
+    """Write ``n`` stored facts with keys ``first_id, first_id + 1, ...``, partitioned by delivery month.
+
+    Keys follow the order month, order, then the other columns. The tie among identical rows is their file and place in
+    it, and repeating a task cannot change it. One range shuffle on the columns and the tie serves three ends: even
+    files, few files per month, and positions to number by; neither a huge order nor a mass of copies ends up in one
+    task. The key is the number of rows in the sorted files before plus the position in the file.
     """
     order = ["delivery_month", *FACT_COLUMNS]
     file, row = F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
-    with work_table(rows.select(*FACT_COLUMNS), "fact-rows") as fixed:
-        placed = fixed.select("*", delivery_month(), file, row)
-        spread = min(fixed.sparkSession.sparkContext.defaultParallelism, fixed.count() // 10_000 + 1)
-        tasks = max(spread, -(-fixed.count() // FACTS_PER_TASK))
-        ranged = placed.repartitionByRange(tasks, *order, "_file", "_row").sortWithinPartitions(*order, "_file", "_row")
-        with work_table(ranged.drop("_file", "_row"), "facts") as stored:
-            located = stored.select("*", file, row)
-            per_file = located.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-            # One row per file, so per task of the range shuffle: one for each two million facts.
-            earlier = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
-            offsets = per_file.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-            fact_id = (F.col("_before") + F.col("_row") + first_id).cast("bigint").alias("fact_id")
-            numbered = located.join(F.broadcast(offsets), "_file").select(fact_id, *FACT_COLUMNS, "delivery_month")
-            return write_months(numbered, path, "overwrite")
-
-
-def record_run(
-    spark: SparkSession,
-    path: str,
-    version: int,
-    run_date: datetime,
-    last_fact_id: int,
-    parts: list,
-    quality: dict | None,
-    schema: str,
-) -> None:
-    """Append one row to the run log; this commits the load."""
-    counts = tuple(quality[c] for c in QUALITY_COLUMNS) if quality else None
-    row = (version, run_date, last_fact_id, [(p.table, p.month, p.version, p.bytes) for p in parts], counts)
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(f"{path}/etl_runs")
+    placed = fixed.select(*FACT_COLUMNS, delivery_month(), file, row)
+    ranged = placed.repartitionByRange(sorting_tasks(fixed, n), *order, "_file", "_row")
+    ordered = ranged.sortWithinPartitions(*order, "_file", "_row").drop("_file", "_row")
+    with work_table(ordered, "facts") as stored:
+        located = stored.select("*", file, row)
+        per_file = located.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+        # One row per file, so per task of the range shuffle: one for each two million facts.
+        earlier = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = per_file.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        fact_id = (F.col("_before") + F.col("_row") + first_id).cast("bigint").alias("fact_id")
+        numbered = located.join(F.broadcast(offsets), "_file").select(fact_id, *FACT_COLUMNS, "delivery_month")
+        return write_months(numbered, path, "overwrite")
+
+
+def record_run(spark: SparkSession, path: str, commit: Commit, quality: Mapping[str, int] | None) -> None:
+    """Add a load's row to the run log; this commits the load, unless its version has been committed meanwhile."""
+    write_commit(spark, path, commit, quality)

@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelmart.sources.commits import delete_folder
+
 # Settings results depend on.
 RESULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -57,7 +59,7 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 def work_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """``df`` written to the work folder and read back, so a lost executor costs a re-read and not a recomputation.
 
-    On exit the table is overwritten with no rows, which frees its space; use it only for what ends inside the block.
+    On exit the table is deleted; use it only for what ends inside the block.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, name)
@@ -65,4 +67,4 @@ def work_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
+        delete_folder(spark, path)

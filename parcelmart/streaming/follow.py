@@ -1,10 +1,11 @@
-"""Incremental loads started by arriving changes instead of a clock."""
+"""Loads from a stream: started by arriving news instead of a clock, or made of the arriving changes themselves."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
+from parcelmart.plans.changes import CHANGES_SCHEMA, apply_changes
 from parcelmart.plans.etl import run_etl
 from parcelmart.sources.tables import Source
 
@@ -25,3 +26,25 @@ def load_on_change(
     writer = changes.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return writer.trigger(**trigger).start()
+
+
+def change_files(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    """The stream of change rows in the Parquet files of a folder."""
+    return spark.readStream.schema(CHANGES_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+
+
+def follow_changes(
+    changes: DataFrame, path: str, checkpoint: str, feed: str = "changes", every: str | None = None
+) -> StreamingQuery:
+    """Apply a stream of change rows to a warehouse, one commit per micro-batch.
+
+    The commit holds the batch's number, so a batch that is delivered again after a failure is skipped. A feed belongs to
+    one checkpoint folder, which numbers its batches. Without ``every`` the stream ends when all waiting rows are applied.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        apply_changes(batch, path, batch_id, feed)
+
+    writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    return writer.trigger(**trigger).start()
