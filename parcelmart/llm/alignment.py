@@ -29,8 +29,9 @@ from pyspark.sql.types import _parse_datatype_string
 from parcelmart.llm.common import stored, table, text_batches
 from parcelmart.llm.tokens import public_path
 
-# A cut: a space between two characters that no tokenizer takes for white space.
-UNIT_START = re.compile(r"(?<=\S)(?= \S)")
+# A cut: a space between two characters that no tokenizer takes for white space; and what no cut is at.
+UNIT_START = re.compile(r"(?<=\S) (?=\S)")
+ODD_SPACE = re.compile(r"\s | \s|^ | \Z")
 # Units of one call to the libraries; units, links and characters remembered per worker, emptied beyond.
 UNITS_PER_CALL = 4000
 CACHE_UNITS, CACHE_LINKS, CACHE_CHARS = 1_000_000, 6_000_000, 64_000_000
@@ -89,14 +90,19 @@ class Aligner:
         ]
         self.sizes_a = np.array([len(b) for b in self.bytes_a])
         self.sizes_b = np.array([len(b) for b in self.bytes_b])
+        self.names = [str(i) for i in range(max(len(entries), len(pieces)))]
         # Cutting is right if no piece has its space sign behind another character.
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
 
     def units(self, text: str) -> list[str]:
-        """``text`` with a space before it, cut into units; nothing for an empty text."""
-        if not text:
-            return []
-        return UNIT_START.split(f" {text}") if self.cuts else [f" {text}"]
+        """``text`` with a space before it, cut into units, each without the space it begins with."""
+        if not text or not self.cuts:
+            return [text] if text else []
+        if ODD_SPACE.search(text):
+            # The space before the text belongs to an odd run where the text begins with white space.
+            first, *units = UNIT_START.split(f"x {text}")
+            return units if first == "x" else [first[2:], *units]
+        return text.split(" ")
 
     def align(self, units: list[str]) -> Aligned:
         parts = [self._align(units[i : i + UNITS_PER_CALL]) for i in range(0, len(units), UNITS_PER_CALL)]
@@ -106,39 +112,45 @@ class Aligner:
         return Aligned(*joined, [t for part in texts for t in part], starts, np.concatenate(links))
 
     def _align(self, units: list[str]) -> tuple:
-        raws = [u.encode() for u in units]
-        all_a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
-        all_b = self.b.encode([u[1:] for u in units], num_threads=1)
-        valid = np.array(
-            [
-                b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw
-                for raw, a, b in zip(raws, all_a, all_b)
-            ],
-            bool,
-        )
-        if not valid.all():
+        spaced = [f" {u}" for u in units]
+        raws = [u.encode() for u in spaced]
+        all_a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
+        all_b = self.b.encode(units, num_threads=1)
+        valid = np.ones(len(units), bool)
+        if not (self._gives(self.bytes_a, all_a, raws) and self._gives(self.bytes_b, all_b, raws)):
+            sides = (self.bytes_a, all_a), (self.bytes_b, all_b)
+            valid = np.array([all(self._gives(t, [ids[i]], [raw]) for t, ids in sides) for i, raw in enumerate(raws)])
             all_a, all_b = ([ids if ok else [] for ids, ok in zip(ids_of, valid)] for ids_of in (all_a, all_b))
         n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (all_a, all_b))
-        a, b = (np.array([i for x in ids for i in x], np.int64) for ids in (all_a, all_b))
+        flat_a, flat_b = ([i for x in ids for i in x] for ids in (all_a, all_b))
+        a, b = np.array(flat_a, np.int64), np.array(flat_b, np.int64)
         ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
         starts_a, starts_b = ends_a - self.sizes_a[a], ends_b - self.sizes_b[b]
         # Units end on both sides, so one run over all of them links nothing across two.
-        shared = np.intersect1d(ends_a, ends_b)
-        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
         first, last = np.searchsorted(ends_b, starts_a, "right"), np.searchsorted(starts_b, ends_a, "left")
         width = last - first
         at = np.repeat(first - np.cumsum(width) + width, width) + np.arange(width.sum())
         links = (np.repeat(a, width) << 32) | b[at]
         owner_a = np.repeat(np.arange(len(units)), n_a)
         counts = np.bincount(owner_a, width, len(units)).astype(np.int64)
-        unit_of_group = owner_a[np.searchsorted(ends_a, shared)]
-        n_groups = np.bincount(unit_of_group, minlength=len(units))
-        sides = [np.split(x.astype(str), np.flatnonzero(np.diff(g)) + 1) if len(x) else [] for x, g in ((a, group_a), (b, group_b))]
-        groups = [f"{','.join(x)}|{','.join(y)}" for x, y in zip(*(map(np.ndarray.tolist, side) for side in sides))]
+        last_a, last_b = np.searchsorted(ends_a, shared), np.searchsorted(ends_b, shared)
+        n_groups = np.bincount(owner_a[last_a], minlength=len(units))
+        cuts_a, cuts_b = ([0, *(x + 1).tolist()] for x in (last_a, last_b))
+        names_a, names_b = [self.names[i] for i in flat_a], [self.names[i] for i in flat_b]
+        groups = [
+            f"{','.join(names_a[i:j])}|{','.join(names_b[k:m])}"
+            for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:])
+        ]
         cut = np.concatenate([[0], np.cumsum(n_groups)]).tolist()
         texts = [";".join(groups[i:j]) for i, j in zip(cut, cut[1:])]
         return valid, n_a, n_b, n_groups, texts, counts, links
 
+    @staticmethod
+    def _gives(entries: list[bytes], ids: list[list[int]], raws: list[bytes]) -> bool:
+        """Whether the ids of each unit stand for its bytes."""
+        return all(b"".join([entries[i] for i in x]) == raw for x, raw in zip(ids, raws))
+
 
 @lru_cache(maxsize=2)
 def aligner(path_a: str, path_b: str) -> Aligner:
@@ -166,11 +178,13 @@ class Units:
     def add(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Documents and units, one entry per unit of a text, after learning what is new."""
         lists = [self.aligner.units(t or "") for t in texts]
-        known = self.index
-        new = list({u: None for units in lists for u in units if u not in known})
+        sizes = [len(units) for units in lists]
+        met = [u for units in lists for u in units]
+        found = list(map(self.index.get, met))
+        new = list(dict.fromkeys([u for u, i in zip(met, found) if i is None]))
         if new:
             got = self.aligner.align(new)
-            known.update(zip(new, range(len(known), len(known) + len(new))))
+            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
             self.texts += got.texts
             self.chars += sum(map(len, new)) + sum(map(len, got.texts))
             counts = np.diff(got.starts)
@@ -181,9 +195,8 @@ class Units:
                 n, best = self.lookup.find(got.links)
                 ends = np.concatenate([np.zeros((2, 1), np.int64), np.cumsum(np.stack([best, n]), axis=1)], axis=1)
                 self.sums = np.concatenate([self.sums, ends[:, got.starts[1:]] - ends[:, got.starts[:-1]]], axis=1)
-        sizes = [len(units) for units in lists]
-        flat = np.fromiter((known[u] for units in lists for u in units), np.int64, sum(sizes))
-        return np.repeat(np.arange(len(lists)), sizes), flat
+            found = [self.index[u] if i is None else i for u, i in zip(met, found)]
+        return np.repeat(np.arange(len(lists)), sizes), np.array(found, np.int64)
 
     def totals(self, docs: np.ndarray, flat: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
         """Per document whether it has tokens, and the sums over its units."""
