@@ -104,22 +104,22 @@ class Aligner:
             return units if first == "x" else [first[2:], *units]
         return text.split(" ")
 
-    def align(self, units: list[str]) -> Aligned:
-        parts = [self._align(units[i : i + UNITS_PER_CALL]) for i in range(0, len(units), UNITS_PER_CALL)]
+    def align(self, units: list[str], with_texts: bool = True) -> Aligned:
+        parts = [self._align(units[i : i + UNITS_PER_CALL], with_texts) for i in range(0, len(units), UNITS_PER_CALL)]
         valid, n_a, n_b, n_groups, texts, counts, links = zip(*parts)
         starts = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
         joined = [np.concatenate(x) for x in (valid, n_a, n_b, n_groups)]
         return Aligned(*joined, [t for part in texts for t in part], starts, np.concatenate(links))
 
-    def _align(self, units: list[str]) -> tuple:
+    def _align(self, units: list[str], with_texts: bool) -> tuple:
         spaced = [f" {u}" for u in units]
         raws = [u.encode() for u in spaced]
         all_a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
         all_b = self.b.encode(units, num_threads=1)
         valid = np.ones(len(units), bool)
-        if not (self._gives(self.bytes_a, all_a, raws) and self._gives(self.bytes_b, all_b, raws)):
-            sides = (self.bytes_a, all_a), (self.bytes_b, all_b)
-            valid = np.array([all(self._gives(t, [ids[i]], [raw]) for t, ids in sides) for i, raw in enumerate(raws)])
+        sides = (self.bytes_a, self.sizes_a, all_a), (self.bytes_b, self.sizes_b, all_b)
+        if not all(self._gives(*side, raws) for side in sides):
+            valid = np.array([all(self._gives(t, n, [ids[i]], [raw]) for t, n, ids in sides) for i, raw in enumerate(raws)])
             all_a, all_b = ([ids if ok else [] for ids, ok in zip(ids_of, valid)] for ids_of in (all_a, all_b))
         n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (all_a, all_b))
         flat_a, flat_b = ([i for x in ids for i in x] for ids in (all_a, all_b))
@@ -136,6 +136,8 @@ class Aligner:
         counts = np.bincount(owner_a, width, len(units)).astype(np.int64)
         last_a, last_b = np.searchsorted(ends_a, shared), np.searchsorted(ends_b, shared)
         n_groups = np.bincount(owner_a[last_a], minlength=len(units))
+        if not with_texts:
+            return valid, n_a, n_b, n_groups, [], counts, links
         cuts_a, cuts_b = ([0, *(x + 1).tolist()] for x in (last_a, last_b))
         names_a, names_b = [self.names[i] for i in flat_a], [self.names[i] for i in flat_b]
         groups = [
@@ -147,9 +149,13 @@ class Aligner:
         return valid, n_a, n_b, n_groups, texts, counts, links
 
     @staticmethod
-    def _gives(entries: list[bytes], ids: list[list[int]], raws: list[bytes]) -> bool:
-        """Whether the ids of each unit stand for its bytes."""
-        return all(b"".join([entries[i] for i in x]) == raw for x, raw in zip(ids, raws))
+    def _gives(entries: list[bytes], sizes: np.ndarray, ids: list[list[int]], raws: list[bytes]) -> bool:
+        """Whether the ids of each unit stand for its bytes: all of them joined, with an end where each unit ends."""
+        flat = [i for x in ids for i in x]
+        if b"".join([entries[i] for i in flat]) != b"".join(raws):
+            return False
+        ends = np.concatenate([[0], np.cumsum(sizes[flat])]) if flat else np.zeros(1, np.int64)
+        return bool((ends[np.cumsum([len(x) for x in ids])] == np.cumsum([len(r) for r in raws])).all())
 
 
 @lru_cache(maxsize=2)
@@ -160,8 +166,8 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 class Units:
     """The distinct units met so far with what a document's numbers are added up from."""
 
-    def __init__(self, found: Aligner, lookup: PairCounts | None) -> None:
-        self.aligner, self.lookup = found, lookup
+    def __init__(self, found: Aligner, lookup: PairCounts | None, with_texts: bool = True) -> None:
+        self.aligner, self.lookup, self.with_texts = found, lookup, with_texts
         self.clear()
 
     def clear(self) -> None:
@@ -170,7 +176,8 @@ class Units:
         self.chars = 0
         self.numbers = np.zeros((6, 0), np.int64)  # valid, tokens of A, of B, groups, links; starts of the links
         self.sums = np.zeros((2, 0), np.int64)  # links with the best count, sum of counts
-        self.pairs = np.zeros(0, np.int64)
+        self.pairs = np.zeros(0, np.int64)  # numbers in ``names`` of the linked pairs
+        self.names: dict[int, int] = {}
 
     def full(self) -> bool:
         return len(self.index) > CACHE_UNITS or len(self.pairs) > CACHE_LINKS or self.chars > CACHE_CHARS
@@ -183,14 +190,16 @@ class Units:
         found = list(map(self.index.get, met))
         new = list(dict.fromkeys([u for u, i in zip(met, found) if i is None]))
         if new:
-            got = self.aligner.align(new)
+            got = self.aligner.align(new, self.with_texts)
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
             self.texts += got.texts
             self.chars += sum(map(len, new)) + sum(map(len, got.texts))
             counts = np.diff(got.starts)
             rows = np.stack([got.valid, got.n_a, got.n_b, got.n_groups, counts, got.starts[:-1] + len(self.pairs)])
             self.numbers = np.concatenate([self.numbers, rows], axis=1)
-            self.pairs = np.concatenate([self.pairs, got.links])
+            links, local = np.unique(got.links, return_inverse=True)
+            numbers = np.array([self.names.setdefault(x, len(self.names)) for x in links.tolist()], np.int64)
+            self.pairs = np.concatenate([self.pairs, numbers[local] if len(links) else numbers])
             if self.lookup is not None:
                 n, best = self.lookup.find(got.links)
                 ends = np.concatenate([np.zeros((2, 1), np.int64), np.cumsum(np.stack([best, n]), axis=1)], axis=1)
@@ -208,15 +217,29 @@ class Units:
 
     def pairs_of(self, docs: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct (document, pair) with the number of links, of documents and units as ``add`` gives them."""
-        key, times = np.unique(docs * (len(self.index) + 1) + flat, return_counts=True)
-        doc, unit = np.divmod(key, len(self.index) + 1)
-        width, start = self.numbers[4][unit], self.numbers[5][unit]
+        n = max(1, len(self.names))
+        keys, links = np.unique(self._linked(docs, flat), return_counts=True)
+        return keys // n, np.fromiter(self.names, np.int64, len(self.names))[keys % n], links
+
+    def documents_with(self, docs: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs and how many of the documents hold each."""
+        both = distinct(docs * len(self.index) + flat)
+        found = distinct(self._linked(both // len(self.index), both % len(self.index)) if len(both) else both)
+        count = np.bincount(found % max(1, len(self.names)), minlength=len(self.names))
+        met = np.flatnonzero(count)
+        return np.fromiter(self.names, np.int64, len(self.names))[met], count[met]
+
+    def _linked(self, docs: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        """Document and pair of every link, as one number."""
+        width, start = self.numbers[4][flat], self.numbers[5][flat]
         at = np.repeat(start - np.cumsum(width) + width, width) + np.arange(width.sum())
-        names, local = np.unique(self.pairs[at], return_inverse=True)
-        both, inverse = np.unique(np.repeat(doc, width) * (len(names) + 1) + local, return_inverse=True)
-        links = np.bincount(inverse, np.repeat(times, width), len(both)).astype(np.int64)
-        doc, local = np.divmod(both, len(names) + 1)
-        return doc, names[local], links
+        return np.repeat(docs, width) * max(1, len(self.names)) + self.pairs[at]
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values in order; for many whole numbers a sort is faster than a hash."""
+    values = np.sort(values)
+    return values[np.concatenate([values[:1] == values[:1], values[1:] != values[:-1]])]
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -310,7 +333,7 @@ def pair_partials(docs: DataFrame, path_a: str, path_b: str, text: str) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, units = TaskContext.get().partitionId(), Units(aligner(path_a, path_b), None)
+        task, units = TaskContext.get().partitionId(), Units(aligner(path_a, path_b), None, with_texts=False)
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
@@ -327,8 +350,7 @@ def pair_partials(docs: DataFrame, path_a: str, path_b: str, text: str) -> DataF
             at, flat = units.add(batch.column(0).to_pylist())
             has, _ = units.totals(at, flat, batch.num_rows)
             keep = has[at]
-            _, pairs, _ = units.pairs_of(at[keep], flat[keep])
-            held.append(np.unique(pairs, return_counts=True))
+            held.append(units.documents_with(at[keep], flat[keep]))
             if sum(len(h[0]) for h in held) > CACHE_LINKS:
                 held = [merged()]
                 if len(held[0][0]) > CACHE_LINKS // 2:
