@@ -257,7 +257,7 @@ def top_k(
         "*", all_of(blocks).alias("block"), spread(F.col("row"), chunks, n).alias("chunk"), F.lit(True).alias("is_row")
     )
     cells = found.unionByName(queries).withColumn("cell", F.col("block") * chunks + F.col("chunk"))
-    dealt = cells.repartition(chunks * blocks, "cell")
+    dealt = cells.repartitionById(chunks * blocks, F.col("cell").cast("int"))
     ordered = dealt.sortWithinPartitions("cell", "is_row", F.col("vec_id").asc_nulls_last(), "row")
     best = search_cells(ordered, k)
     by_score = Window.partitionBy("query").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last(), "row")
