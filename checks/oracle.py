@@ -198,6 +198,17 @@ def mode(table: str, col: str, since: str) -> str:
 
 
 _EARLY = f"""SELECT DISTINCT {day_of('"deliveryDate"')} AS day FROM {RAW['orders']} WHERE "updatedAt" <= {WM}"""
+_DELIVERY_MONTH = "CAST(coalesce(delivery_date_id // 100, 0) AS INT)"
+
+
+def _kept_sums(keys: str) -> str:
+    """Sums of the facts after two loads."""
+    return (
+        f"SELECT {keys}, CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) AS total_price, "
+        f"CAST(sum(quantity) AS BIGINT) AS quantity, count(*) AS items FROM ({_TWO_LOADS}) GROUP BY ALL"
+    )
+
+
 LOADS = {
     "ld1_changed_since": source("order_items", f'"OrderId", "ProductId", quantity, notes, {_DATES}')
     + f' src WHERE src."updatedAt" > {WM}',
@@ -238,6 +249,16 @@ LOADS = {
         f"SELECT {FACT_KEYS}, {FACT_VALUES} FROM fact WHERE order_id % 6 <> 0 AND (order_id % 10 <> 1 OR quantity % 2 <> 0)"
     ),
     "ld12_quality": TRANSFORMS["t25_quality"],
+    "ld1_text_dates": q(f"SELECT {FACT_KEYS}, {FACT_VALUES} FROM fact WHERE order_id % 9 <> 0 OR order_id % 7 = 0"),
+    "ld10_one_winner": q("SELECT 1 AS version, count(*) AS last_fact_id, 'refused' AS second FROM fact"),
+    "ld8_order_months": q(f"SELECT DISTINCT order_id, {_DELIVERY_MONTH} AS delivery_month FROM fact"),
+    "ld12_sums_user": _kept_sums(f"{_DELIVERY_MONTH} AS delivery_month, user_id"),
+    "ld12_sums_rider": _kept_sums(f"{_DELIVERY_MONTH} AS delivery_month, rider_id"),
+    "ld12_sums_product": _kept_sums(f"{_DELIVERY_MONTH} AS delivery_month, delivery_date_id, product_id"),
+    "ld7_change_rows": q(f"SELECT {FACT_KEYS}, {FACT_VALUES} FROM fact"),
+    "ld3_change_rows": q(f"SELECT {USER_COLS} FROM dim_user"),
+    "ld3_change_rows_riders": q(f"SELECT {RIDER_COLS} FROM dim_rider"),
+    "ld6_change_rows": q(f"SELECT {DATE_COLS} FROM dim_date"),
 }
 SCANS["s8_warehouse_fact"] = _TWO_LOADS
 
@@ -550,6 +571,7 @@ BLOCKS = {
     "j3_fact_user": q(f"SELECT order_id, f.user_id, u.country, u.city FROM fact f {_JOIN_USER}"),
     "j4_fact_rider": q(f"SELECT order_id, f.rider_id, r.vehicle_type, r.courier_name FROM fact f {_JOIN_RIDER}"),
     "j5_left_join": q(f"SELECT order_id, f.rider_id, r.courier_name FROM fact f LEFT {_JOIN_RIDER}"),
+    "j3_key_filter": q(f"SELECT order_id, f.user_id FROM fact f {_JOIN_USER} WHERE u.country = 'ASIA'"),
     "j6_anti_join": q(f"SELECT user_id FROM dim_user WHERE user_id NOT IN {_USERS_1998}"),
     "j7_semi_join": q(f"SELECT user_id FROM dim_user WHERE user_id IN {_USERS_1998}"),
     "g1_sum": q(f"SELECT product_id, {_SALES}, CAST(sum(quantity) AS BIGINT) AS units FROM fact GROUP BY product_id"),
@@ -571,6 +593,10 @@ BLOCKS = {
         f"""SELECT u.country, u.city, p.category, {_SALES}, CAST(grouping(u.country, u.city, p.category) AS INT) AS gid
         FROM fact f {_JOIN_USER} {_JOIN_PRODUCT} GROUP BY ROLLUP (u.country, u.city, p.category)"""
     ),
+    "g6_rollup_distinct": q(
+        f"""SELECT u.country, u.city, {_SALES}, count(DISTINCT f.rider_id) AS riders,
+        CAST(grouping(u.country, u.city) AS INT) AS gid FROM fact f {_JOIN_USER} GROUP BY ROLLUP (u.country, u.city)"""
+    ),
     "g7_period_group": q(f"SELECT {_MONTH} AS period, {_SALES} FROM fact f {_JOIN_DATE} GROUP BY 1"),
     "g8_extremes": q(
         """SELECT (SELECT city FROM s ORDER BY sales DESC, city LIMIT 1) AS highest,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from parcelmart.functions import calendar as cal
 from parcelmart.functions import clean, numeric
 from parcelmart.operators import dims, fact, load
+from parcelmart.operators.key_filter import may_match
 from parcelmart.operators.ranking import global_rank, percent_rank_pct, previous_value, trailing_rows
 from parcelmart.operators.star import (
     Dim,
@@ -19,13 +20,15 @@ from parcelmart.operators.star import (
     delivered_in,
     extremes,
     opt_filter,
+    rollup_distinct,
     rollup_labelled,
     share_of_total,
     star_sum,
     top_k,
 )
 from parcelmart.plans import etl, queries, reports
-from parcelmart.session import fresh_dir, prepare
+from parcelmart.plans.changes import apply_changes, changes_of
+from parcelmart.session import fresh_dir, prepare, work_table
 from parcelmart.sources import warehouse as store
 from parcelmart.sources.tables import Source, read_source
 from parcelmart.sources.testdata import mapped_source
@@ -68,6 +71,21 @@ class Context:
         etl.run_etl(self.spark, first, path, WATERMARK)
         return etl.run_etl(self.spark, second, path, SECOND_RUN)["fact_orders"].select(*fact.FACT_COLUMNS)
 
+    @cached_property
+    def fed(self) -> Warehouse:
+        """A warehouse kept by change rows: in four batches, some rows early, some late, older states after newer ones, and
+        batches that come again."""
+        path = fresh_dir(self.spark, "warehouse")
+        with work_table(changes_of(self.source), "changes") as rows:
+            key = F.coalesce(*[F.col(f"{t}.id") for t in store.CHANGES])
+            late = F.col("products").isNotNull() & (key % 5 == 0)
+            batches = [rows.filter((key % 3 == 0) & ~late), _older(rows).unionByName(rows.filter((key % 3 == 1) & ~late))]
+            batches += [rows.filter(key % 2 == 0), rows]
+            for n, batch in enumerate(batches):
+                apply_changes(batch, path, n)
+                fed = apply_changes(batches[0], path, n)
+        return fed
+
     @cached_property
     def loaded(self) -> Warehouse:
         return store.warehouse(self.spark, self.path)
@@ -87,6 +105,15 @@ def context(spark: SparkSession, sf_dir: str) -> Context:
     return Context(prepare(spark), sf_dir)
 
 
+def _older(rows: DataFrame) -> DataFrame:
+    """Orders and users as they may have been years before: one item, another user, another city."""
+    before = lambda t: F.col(t).withField("updatedAt", F.col(f"{t}.updatedAt") - F.expr("INTERVAL 3000 DAYS"))
+    undated = lambda i: i.withField("updatedAt", F.lit(None).cast("timestamp"))
+    orders = before("orders").withField("items", F.transform(F.slice("orders.items", 1, 1), undated))
+    changed = {"orders": orders.withField("userId", F.lit(1).cast("bigint")), "users": before("users").withField("city", F.lit("Old"))}
+    return rows.withColumns(changed).filter("orders IS NOT NULL OR users IS NOT NULL")
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Decimals as doubles, dates and timestamps as text, so two engines' results can be compared by value."""
     plain = {"decimal": "double", "date": "string", "timestamp": "string", "timestamp_ntz": "string"}
@@ -198,6 +225,42 @@ def _lost_keys(c: Context) -> DataFrame:
     return c.facts_after(c.source, _changed(c, edits))
 
 
+def _text_dates(c: Context) -> DataFrame:
+    """Change dates of orders as text, some unreadable; in the second load orders lose their user."""
+    text = lambda col: F.when(F.col("id") % 7 == 0, "no date").otherwise(col.cast("string"))
+    first = lambda df: df.withColumn("updatedAt", text(F.col("updatedAt")))
+    lost = F.expr("id % 9 = 0 AND id % 7 <> 0")
+    second = lambda df: df.withColumns(
+        {
+            "userId": F.when(~lost, F.col("userId")),
+            "updatedAt": F.when(lost, F.lit(LATER_CHANGE).cast("string")).otherwise(text(F.col("updatedAt"))),
+        }
+    )
+    return c.facts_after(_changed(c, {"orders": first}), _changed(c, {"orders": second}))
+
+
+def _one_winner(c: Context) -> DataFrame:
+    """Of two loads that start from one version the second to commit fails; the run log afterwards."""
+    path = fresh_dir(c.spark, "warehouse")
+    late = etl.start_load(c.spark, path)
+    etl.run_etl(c.spark, c.source, path, SECOND_RUN)
+    outcome = "committed"
+    try:
+        load.record_run(c.spark, path, late.commit(SECOND_RUN, [], last_fact_id=0), None)
+    except store.LoadConflict:
+        outcome = "refused"
+    return store.runs(c.spark, path).select("version", "last_fact_id", F.lit(outcome).alias("second"))
+
+
+def _order_months(c: Context) -> DataFrame:
+    parts = store.last_commit(c.spark, c.path).of("order_index")
+    return store.read_parts(c.spark, c.path, "order_index", parts).select("order_id", "delivery_month")
+
+
+def _kept_sums(name: str) -> Callable[[Context], DataFrame]:
+    return lambda c: c.loaded[name]
+
+
 def _load_quality(c: Context) -> DataFrame:
     """Quality counts a load has put in its run-log row."""
     path = fresh_dir(c.spark, "warehouse")
@@ -326,6 +389,16 @@ LOADS: dict[str, Callable[[Context], DataFrame]] = {
     "ld12_no_change_date": _no_change_date,
     "ld12_lost_keys": _lost_keys,
     "ld12_quality": _load_quality,
+    "ld1_text_dates": _text_dates,
+    "ld10_one_winner": _one_winner,
+    "ld8_order_months": _order_months,
+    "ld12_sums_user": _kept_sums("sums_user"),
+    "ld12_sums_rider": _kept_sums("sums_rider"),
+    "ld12_sums_product": _kept_sums("sums_product"),
+    "ld7_change_rows": lambda c: c.fed["fact_orders"].select(*fact.FACT_COLUMNS),
+    "ld3_change_rows": lambda c: c.fed["dim_user"],
+    "ld3_change_rows_riders": lambda c: c.fed["dim_rider"],
+    "ld6_change_rows": lambda c: c.fed["dim_date"],
 }
 
 YEAR_1998 = ("1998-01-01", "1998-12-31")
@@ -473,6 +546,12 @@ def _late_customers(c: Context) -> DataFrame:
 
 _PLACES = Dim("dim_user", ["country", "city"])
 
+
+def _matching(c: Context, equals: dict[str, str]) -> DataFrame:
+    """Facts of some users: the filter on their keys first, then the exact join."""
+    users = Dim("dim_user", equals=equals).frame(c.wh)
+    return _keyed(c).filter(may_match(users, "user_id")).join(users, "user_id", "left_semi").select("order_id", "user_id")
+
 BLOCKS: dict[str, Callable[[Context], DataFrame]] = {
     "p1_optional_filter": lambda c: opt_filter(c.wh["dim_user"], country="ASIA", city=None).select("user_id", "country"),
     "p2_date_range": lambda c: date_id_between(_keyed(c), 19980101, 19980331).select("order_id", "delivery_date_id"),
@@ -493,6 +572,7 @@ BLOCKS: dict[str, Callable[[Context], DataFrame]] = {
         "order_id", "rider_id", "courier_name"
     ),
     "j6_anti_join": lambda c: c.wh["dim_user"].join(_late_customers(c), "user_id", "left_anti").select("user_id"),
+    "j3_key_filter": lambda c: _matching(c, {"country": "ASIA"}),
     "j7_semi_join": lambda c: c.wh["dim_user"].join(_late_customers(c), "user_id", "left_semi").select("user_id"),
     "g1_sum": lambda c: _sums(c, [], ["product_id"], sales=F.col("total_price"), units=F.col("quantity").cast("bigint")),
     "g2_count": lambda c: _sums(c, [Dim("dim_rider", ["vehicle_type"])], ["vehicle_type"], deliveries=_one()),
@@ -507,6 +587,9 @@ BLOCKS: dict[str, Callable[[Context], DataFrame]] = {
         _sums(c, [_PLACES, Dim("dim_product", ["category"])], list(queries.PLACE_KEYS)), queries.PLACE_KEYS, {},
         [F.sum("sales").alias("sales")],
     ),
+    "g6_rollup_distinct": lambda c: rollup_distinct(
+        _sums(c, [_PLACES], ["country", "city", "rider_id"]), ["country", "city"], {}, ["sales"], "rider_id", "riders"
+    ),
     "g7_period_group": lambda c: _sums(
         c, [Dim("dim_date", [cal.period_of_date_id(F.col("date_id"), "month").alias("period")])], ["period"]
     ),

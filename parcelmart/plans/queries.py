@@ -18,10 +18,12 @@ from parcelmart.operators.star import (
     Dim,
     date_id_between,
     delivered_in,
+    rollup_distinct,
     rollup_labelled,
     star_sum,
     top_k,
 )
+from parcelmart.operators.sums import facts_or_sums, monthly_sums
 from parcelmart.sources.warehouse import Warehouse
 
 # The labels of subtotal rows in the revenue rollups.
@@ -45,7 +47,8 @@ def revenue_by_period(
     granularity: str = "month",
 ) -> DataFrame:
     """Revenue and units per year, month or day of a date range; an unknown granularity gives one NULL period."""
-    facts = date_id_between(wh["fact_orders"], date_text_to_id(start), date_text_to_id(end))
+    facts = facts_or_sums(wh, "delivery_date_id", "product_id")
+    facts = date_id_between(facts, date_text_to_id(start), date_text_to_id(end))
     period = period_of_date_id(F.col("date_id"), granularity).alias("period")
     dims = [Dim("dim_date", [period]), Dim("dim_product", equals={"category": _category(category)})]
     sums = {"revenue": F.col("total_price"), "units_sold": F.col("quantity").cast("bigint")}
@@ -81,8 +84,9 @@ def top_products(
 
 def sales_moving_average(wh: Warehouse, country: str | None = None, periods: int = 3) -> DataFrame:
     """Monthly sales per country and the mean of the last ``periods`` monthly rows (months without sales are no rows)."""
-    dims = [Dim("dim_date", ["year", "month"]), Dim("dim_user", ["country"], {"country": country})]
-    monthly = star_sum(wh, wh["fact_orders"], dims, ["year", "month", "country"], {"total_sales": F.col("total_price")})
+    rows, dims = monthly_sums(wh, "sums_user") or (wh["fact_orders"], [Dim("dim_date", ["year", "month"])])
+    dims = [*dims, Dim("dim_user", ["country"], {"country": country})]
+    monthly = star_sum(wh, rows, dims, ["year", "month", "country"], {"total_sales": F.col("total_price")})
     recent = trailing_rows(["country"], ["year", "month"], periods)
     mean = rounded_mean(F.sum("total_sales").over(recent), F.count("total_sales").over(recent))
     return _sorted(monthly.withColumn(f"moving_avg_{periods}_month", mean), "year", "month", "country")
@@ -102,10 +106,13 @@ def vehicle_deliveries(
     wh: Warehouse, year: int | None = None, month: int | None = None, with_gid: bool = False
 ) -> DataFrame:
     """Deliveries per year, month and vehicle type with subtotals; summed before the rollup expands anything."""
-    facts = delivered_in(wh["fact_orders"], year, month)
-    dims = [Dim("dim_date", ["year", "month"], {"year": year, "month": month}), Dim("dim_rider", ["vehicle_type"])]
-    keys = ["year", "month", "vehicle_type"]
-    leaf = star_sum(wh, facts, dims, keys, {"n": F.lit(1).cast("bigint")})
+    kept, keys = monthly_sums(wh, "sums_rider", year, month), ["year", "month", "vehicle_type"]
+    if kept:
+        rows, dims, items = *kept, F.col("items")
+    else:
+        rows, items = delivered_in(wh["fact_orders"], year, month), F.lit(1).cast("bigint")
+        dims = [Dim("dim_date", ["year", "month"], {"year": year, "month": month})]
+    leaf = star_sum(wh, rows, [*dims, Dim("dim_rider", ["vehicle_type"])], keys, {"n": items})
     total = F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("total_deliveries")
     rolled = rollup_labelled(leaf, keys, {}, [total])
     return _sorted(rolled if with_gid else rolled.drop("gid"), *keys)
@@ -175,7 +182,12 @@ def revenue_measures() -> list[Column]:
 
 
 def _revenue_rollup(leaves: DataFrame) -> DataFrame:
-    return rollup_labelled(leaves, PLACE_KEYS, TOTAL_LABELS, revenue_measures())
+    rolled = rollup_distinct(leaves, PLACE_KEYS, TOTAL_LABELS, ["revenue", "items"], "rider_id", "unique_riders")
+    average = F.col("revenue").cast("double") / F.nullif(F.col("items"), F.lit(0)).cast("double")
+    return rolled.select(
+        *PLACE_KEYS, F.col("revenue").cast(MONEY_SUM).alias("total_revenue"), "unique_riders",
+        average.alias("average_order_value"), "gid",
+    )
 
 
 def revenue_rollup(

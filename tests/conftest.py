@@ -17,6 +17,13 @@ def spark(tmp_path_factory) -> SparkSession:
         "spark.sql.shuffle.partitions": "2",
         "spark.ui.enabled": "false",
         "spark.log.level": "ERROR",
+        "spark.ui.showConsoleProgress": "false",
+        # The whole suite runs in this one session.
+        "spark.driver.memory": "4g",
+        "spark.sql.ui.retainedExecutions": "10",
+        "spark.ui.retainedJobs": "10",
+        "spark.ui.retainedStages": "10",
+        "spark.ui.retainedTasks": "100",
         # On these tiny inputs compiling code and re-planning between stages take longer than the work itself; the
         # bench and the driver's checks run with both.
         "spark.sql.adaptive.enabled": "false",

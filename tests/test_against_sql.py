@@ -25,7 +25,7 @@ def results(spark, request):
         df = QUERIES[name](spark, SMALL)
         return df.columns, frame_rows(df)
 
-    with ThreadPoolExecutor(6) as pool:
+    with ThreadPoolExecutor(4) as pool:
         yield {name: pool.submit(run, name) for name in names}
 
 
@@ -35,7 +35,7 @@ def test_every_query_has_check_sql():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(results, duck, name):
-    columns, rows = results[name].result()
+    columns, rows = results.pop(name).result()
     expected = duck.sql(oracle.ALL[name])
     assert sorted(columns) == sorted(expected.columns)
     assert rows == rows_of(expected.columns, expected.fetchall())
