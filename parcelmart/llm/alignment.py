@@ -13,6 +13,7 @@ up; the pair stored at a slot is compared, so a pair that was never counted cann
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,9 +30,9 @@ from pyspark.sql.types import _parse_datatype_string
 from parcelmart.llm.common import stored, table, text_batches
 from parcelmart.llm.tokens import public_path
 
-# A cut: a space between two characters that no tokenizer takes for white space; and what no cut is at.
+# A cut: a space between two characters that no tokenizer takes for white space.
 UNIT_START = re.compile(r"(?<=\S) (?=\S)")
-ODD_SPACE = re.compile(r"\s | \s|^ | \Z")
+WHITE = [chr(i) for i in range(0x3001) if chr(i).isspace()]
 # Units of one call to the libraries; units, links and characters remembered per worker, emptied beyond.
 UNITS_PER_CALL = 4000
 CACHE_UNITS, CACHE_LINKS, CACHE_CHARS = 1_000_000, 6_000_000, 64_000_000
@@ -56,6 +57,11 @@ def byte_of_symbol() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def odd_spaces(text: str) -> bool:
+    """Whether a space of the text stands at an end or beside other white space."""
+    return text[0] == " " or text[-1] == " " or any(w in text and (f"{w} " in text or f" {w}" in text) for w in WHITE)
+
+
 class Aligned(NamedTuple):
     """Per unit: whether both tokenizers give its bytes, numbers of tokens, groups and links, the groups as text, and the
     links (a << 32 | b) of unit ``i`` at ``starts[i]:starts[i + 1]``."""
@@ -76,6 +82,8 @@ class Aligner:
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
+        # Spark gives each worker its core; more threads would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = Tokenizer.from_file(path_a)
         self.a.no_truncation()
         self.a.no_padding()
@@ -98,7 +106,7 @@ class Aligner:
         """``text`` with a space before it, cut into units, each without the space it begins with."""
         if not text or not self.cuts:
             return [text] if text else []
-        if ODD_SPACE.search(text):
+        if odd_spaces(text):
             # The space before the text belongs to an odd run where the text begins with white space.
             first, *units = UNIT_START.split(f"x {text}")
             return units if first == "x" else [first[2:], *units]
