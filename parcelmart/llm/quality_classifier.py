@@ -86,13 +86,13 @@ def text_features(text: str | None) -> list[float]:
 def features(docs: DataFrame, doc_id: str, text: str, site: str, section: str, keep_rows: bool) -> DataFrame:
     """Id, site, section and features of every row, with the whole row on request."""
     columns = [
-        F.col(text).cast("string").alias("text"),
         F.col(doc_id).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"),
         F.coalesce(F.col(section).cast("string"), F.lit("")).alias("section"),
     ]
-    if keep_rows:
-        columns.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # A kept row has its text, which is sent once.
+    columns.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row") if keep_rows else F.col(text).cast("string"))
+    place = docs.columns.index(text) if keep_rows else None
     rows = docs.select(*columns)
     result = _parse_datatype_string("doc_id bigint, site string, section string, x array<double>")
     if keep_rows:
@@ -101,8 +101,9 @@ def features(docs: DataFrame, doc_id: str, text: str, site: str, section: str, k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
-            x = pa.array([text_features(t) for t in batch.column(0).to_pylist()], schema.field("x").type)
-            columns = [*batch.columns[1:4], x, *batch.columns[4:]]
+            texts = batch.column(3) if place is None else batch.column(3).field(place)
+            x = pa.array([text_features(t) for t in texts.to_pylist()], schema.field("x").type)
+            columns = [*batch.columns[:3], x, *([] if place is None else [batch.column(3)])]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return rows.mapInArrow(run, result)

@@ -11,9 +11,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
@@ -219,27 +218,22 @@ def quality_verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     return rows.mapInArrow(run, VERDICTS)
 
 
-def cleaned(text: Column) -> Column:
-    """``cleaned_text`` of a column. Marked as not repeatable so that its several uses share one evaluation."""
-
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: cleaned_text(t if isinstance(t, str) else None))
-
-    return run.asNondeterministic()(text)
-
-
 def apply_quality_rules(docs: DataFrame, text: str = "text", chars: str | None = None) -> DataFrame:
     """The documents that pass, with failing lines taken out of their texts; ``chars`` names a column that holds the
     text's length and follows it. All other columns and their order stay."""
-    fresh = "_cleaned"
-    while fresh in docs.columns:
-        fresh += "_"
-    passed = docs.withColumn(fresh, cleaned(F.col(text).cast("string"))).filter(F.col(fresh).isNotNull())
-    values = {text: F.col(fresh)}
-    if chars in docs.columns:
-        values[chars] = F.char_length(fresh).cast(docs.schema[chars].dataType)
-    return passed.select(*[values.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    rows = docs.withColumn(text, F.col(f"`{text}`").cast("string"))
+    schema, place = to_arrow_schema(rows.schema), docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches):
+            fresh = pa.array([cleaned_text(t) for t in batch.column(place).to_pylist()], schema.field(place).type)
+            kept = batch.set_column(place, schema.field(place), fresh).filter(fresh.is_valid())
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(kept.columns, schema)], schema=schema)
+
+    passed = rows.mapInArrow(run, rows.schema)
+    if chars not in docs.columns:
+        return passed
+    return passed.withColumn(chars, F.char_length(f"`{text}`").cast(docs.schema[chars].dataType))
 
 
 def op2_line_rules(spark, sf_dir: str) -> DataFrame:
