@@ -251,6 +251,7 @@ LOADS = {
     "ld12_quality": TRANSFORMS["t25_quality"],
     "ld1_text_dates": q(f"SELECT {FACT_KEYS}, {FACT_VALUES} FROM fact WHERE order_id % 9 <> 0 OR order_id % 7 = 0"),
     "ld10_one_winner": q("SELECT 1 AS version, count(*) AS last_fact_id, 'refused' AS second FROM fact"),
+    "ld9_compacted": TRANSFORMS["t21_fact_id"],
     "ld8_order_months": q(f"SELECT DISTINCT order_id, {_DELIVERY_MONTH} AS delivery_month FROM fact"),
     "ld12_sums_user": _kept_sums(f"{_DELIVERY_MONTH} AS delivery_month, user_id"),
     "ld12_sums_rider": _kept_sums(f"{_DELIVERY_MONTH} AS delivery_month, rider_id"),

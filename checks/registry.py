@@ -26,7 +26,7 @@ from parcelmart.operators.star import (
     star_sum,
     top_k,
 )
-from parcelmart.plans import etl, queries, reports
+from parcelmart.plans import etl, queries, reports, upkeep
 from parcelmart.plans.changes import apply_changes, changes_of
 from parcelmart.session import fresh_dir, prepare, work_table
 from parcelmart.sources import warehouse as store
@@ -252,6 +252,15 @@ def _one_winner(c: Context) -> DataFrame:
     return store.runs(c.spark, path).select("version", "last_fact_id", F.lit(outcome).alias("second"))
 
 
+def _compacted(c: Context) -> DataFrame:
+    """Facts with their keys after the months were merged, and the version before was deleted."""
+    path = fresh_dir(c.spark, "warehouse")
+    etl.run_etl(c.spark, c.source, path, SECOND_RUN)
+    upkeep.compact(c.spark, path)
+    upkeep.expire(c.spark, path, 1)
+    return store.warehouse(c.spark, path)["fact_orders"].drop("delivery_month")
+
+
 def _order_months(c: Context) -> DataFrame:
     parts = store.last_commit(c.spark, c.path).of("order_index")
     return store.read_parts(c.spark, c.path, "order_index", parts).select("order_id", "delivery_month")
@@ -392,6 +401,7 @@ LOADS: dict[str, Callable[[Context], DataFrame]] = {
     "ld1_text_dates": _text_dates,
     "ld10_one_winner": _one_winner,
     "ld8_order_months": _order_months,
+    "ld9_compacted": _compacted,
     "ld12_sums_user": _kept_sums("sums_user"),
     "ld12_sums_rider": _kept_sums("sums_rider"),
     "ld12_sums_product": _kept_sums("sums_product"),
