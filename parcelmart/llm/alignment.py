@@ -17,6 +17,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -120,17 +121,16 @@ class Aligner:
         return Aligned(*joined, [t for part in texts for t in part], starts, np.concatenate(links))
 
     def _align(self, units: list[str], with_texts: bool) -> tuple:
-        spaced = [f" {u}" for u in units]
-        raws = [u.encode() for u in spaced]
-        all_a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
+        raws = list(map(str.encode, units))
+        all_a = [e.ids for e in self.a.encode_batch([f" {u}" for u in units], add_special_tokens=False)]
         all_b = self.b.encode(units, num_threads=1)
         valid = np.ones(len(units), bool)
-        sides = (self.bytes_a, self.sizes_a, all_a), (self.bytes_b, self.sizes_b, all_b)
-        if not all(self._gives(*side, raws) for side in sides):
-            valid = np.array([all(self._gives(t, n, [ids[i]], [raw]) for t, n, ids in sides) for i, raw in enumerate(raws)])
-            all_a, all_b = ([ids if ok else [] for ids, ok in zip(ids_of, valid)] for ids_of in (all_a, all_b))
-        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (all_a, all_b))
-        flat_a, flat_b = ([i for x in ids for i in x] for ids in (all_a, all_b))
+        sides = (self.bytes_a, self.sizes_a), (self.bytes_b, self.sizes_b)
+        if not all(gives(*side, *flattened(ids), raws) for side, ids in zip(sides, (all_a, all_b))):
+            each = [[gives(*side, *flattened([x]), [raw]) for x, raw in zip(ids, raws)] for side, ids in zip(sides, (all_a, all_b))]
+            valid = np.logical_and(*each)
+            all_a, all_b = ([x if ok else [] for x, ok in zip(ids, valid)] for ids in (all_a, all_b))
+        (flat_a, n_a), (flat_b, n_b) = flattened(all_a), flattened(all_b)
         a, b = np.array(flat_a, np.int64), np.array(flat_b, np.int64)
         ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
         starts_a, starts_b = ends_a - self.sizes_a[a], ends_b - self.sizes_b[b]
@@ -147,7 +147,7 @@ class Aligner:
         if not with_texts:
             return valid, n_a, n_b, n_groups, [], counts, links
         cuts_a, cuts_b = ([0, *(x + 1).tolist()] for x in (last_a, last_b))
-        names_a, names_b = [self.names[i] for i in flat_a], [self.names[i] for i in flat_b]
+        names_a, names_b = (list(map(self.names.__getitem__, flat)) for flat in (flat_a, flat_b))
         groups = [
             f"{','.join(names_a[i:j])}|{','.join(names_b[k:m])}"
             for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:])
@@ -156,14 +156,18 @@ class Aligner:
         texts = [";".join(groups[i:j]) for i, j in zip(cut, cut[1:])]
         return valid, n_a, n_b, n_groups, texts, counts, links
 
-    @staticmethod
-    def _gives(entries: list[bytes], sizes: np.ndarray, ids: list[list[int]], raws: list[bytes]) -> bool:
-        """Whether the ids of each unit stand for its bytes: all of them joined, with an end where each unit ends."""
-        flat = [i for x in ids for i in x]
-        if b"".join([entries[i] for i in flat]) != b"".join(raws):
-            return False
-        ends = np.concatenate([[0], np.cumsum(sizes[flat])]) if flat else np.zeros(1, np.int64)
-        return bool((ends[np.cumsum([len(x) for x in ids])] == np.cumsum([len(r) for r in raws])).all())
+
+def flattened(ids: list[list[int]]) -> tuple[list[int], np.ndarray]:
+    """All ids in a row, and how many each unit has."""
+    return list(chain.from_iterable(ids)), np.fromiter(map(len, ids), np.int64, len(ids))
+
+
+def gives(entries: list[bytes], sizes: np.ndarray, flat: list[int], n: np.ndarray, raws: list[bytes]) -> bool:
+    """Whether the ids of each unit stand for a space and its bytes: all of them joined, with an end where each unit ends."""
+    if b"".join(map(entries.__getitem__, flat)) != b" " + b" ".join(raws):
+        return False
+    ends = np.concatenate([[0], np.cumsum(sizes[flat])]) if flat else np.zeros(1, np.int64)
+    return bool((ends[np.cumsum(n)] == np.cumsum(np.fromiter(map(len, raws), np.int64, len(raws)) + 1)).all())
 
 
 @lru_cache(maxsize=2)
