@@ -16,6 +16,8 @@ from parcelmart.session import fresh_dir
 
 # Rows per block of the second level of a running sum.
 BLOCK = 4096
+# Bytes a batch of whole rows may hold that goes to Python and back.
+ROW_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -21,8 +21,8 @@ from pyspark.sql.types import _parse_datatype_string
 from parcelmart.llm.common import stored, table, text_batches
 
 # Bytes of text and nodes a task's tries may hold, and what a node counts for.
-TRIE_BYTES = 96 << 20
-BLOCK_BYTES = 32 << 20
+TRIE_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
 NODE_BYTES = 300
 # Parts of one length: bits of the content hash.
 BUCKET_BITS = 16
@@ -179,11 +179,11 @@ def place(key: bytes) -> tuple[int, int]:
 def prepared(docs: DataFrame, sign: int, doc_id: str, text: str, keep_rows: bool) -> DataFrame:
     """Every row with its tag and hash; the owner within its block carries the text and the block's count.
 
-    With ``keep_rows`` the whole input row goes along in ``row``.
+    With ``keep_rows`` the other columns of the input row go along in ``row``; the text itself is sent once.
     """
     columns = [F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")]
     if keep_rows:
-        columns.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        columns.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"))
     rows = docs.select(*columns)
     ddl = _parse_datatype_string(PREPARED)
     if keep_rows:
@@ -209,7 +209,7 @@ def prepared(docs: DataFrame, sign: int, doc_id: str, text: str, keep_rows: bool
                 keys,
                 [p[0] for p in places],
                 [p[1] for p in places],
-                [(texts[i] or "") if i in owned else None for i in range(len(ids))],
+                [texts[i] if i in owned else None for i in range(len(ids))],
                 *([owned[i][k] if i in owned else None for i in range(len(ids))] for k in range(3)),
             ]
             arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
@@ -231,7 +231,7 @@ def trie_owners(carriers: DataFrame, sign: int, budget: int = TRIE_BYTES) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = TrieForest(sign, budget)
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, BLOCK_BYTES):
             for length, bucket, text, sha, owner, tag, n in zip(*(c.to_pylist() for c in batch.columns)):
                 forest.add((length, bucket), normalised(text), owner, tag, n, sha)
             if forest.bytes > forest.budget:
@@ -251,7 +251,9 @@ def grouped(docs: DataFrame, keep: str, doc_id: str, text: str, keep_rows: bool)
     rows = stored(prepared(docs, sign, doc_id, text, keep_rows), "texts")
     # Stored, so that the join has an exchange of its own on this side and can split the rows of a very common text.
     owners = stored(trie_owners(rows.filter(F.col("n").isNotNull()), sign), "owners")
-    return rows.drop("text").join(owners, "sha").withColumn("kept", F.col("tag") == F.col("keep_tag"))
+    # The row that stays owns its text in its block too, so with rows only those that carry a text meet the owners.
+    rows = rows.filter(F.col("n").isNotNull()).drop("n") if keep_rows else rows.drop("text")
+    return rows.join(owners, "sha").withColumn("kept", F.col("tag") == F.col("keep_tag"))
 
 
 def exact_duplicates(docs: DataFrame, keep: str = "smallest", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -268,7 +270,8 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", doc_id: str = "doc
 def drop_exact_duplicates(docs: DataFrame, keep: str = "smallest", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns; rules as in ``exact_duplicates``."""
     found = grouped(docs, keep, doc_id, text, keep_rows=True)
-    return found.filter("kept").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    whole = F.col("text").cast(docs.schema[text].dataType)
+    return found.filter("kept").select(*[(whole if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def op6_trie_owners(spark, sf_dir: str) -> DataFrame:

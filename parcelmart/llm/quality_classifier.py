@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from parcelmart.llm.common import stored, table, text_batches
+from parcelmart.llm.common import ROW_BYTES, stored, table, text_batches
 
 # Most labelled rows the classifier is fitted on; the rows with the smallest hashes of their ids.
 LABELLED_ROWS = 20_000
@@ -100,7 +100,7 @@ def features(docs: DataFrame, doc_id: str, text: str, site: str, section: str, k
     schema = to_arrow_schema(result)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, ROW_BYTES):
             texts = batch.column(3) if place is None else batch.column(3).field(place)
             x = pa.array([text_features(t) for t in texts.to_pylist()], schema.field("x").type)
             columns = [*batch.columns[:3], x, *([] if place is None else [batch.column(3)])]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from parcelmart.llm.common import table, text_batches
+from parcelmart.llm.common import ROW_BYTES, table, text_batches
 
 # What counts as a symbol, and the limits of the document-level rules.
 SYMBOLS = "#*$%&|<>"
@@ -225,7 +225,7 @@ def apply_quality_rules(docs: DataFrame, text: str = "text", chars: str | None =
     schema, place = to_arrow_schema(rows.schema), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, ROW_BYTES):
             fresh = pa.array([cleaned_text(t) for t in batch.column(place).to_pylist()], schema.field(place).type)
             kept = batch.set_column(place, schema.field(place), fresh).filter(fresh.is_valid())
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(kept.columns, schema)], schema=schema)
