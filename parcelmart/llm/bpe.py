@@ -12,6 +12,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ PAIRS = 2_000_000
 SHIFT = 20
 # Letters below this code point are letters to every Unicode version.
 LATIN_END = "ɐ"
+# In place of a symbol that was merged into the one before it.
+GONE = -1
 ENCODED = "doc_id bigint, n_tokens bigint, ids binary"
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -88,28 +91,24 @@ class SpeculativeBpe(WordTokenizer):
     def merge(self, piece: str) -> list[int]:
         """Exact encoding of one piece in byte letters: the pair of lowest rank is merged until none is left."""
         symbols = [self.letter_ids[c] for c in piece]
-        get = self.merges.get
-        while len(symbols) > 1:
-            best, pair, new = None, None, None
-            for candidate in zip(symbols, symbols[1:]):
-                found = get(candidate)
-                if found is not None and (best is None or found[0] < best):
-                    best, new = found
-                    pair = candidate
-            if best is None:
-                break
-            out, i, last = [], 0, len(symbols) - 1
-            while i < last:
-                if symbols[i] == pair[0] and symbols[i + 1] == pair[1]:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(symbols[i])
-                    i += 1
-            if i == last:
-                out.append(symbols[last])
-            symbols = out
-        return symbols
+        size, get = len(symbols), self.merges.get
+        before, after = list(range(-1, size - 1)), list(range(1, size + 1))
+        # Pairs by rank, then from the left; one whose symbols were merged away meanwhile is passed over.
+        queue = [(*found, i, pair) for i, pair in enumerate(zip(symbols, symbols[1:])) if (found := get(pair))]
+        heapify(queue)
+        while queue:
+            _, new, i, pair = heappop(queue)
+            right = after[i]
+            if right >= size or (symbols[i], symbols[right]) != pair:
+                continue
+            symbols[i], symbols[right] = new, GONE
+            end = after[i] = after[right]
+            if end < size:
+                before[end] = i
+            for left, other in ((before[i], i), (i, end)):
+                if left >= 0 and other < size and (found := get((symbols[left], symbols[other]))):
+                    heappush(queue, (*found, left, (symbols[left], symbols[other])))
+        return [symbol for symbol in symbols if symbol != GONE]
 
     def propose(self, piece: str) -> list[int]:
         """Greedy longest match."""
@@ -129,6 +128,10 @@ class SpeculativeBpe(WordTokenizer):
             return [word.encode().decode("latin-1").translate(self.letters)]
         return [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(word)]
 
+    def _odd_words(self, text: str) -> list[str]:
+        """Pieces of a text with blank lines, tabs or several spaces; the pre-tokenizer cuts none of them again."""
+        return [text[start:end] for _, (start, end) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
     def encode_words(self, words: list[str]) -> list[bytes]:
         if not self.ready:
             return super().encode_words(words)

@@ -103,9 +103,13 @@ class WordTokenizer:
             return b""
         if self.spaced:
             words = self._spaced_words(text)
-            return self.encode_whole(text) if words is None else words
+            return self._odd_words(text) if words is None else words
         return self.encode_whole(text) if ODD_SPACE.search(text) else text.split()
 
+    def _odd_words(self, text: str) -> list[str] | bytes:
+        """What a text with white space of other kinds is cut into; here the library encodes it whole."""
+        return self.encode_whole(text)
+
     def _join(self, plans: list[list]) -> list[bytes]:
         self._learn([words for plan in plans for words in plan if isinstance(words, list)])
         get = self.cache.__getitem__

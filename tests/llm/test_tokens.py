@@ -158,3 +158,14 @@ def test_token_matrix(spark):
         if once[i] == 1:
             assert by_id[i] == [*library_ids(WORD, t).tolist(), 1]
     assert token_matrix(empty(spark), WORD).count() == 0
+
+
+def test_odd_white_space_goes_through_proposals():
+    bpe = SpeculativeBpe(public_path("byte_bpe_50k.json"))
+    whole, asked = bpe.encode_whole, []
+    bpe.encode_whole = lambda text: asked.append(text) or whole(text)
+    texts = ["One para.\n\nAnother  one,\twith tabs.\r\n", "  lead", "tail ", " ", "\n\n\n", "it's\n 'tis \xa0é\x1c", "zyxq" * 8000]
+    for text, ids in zip(texts, bpe.encode_all(texts)):
+        expected = bpe.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, ID_TYPE).tolist() == expected
+    assert not asked
