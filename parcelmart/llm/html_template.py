@@ -13,7 +13,7 @@ most of its prose.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -37,6 +37,7 @@ LEAST_PAGES = 3
 LAYOUT_LEVELS = 4
 # Templates up to this many bytes are broadcast, more are joined by a shuffle.
 BROADCAST_BYTES = 16 << 20
+# Levels of a path that are written out; below them a container's whole path is one hashed level.
 DEEPEST = 60
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,6 +50,8 @@ INLINE = frozenset(
 CONTROLS = frozenset("head button select option svg canvas object audio video".split())
 SKIPPED = frozenset("nav footer aside form menu dialog".split())
 ROOTS = frozenset(["html", "body", "article", "main"])
+# Those that may head a section; the first level is the page's title.
+HEADINGS = frozenset(["h2", "h3", "h4", "h5", "h6"])
 # Elements that a new element of the given kind ends.
 ENDS = {
     "li": frozenset(["li"]),
@@ -75,23 +78,26 @@ PLAIN_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr nav navbar navigation "
     "breadcrumb breadcrumbs pagination pager comment comments disqus replies respond footer newsletter subscribe".split()
 )
-OTHERWISE = frozenset("has no not with without wrap wrapper container layout page site content".split())
+OTHERWISE = frozenset("has no not with without wrap wrapper container layout page site content open closed off enabled disabled".split())
+# Words that tell it of what follows them too, as in comments-wrap, and words of a class that make an article a comment.
+LEADING_WORDS = frozenset(["comment", "comments", "disqus", "footer"])
+COMMENT_WORDS = frozenset("comment comments reply replies body item entry text".split())
 # And those that also name ordinary sections.
 DOUBTFUL_WORDS = frozenset("discussion related notice notices alert search".split())
 HEAD_WORDS = frozenset(["header", "masthead", "topbar"])
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.DOTALL,
-)
+# What begins a tag, its name, and its attributes up to where the tag or an unclosed quote ends. All possessive: a tag costs
+# its own length.
+OPENING = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|/?[a-zA-Z])")
+NAME = re.compile(r"[^\s/>]*+")
+ATTRIBUTES = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
+RAW_ENDS = {tag: re.compile(f"</{tag}\\b", re.IGNORECASE) for tag in RAW}
 NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
 SUMMARY = "host string, layout bigint, token string, pages bigint, total bigint, vector bigint, prose bigint, linked bigint"
 
 
 class Element:
-    __slots__ = ("tag", "path", "above", "block", "control", "evidence", "linked", "article", "main", "chosen", "skipped", "prose", "links", "varying", "held")
+    __slots__ = ("tag", "path", "above", "block", "control", "evidence", "linked", "article", "main", "chosen", "skipped", "cut", "shaded", "prose", "clean", "links", "varying", "held", "deep")
 
     def __init__(self, tag: str, path: str, above: Element | None) -> None:
         self.tag, self.path, self.above = tag, path, above
@@ -102,17 +108,20 @@ class Element:
         self.article = above.article if above else 0
         self.main = above.main if above else False
         self.chosen = above.chosen if above else False
-        self.skipped = self.held = False
-        self.prose = self.links = self.varying = 0
+        self.skipped = self.held = self.shaded = self.deep = False
+        # The highest element above that was removed, itself included.
+        self.cut: Element | None = None
+        # ``clean`` leaves out the prose of elements below that plain evidence speaks against.
+        self.prose = self.clean = self.links = self.varying = 0
 
 
-def described(tag: str, attributes: str) -> tuple[str, int, bool]:
+def described(tag: str, attributes: str) -> tuple[str, int, bool, bool]:
     """Name of an element in paths, evidence in its class, id and role that it is not main text (2 plain, 1 weak), and
-    whether they call it a page's head. Digits are left out of names."""
+    whether they call it a page's head or a reader's comment. Digits are left out of names."""
     if not attributes or "=" not in attributes:
-        return tag, 0, False
+        return tag, 0, False, False
     words: list[str] = []
-    evidence, head = 0, False
+    evidence, head, comment = 0, False, False
     for _, value in NAMES.findall(attributes):
         for name in value.lower().strip("\"'").split():
             parts = WORD.findall(name)
@@ -120,9 +129,21 @@ def described(tag: str, attributes: str) -> tuple[str, int, bool]:
             head = head or not HEAD_WORDS.isdisjoint(parts)
             aside = ASIDE_WORDS.intersection(parts)
             if aside:
-                plain = aside.issuperset(parts) or (aside & PLAIN_WORDS and OTHERWISE.isdisjoint(parts))
+                plain = aside.issuperset(parts) or (aside & PLAIN_WORDS and OTHERWISE.isdisjoint(parts)) or parts[0] in LEADING_WORDS
+                comment = comment or (parts[0] in COMMENT_WORDS and COMMENT_WORDS.issuperset(parts))
                 evidence = max(evidence, 2 if plain and not aside <= DOUBTFUL_WORDS else 1)
-    return ".".join([tag, *words[:4]]), evidence, head
+    return ".".join([tag, *words[:4]]), evidence, head, comment
+
+
+def path_below(above: Element, name: str) -> tuple[str, bool]:
+    """Path of an element of that name, and whether its last level is a hash."""
+    import xxhash
+
+    whole = f"{above.path}>{name}"
+    if not above.deep and above.path.count(">") < DEEPEST:
+        return whole, False
+    base = above.path.rpartition(">")[0] if above.deep else above.path
+    return f"{base}>{name}.~{xxhash.xxh3_64_hexdigest(whole.encode('utf-8', 'surrogatepass'))}", True
 
 
 def text_token(path: str, text: str) -> str:
@@ -144,6 +165,8 @@ class Page:
         self.owner = self.stack[0]
         self.opened: list[Element] = []
         self.articles = 0
+        # Open elements by tag, those in line by the block they are in too, so that what ends none is not searched.
+        self.ends: Counter = Counter()
 
     def text(self, raw: str) -> None:
         top = self.stack[-1]
@@ -162,8 +185,13 @@ class Page:
     def close_to(self, index: int) -> None:
         if any(e.tag not in INLINE for e in self.stack[index:]):
             self.end_block()
+        self.ends.subtract(self.end_key(e.tag, e.block) for e in self.stack[index:])
         del self.stack[index:]
 
+    @staticmethod
+    def end_key(tag: str, block: Element):
+        return (tag, id(block)) if tag in INLINE else tag
+
     def open(self, tag: str, attributes: str) -> None:
         if tag == "br":
             self.text(" ")
@@ -172,7 +200,8 @@ class Page:
         if block:
             self.end_block()
             enders = ENDS.get(tag)
-            for i in range(len(self.stack) - 1, 0, -1):
+            ending = self.ends["p"] or any(self.ends[e] for e in enders or ())
+            for i in range(len(self.stack) - 1, 0, -1) if ending else ():
                 name = self.stack[i].tag
                 if name == "p" or (enders and name in enders):
                     self.close_to(i)
@@ -188,63 +217,89 @@ class Page:
             element.block = above.block
             element.linked = above.linked or tag == "a"
         else:
-            name, evidence, head = described(tag, attributes)
-            path = f"{above.path}>{name}" if len(self.stack) < DEEPEST else above.path
+            name, evidence, head, comment = described(tag, attributes)
+            path, deep = path_below(above, name)
             element = Element(tag, path, above.block)
+            element.deep = deep
             element.linked = above.linked
             element.control = above.control or tag in CONTROLS
             inside = above.article or above.main
-            if tag not in ROOTS:
-                element.evidence = 2 if tag in SKIPPED or (not inside and (tag == "header" or head)) else evidence
-            if tag == "article" and not above.article:
+            comment = comment and tag == "article"
+            if tag not in ROOTS or comment:
+                element.evidence = 2 if comment or tag in SKIPPED or (not inside and (tag == "header" or head)) else evidence
+            if tag == "article" and not above.article and not comment:
                 self.articles += 1
                 element.article = self.articles
             element.main = above.main or tag == "main"
             element.chosen = above.chosen or path in self.chosen
             self.opened.append(element)
+        self.ends[self.end_key(tag, element.block)] += 1
         self.stack.append(element)
 
     def close(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                self.close_to(i)
-                return
-            if tag in INLINE and self.stack[i].tag not in INLINE:
-                return
-        if tag == "p":
+        if self.ends[self.end_key(tag, self.stack[-1].block)]:
+            self.close_to(next(i for i in range(len(self.stack) - 1, 0, -1) if self.stack[i].tag == tag))
+        elif tag == "p":
             self.end_block()
 
     def read(self, html: str | None) -> Page:
         html = html or ""
-        at, size = 0, len(html)
+        at, size, last = 0, len(html), html.rfind(">")
+        # Up to here quotes say nothing, since the last one of a kind is never closed.
+        unclosed = 0
         while at < size:
-            found = TAG.search(html, at)
-            if not found:
-                self.text(html[at:])
+            found = OPENING.search(html, at)
+            start = found.start() if found else size
+            unended = found is not None and start > last
+            if unended and html.startswith(("<!--", "<![CDATA["), start):
+                self.text(html[at:start])
+                if html.startswith("<![", start):
+                    self.text(html[start + 9 :].replace("&", "&amp;"))
                 break
-            self.text(html[at : found.start()])
-            at = found.end()
-            tag = found.group(2) or found.group(5)
-            if not tag:
-                if found.group().startswith("<![CDATA["):
-                    self.text(found.group()[9:].removesuffix("]]>").replace("&", "&amp;"))
+            if not found or unended:
+                # Without a ">" there is no further tag, but a comment may still begin.
+                end = min((i for i in (html.find("<!--", start), html.find("<![CDATA[", start)) if i >= 0), default=size)
+                self.text(html[at:end])
+                at = end
                 continue
-            tag = tag.lower()
-            if found.group(1) or found.group(4):
-                self.close(tag)
+            self.text(html[at:start])
+            opening = found.group()
+            if opening == "<!--":
+                end = html.find("-->", start + 4)
+                at = end + 3 if end >= 0 else size
+                continue
+            if opening == "<![CDATA[":
+                end = html.find("]]>", start)
+                self.text(html[start + 9 : end if end >= 0 else size].replace("&", "&amp;"))
+                at = end + 3 if end >= 0 else size
                 continue
-            attributes = found.group(3) or found.group(6) or ""
-            if tag in RAW:
-                if tag not in INLINE and not attributes.endswith("/"):
-                    end = re.compile(f"</{tag}\\b[^>]*>", re.IGNORECASE).search(html, at)
-                    at = end.end() if end else size
+            if opening[1] in "!?":
+                at = html.find(">", start) + 1
                 continue
-            self.open(tag, attributes)
+            closing = opening[1] == "/"
+            name = NAME.match(html, start + 1 + closing)
+            end = -1
+            if start >= unclosed:
+                end = ATTRIBUTES.match(html, name.end()).end()
+                if not html.startswith(">", end):
+                    unclosed, end = end, -1
+            if end < 0:
+                end = html.find(">", name.end())
+            at = end + 1
+            tag, attributes = name.group().lower(), html[name.end() : end]
+            if closing:
+                self.close(tag)
+            elif tag in RAW:
+                if not attributes.endswith("/"):
+                    found = RAW_ENDS[tag].search(html, at)
+                    at = html.find(">", found.end()) + 1 if found else 0
+                    at = at or size
+            else:
+                self.open(tag, attributes)
         self.close_to(1)
         self.end_block()
         return self
 
-
     def weigh(self, template: frozenset[str] = frozenset()) -> list[bool]:
         """Decides what evidence removes, and tells which blocks are text of the template."""
         root = self.stack[0]
@@ -256,25 +311,75 @@ class Page:
                     e.links += len(text)
                 else:
                     e.prose += len(text)
+        for e in [*self.opened, root]:
+            e.clean = e.prose
+            e.shaded = e.above is not None and (e.above.shaded or (e.evidence > 1 and e.tag != "form"))
         for e in reversed(self.opened):
             e.above.prose += e.prose
             e.above.links += e.links
             e.above.varying += e.varying
-        heads = [e for e in self.opened if e.tag == "article"] or [e for e in self.opened if e.tag == "main"]
-        best = max(heads, key=lambda e: e.prose, default=None)
-        if best is not None and best.prose >= SUPPORT * root.prose:
-            while best is not None:
-                best.held = True
-                best = best.above
+            if e.evidence < 2:
+                e.above.clean += e.clean
+        for e in self.held_parts():
+            while e is not None and not e.held:
+                e.held = True
+                e = e.above
         for e in self.opened:
             e.skipped = e.above.skipped or (
-                e.evidence > 0
-                and not e.held
-                and e.prose <= PROSE_SHARE * root.prose
-                and (e.evidence > 1 or e.prose < WEAK_SHARE * root.prose or e.links > e.prose or not e.prose)
+                not e.held
+                and (
+                    e.evidence > 1
+                    or e.evidence == 1
+                    and e.clean <= PROSE_SHARE * root.clean
+                    and (e.clean < WEAK_SHARE * root.clean or e.links > e.prose or not e.prose)
+                )
             )
+            e.cut = e.above.cut or (e if e.skipped else None)
+        self.drop_headings()
         return fixed
 
+    def held_parts(self) -> Iterator[Element]:
+        """What no evidence removes: the page's article or main part, a form around the page, and where plain evidence
+        speaks against all prose, the part of it with most."""
+        root = self.stack[0]
+        heads = [e for e in self.opened if e.tag == "article" and e.evidence < 2] or [e for e in self.opened if e.tag == "main"]
+        best = max((e for e in heads if not e.shaded), key=lambda e: e.clean, default=None)
+        if best is not None and best.clean >= SUPPORT * root.clean:
+            yield best
+        # One article within an aside or the like is the page's own if it is longer than all the rest.
+        if len(heads) == 1 and heads[0].shaded and heads[0].clean > root.clean:
+            yield heads[0]
+        against = [e for e in self.opened if e.evidence > 1]
+        if not root.clean:
+            largest = max((e for e in [*heads, *against]), key=lambda e: e.clean, default=None)
+            if largest is not None and largest.clean:
+                yield largest
+        titles = [e for e in self.opened if e.tag == "h1"]
+        titled = set()
+        for e in titles:
+            while e is not None and id(e) not in titled:
+                titled.add(id(e))
+                e = e.above
+        for e in against:
+            if e.tag == "form" and id(e) in titled and e.clean > root.clean:
+                yield e
+
+    def drop_headings(self) -> None:
+        """A heading goes too if plain evidence removed all of its section, as with a heading of comments."""
+        owners = [e for _, e, _ in self.blocks]
+        seen = False
+        for i, e in enumerate(owners):
+            if e.skipped:
+                continue
+            if seen and e.tag in HEADINGS and i + 1 < len(owners):
+                cut = owners[i + 1].cut
+                if cut is not None and cut.evidence > 1 and cut.above is e.above:
+                    after = next((o for o in owners[i + 1 :] if not o.skipped), None)
+                    if after is None or after.tag in HEADINGS or not below(after, e.above):
+                        e.skipped, e.cut = True, e
+                        continue
+            seen = True
+
     def layout(self) -> int:
         """Checksum of the outer containers; 0 stands for layouts taken together and is never one."""
         import xxhash
@@ -283,6 +388,12 @@ class Page:
         return (xxhash.xxh3_64_intdigest("\n".join(sorted(outer)).encode("utf-8", "surrogatepass")) >> 1) or 1
 
 
+def below(element: Element | None, above: Element) -> bool:
+    while element is not None and element is not above:
+        element = element.above
+    return element is above
+
+
 def main_text(html: str | None, chosen: frozenset[str] = frozenset(), template: frozenset[str] = frozenset()) -> str:
     """Text of the main slots of a page; where it has none of them, of its longest article, main part or body.
 

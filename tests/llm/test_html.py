@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+import time
 from html import unescape
 
 import pandas as pd
 import pytest
 
-from parcelmart.llm.html_template import deduce_templates, extract_main_text, host_of, main_text
+from parcelmart.llm.html_template import Page, deduce_templates, extract_main_text, host_of, main_text
 from tests.conftest import SMALL
 
 WILD = """<!DOCTYPE html><html><head><title>x</title><style>p{}</style></head><body class="has-sidebar"><header><h1>Site</h1><nav>
@@ -112,3 +113,43 @@ def test_wrappers_stay(name):
 @pytest.mark.parametrize("name", ["id=discussion", "class=related-work", "class=search-results"])
 def test_real_sections_stay(name):
     assert main_text(f"<article><p>{PROSE}</p><section {name}><p>{PROSE}</p></section></article>") == f"{PROSE}\n{PROSE}"
+
+
+COMMENTS = "".join(f"<div class=comment><p>I read number {{}} twice and have much more to say about it, says reader {i}.</p></div>" for i in range(3))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><article><p>{prose}</p><section class=comments><h3>Comments</h3>{comments}</section></article></body>",
+        "<body><main><p>{prose}</p><section class=comments-wrap>{comments}</section></main></body>",
+        "<body><div id=content><p>{prose}</p></div><div id=comments>{comments}</div></body>",
+        "<body><div id=content><p>{prose}</p><h3>Comments</h3>{comments}</div></body>",
+        "<body><article><p>{prose}</p></article><article class=comment-body>{comments}</article></body>",
+        "<body><div id=content><p>{prose}</p></div><div class=comments><article>{comments}</article><article>{comments}</article></div></body>",
+        "<body><div id=content><p>{prose}</p></div><footer>{comments}{comments}</footer></body>",
+        "<body><form id=page><h1></h1><div id=content><p>{prose}</p></div></form><p></p><footer>{comments}</footer></body>",
+    ],
+)
+def test_what_is_not_the_article_goes_whatever_its_share(spark, page):
+    pages = [page.format(prose=PROSE.format(i), comments=COMMENTS.format(i, i, i)) for i in range(6)]
+    assert texts(spark, pages) == [PROSE.format(i) for i in range(6)]
+
+
+def test_headings_of_real_sections_stay():
+    page = f"<article><h1>T</h1><p>{PROSE}</p><h2>S</h2><div class=advert>Buy</div><p>text</p><h2>Replies</h2><div class=comment>me</div></article>"
+    assert main_text(page) == f"T\n{PROSE}\nS\ntext"
+
+
+@pytest.mark.parametrize("unit", ["<div", "a<b;", "<!", "<!--", "</script ", "<a '>'"])
+def test_unclosed_markup_costs_its_length(unit):
+    began = time.process_time()
+    main_text(unit * ((1 << 20) // len(unit)) + '"')
+    main_text("<p>x</p>" + unit * ((1 << 20) // len(unit)))
+    assert time.process_time() - began < 10
+
+
+def test_deep_containers_are_told_apart():
+    page = Page().read("<div>" * 70 + "<div class=a><p>x</p></div><div class=b><p>y</p></div>")
+    a, b = (e for _, e, _ in page.blocks)
+    assert a.path != b.path and a.path.rpartition(">")[0] == b.path.rpartition(">")[0]
