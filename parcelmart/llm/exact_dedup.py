@@ -18,14 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from parcelmart.llm.common import stored, table, text_batches
+from parcelmart.llm.common import ROW_BYTES, stored, table, text_batches
 
 # Bytes of text and nodes a task's tries may hold, and what a node counts for.
 TRIE_BYTES = 32 << 20
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 32 << 20
 NODE_BYTES = 300
 # Parts of one length: bits of the content hash.
 BUCKET_BITS = 16
+# Rows that leave are told by a broadcast of their tags up to this many (16 MB), and by a shuffle beyond.
+BROADCAST_TAGS = 1_000_000
 PREPARED = (
     "doc_id bigint, tag bigint, sha string, length int, bucket int, text string, owner bigint, owner_tag bigint, n bigint"
 )
@@ -194,7 +196,7 @@ def prepared(docs: DataFrame, sign: int, doc_id: str, text: str, keep_rows: bool
         from pyspark import TaskContext
 
         tag = TaskContext.get().partitionId() << 33
-        for batch in text_batches(batches, BLOCK_BYTES):
+        for batch in text_batches(batches, ROW_BYTES if keep_rows else BLOCK_BYTES):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             forest, keys, places = TrieForest(sign), [], []
             for i, value in enumerate(texts):
@@ -231,7 +233,7 @@ def trie_owners(carriers: DataFrame, sign: int, budget: int = TRIE_BYTES) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = TrieForest(sign, budget)
-        for batch in text_batches(batches, BLOCK_BYTES):
+        for batch in text_batches(batches, ROW_BYTES):
             for length, bucket, text, sha, owner, tag, n in zip(*(c.to_pylist() for c in batch.columns)):
                 forest.add((length, bucket), normalised(text), owner, tag, n, sha)
             if forest.bytes > forest.budget:
@@ -246,14 +248,12 @@ def trie_owners(carriers: DataFrame, sign: int, budget: int = TRIE_BYTES) -> Dat
     return merged.select("sha", F.col("best.owner").alias("keep_id"), F.col("best.owner_tag").alias("keep_tag"), "group_size")
 
 
-def grouped(docs: DataFrame, keep: str, doc_id: str, text: str, keep_rows: bool) -> DataFrame:
+def with_owners(docs: DataFrame, keep: str, doc_id: str, text: str, keep_rows: bool) -> tuple[DataFrame, DataFrame]:
+    """Stored rows with their tags, and the owner of each text."""
     sign = {"largest": 1, "smallest": -1}[keep]
     rows = stored(prepared(docs, sign, doc_id, text, keep_rows), "texts")
     # Stored, so that the join has an exchange of its own on this side and can split the rows of a very common text.
-    owners = stored(trie_owners(rows.filter(F.col("n").isNotNull()), sign), "owners")
-    # The row that stays owns its text in its block too, so with rows only those that carry a text meet the owners.
-    rows = rows.filter(F.col("n").isNotNull()).drop("n") if keep_rows else rows.drop("text")
-    return rows.join(owners, "sha").withColumn("kept", F.col("tag") == F.col("keep_tag"))
+    return rows, stored(trie_owners(rows.filter(F.col("n").isNotNull()), sign), "owners")
 
 
 def exact_duplicates(docs: DataFrame, keep: str = "smallest", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -263,15 +263,23 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", doc_id: str = "doc
     (or ``keep="largest"``) id stays, one row only even where an id repeats; a NULL id stays only if all ids of the text
     are NULL. Other columns are not read.
     """
-    found = grouped(docs, keep, doc_id, text, keep_rows=False)
+    rows, owners = with_owners(docs, keep, doc_id, text, keep_rows=False)
+    found = rows.drop("text").join(owners, "sha").withColumn("kept", F.col("tag") == F.col("keep_tag"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
 
 
 def drop_exact_duplicates(docs: DataFrame, keep: str = "smallest", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns; rules as in ``exact_duplicates``."""
-    found = grouped(docs, keep, doc_id, text, keep_rows=True)
+    rows, owners = with_owners(docs, keep, doc_id, text, keep_rows=True)
+    # The row that stays owns its text in its block too. Only hashes and tags meet the owners, texts do not move again.
+    carriers = rows.filter(F.col("n").isNotNull())
+    losers = carriers.select("sha", "tag").join(owners, "sha").filter(F.col("tag") != F.col("keep_tag")).select("tag")
+    losers = stored(losers, "losers")
+    if losers.count() <= BROADCAST_TAGS:
+        losers = F.broadcast(losers)
     whole = F.col("text").cast(docs.schema[text].dataType)
-    return found.filter("kept").select(*[(whole if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns])
+    kept = carriers.join(losers, "tag", "left_anti")
+    return kept.select(*[(whole if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def op6_trie_owners(spark, sf_dir: str) -> DataFrame:
