@@ -13,7 +13,7 @@ most of its prose.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -90,6 +90,7 @@ HEAD_WORDS = frozenset(["header", "masthead", "topbar"])
 OPENING = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|/?[a-zA-Z])")
 NAME = re.compile(r"[^\s/>]*+")
 ATTRIBUTES = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
+TAG = re.compile(rf"<(/?)([a-zA-Z]{NAME.pattern})({ATTRIBUTES.pattern})>")
 RAW_ENDS = {tag: re.compile(f"</{tag}\\b", re.IGNORECASE) for tag in RAW}
 NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
@@ -97,7 +98,7 @@ SUMMARY = "host string, layout bigint, token string, pages bigint, total bigint,
 
 
 class Element:
-    __slots__ = ("tag", "path", "above", "block", "control", "evidence", "linked", "article", "main", "chosen", "skipped", "cut", "shaded", "prose", "clean", "links", "varying", "held", "deep")
+    __slots__ = ("tag", "path", "above", "block", "control", "evidence", "linked", "article", "main", "chosen", "skipped", "cut", "shaded", "prose", "clean", "links", "varying", "held", "depth")
 
     def __init__(self, tag: str, path: str, above: Element | None) -> None:
         self.tag, self.path, self.above = tag, path, above
@@ -108,7 +109,8 @@ class Element:
         self.article = above.article if above else 0
         self.main = above.main if above else False
         self.chosen = above.chosen if above else False
-        self.skipped = self.held = self.shaded = self.deep = False
+        self.skipped = self.held = self.shaded = False
+        self.depth = above.depth + 1 if above else 0
         # The highest element above that was removed, itself included.
         self.cut: Element | None = None
         # ``clean`` leaves out the prose of elements below that plain evidence speaks against.
@@ -135,15 +137,15 @@ def described(tag: str, attributes: str) -> tuple[str, int, bool, bool]:
     return ".".join([tag, *words[:4]]), evidence, head, comment
 
 
-def path_below(above: Element, name: str) -> tuple[str, bool]:
-    """Path of an element of that name, and whether its last level is a hash."""
+def path_below(above: Element, name: str) -> str:
+    """Path of an element of that name; from ``DEEPEST`` on its last level stands for all levels below."""
     import xxhash
 
     whole = f"{above.path}>{name}"
-    if not above.deep and above.path.count(">") < DEEPEST:
-        return whole, False
-    base = above.path.rpartition(">")[0] if above.deep else above.path
-    return f"{base}>{name}.~{xxhash.xxh3_64_hexdigest(whole.encode('utf-8', 'surrogatepass'))}", True
+    if above.depth < DEEPEST:
+        return whole
+    base = above.path.rpartition(">")[0] if above.depth > DEEPEST else above.path
+    return f"{base}>{name}.~{xxhash.xxh3_64_hexdigest(whole.encode('utf-8', 'surrogatepass'))}"
 
 
 def text_token(path: str, text: str) -> str:
@@ -166,7 +168,7 @@ class Page:
         self.opened: list[Element] = []
         self.articles = 0
         # Open elements by tag, those in line by the block they are in too, so that what ends none is not searched.
-        self.ends: Counter = Counter()
+        self.ends: dict = defaultdict(int)
 
     def text(self, raw: str) -> None:
         top = self.stack[-1]
@@ -183,9 +185,15 @@ class Page:
             self.parts = []
 
     def close_to(self, index: int) -> None:
-        if any(e.tag not in INLINE for e in self.stack[index:]):
+        ended = False
+        for e in self.stack[index:]:
+            if e.block is e:
+                ended = True
+                self.ends[e.tag] -= 1
+            else:
+                self.ends[e.tag, id(e.block)] -= 1
+        if ended:
             self.end_block()
-        self.ends.subtract(self.end_key(e.tag, e.block) for e in self.stack[index:])
         del self.stack[index:]
 
     @staticmethod
@@ -218,9 +226,8 @@ class Page:
             element.linked = above.linked or tag == "a"
         else:
             name, evidence, head, comment = described(tag, attributes)
-            path, deep = path_below(above, name)
+            path = path_below(above.block, name)
             element = Element(tag, path, above.block)
-            element.deep = deep
             element.linked = above.linked
             element.control = above.control or tag in CONTROLS
             inside = above.article or above.main
@@ -276,17 +283,13 @@ class Page:
             if opening[1] in "!?":
                 at = html.find(">", start) + 1
                 continue
-            closing = opening[1] == "/"
-            name = NAME.match(html, start + 1 + closing)
-            end = -1
-            if start >= unclosed:
-                end = ATTRIBUTES.match(html, name.end()).end()
-                if not html.startswith(">", end):
-                    unclosed, end = end, -1
-            if end < 0:
-                end = html.find(">", name.end())
-            at = end + 1
-            tag, attributes = name.group().lower(), html[name.end() : end]
+            whole = TAG.match(html, start) if start >= unclosed else None
+            if whole:
+                closing, tag, attributes = whole.groups()
+                at = whole.end()
+            else:
+                closing, tag, attributes, at, unclosed = self.unquoted_tag(html, start, unclosed)
+            tag = tag.lower()
             if closing:
                 self.close(tag)
             elif tag in RAW:
@@ -300,6 +303,16 @@ class Page:
         self.end_block()
         return self
 
+    @staticmethod
+    def unquoted_tag(html: str, start: int, unclosed: int) -> tuple[bool, str, str, int, int]:
+        """A tag with an unclosed quote: it ends at the first ">", and tags before that quote are read likewise."""
+        closing = html[start + 1] == "/"
+        name = NAME.match(html, start + 1 + closing)
+        if start >= unclosed:
+            unclosed = ATTRIBUTES.match(html, name.end()).end()
+        end = html.find(">", name.end())
+        return closing, name.group(), html[name.end() : end], end + 1, unclosed
+
     def weigh(self, template: frozenset[str] = frozenset()) -> list[bool]:
         """Decides what evidence removes, and tells which blocks are text of the template."""
         root = self.stack[0]
