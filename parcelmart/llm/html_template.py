@@ -6,8 +6,8 @@ a layout whose counts agree on every page share an occurrence vector and form an
 compared by an order-free checksum, so a layout with very many pages is only ever summed up. Classes that enough pages
 have, and whose tokens nest, make up the layout's template. A text in the class of an element around it stands wherever
 that element does, so it belongs to the template. What lies between template tokens are its slots: the main one holds most
-of the prose that varies. Tags and words of classes only add evidence: they never remove what holds a page's article or
-most of its prose.
+of the prose that varies. Tags and words of classes add evidence: plain evidence (comments, footers, forms) removes an
+element whatever its share of the prose, unless it holds the page's article or nothing else is left.
 """
 
 from __future__ import annotations
