@@ -7,9 +7,11 @@ shingles per group: the sum of coordinate minima bounds the overlap of two sets
 discard what cannot be similar. What is left is verified on the sets.
 
 Links are sought in rounds. The first tests each document against one leader of its cells, so a group of many near
-copies costs one test each. The next two test the pairs with other leaders that are not yet in one component. The last
-takes the cells that still lie in several components, and tests all other pairs of different components that the trees
-leave over. No pair is skipped that could join two components.
+copies costs one test each. The next two test the pairs with other leaders that are not yet in one component; these
+are bounded pair by pair. The last takes the cells that still lie in several components: trees over their points tell
+the members that have a possible partner in another component, and only these members' sets are brought together, where
+the trees propose pairs, the sets decide, and only links that join two components leave the task. No pair is skipped
+that could join two components.
 """
 
 from __future__ import annotations
@@ -28,15 +30,12 @@ from parcelmart.llm.common import stored, table, text_batches
 from parcelmart.llm.components import components
 
 GROUPS = 256
-COUNT_TYPE = "<u2"
 # Words remembered per Python worker, and documents per node of a tree.
 CACHE_WORDS = 500_000
 LEAF = 16
-# Members of a cell in one block of the last round.
+# Members of a cell in one block of the last round, and bytes of texts (or of a block's sets) held at once.
 CELL_BLOCK = 1024
 BLOCK_BYTES = 12 << 20
-# Pairs a task remembers so that it does not name them again.
-SEEN_PAIRS = 500_000
 # Ids of candidate documents that are broadcast at most (8 bytes each).
 BROADCAST_IDS = 1_000_000
 BAND_RATIO = 1.6
@@ -150,12 +149,17 @@ def needed(n: np.ndarray | int, m: np.ndarray | int, percent: int) -> np.ndarray
 
 
 def counts(shingles: np.ndarray) -> np.ndarray:
-    """The set as a point: its number of shingles in each group."""
-    return np.bincount((shingles % U64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(COUNT_TYPE)
+    """The set as a point: its number of shingles in each group, in 16 bits where they fit."""
+    held = np.bincount((shingles % U64(GROUPS)).astype(np.int64), minlength=GROUPS)
+    return held.astype("<u2" if held.max() < 1 << 16 else "<u4")
 
 
 def points_of(column: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(column), COUNT_TYPE).reshape(-1, GROUPS)
+    """Points side by side; with a 32-bit one among them all become such."""
+    if all(len(c) == 2 * GROUPS for c in column):
+        return np.frombuffer(b"".join(column), "<u2").reshape(-1, GROUPS)
+    wide = [np.frombuffer(c, f"<u{len(c) // GROUPS}").astype("<u4") for c in column]
+    return np.stack(wide)
 
 
 class CountTree:
@@ -311,62 +315,127 @@ def open_cells(members: DataFrame, parts: DataFrame) -> DataFrame:
     return placed.join(stored(wanted.select("key", "held"), "open"), "key")
 
 
-def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one cell, of different components, that the bound leaves over.
+def dealt(members: DataFrame, payload: str) -> DataFrame:
+    """Members of cells, dealt to pairs of blocks and sorted by pair: key, low, high, inside, own, id, component, payload.
 
-    ``members`` has key, id, component, held (members of the cell), n and counts. Large cells are cut into
-    blocks, each pair of blocks being one group.
+    Members of one component need not meet. So the members of a cell's largest component are cut into blocks of their
+    own, which never face each other, and the rest into others, which face all. While the rest is one block, each
+    member of the largest component goes to one pair only. A block of the rest meets itself in its pair with the first
+    block of the largest, where ``inside`` is set. Blocks are bounded by members and by the bytes of their sets.
     """
-    blocks = F.ceil(F.col("held") / CELL_BLOCK).cast("int")
-    cut = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = cut.select("key", "id", "component", "n", "counts", "own", other)
-    names = ["key", "low", "high", "own", "id", "component", "n", "counts"]
-    dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).select(*names)
-    schema = to_arrow_schema(_parse_datatype_string("a bigint, b bigint"))
+    weight = F.greatest(F.lit(BLOCK_BYTES // CELL_BLOCK), F.col("n") * 8)
+    part = members.groupBy("key", "component").agg(F.sum(weight).alias("bytes"))
+    cells = part.groupBy("key").agg(F.max(F.struct("bytes", "component")).alias("main"), F.sum("bytes").alias("bytes"))
+    main_bytes = F.col("main.bytes")
+    blocks = {"mains": main_bytes, "rest": F.col("bytes") - main_bytes}
+    blocks = {name: F.greatest(F.lit(1), F.ceil(size / BLOCK_BYTES)).cast("int") for name, size in blocks.items()}
+    cells = cells.select("key", F.col("main.component").alias("main"), *[size.alias(name) for name, size in blocks.items()])
+    spread = F.xxhash64("id", F.lit(2))
+    is_main = F.col("component") == F.col("main")
+    own = F.when(is_main, F.col("rest") + F.pmod(spread, F.col("mains"))).otherwise(F.pmod(spread, F.col("rest")))
+    last = F.when(is_main, F.col("rest") - 1).otherwise(F.col("rest") + F.col("mains") - 1)
+    cut = members.join(cells, "key").withColumns({"own": own.cast("int"), "last": last})
+    faced = F.explode(F.expr("filter(sequence(0, last), x -> x <> own)")).alias("other")
+    met = cut.select("key", "id", "component", payload, "own", "rest", faced)
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    inside = (F.col("high") == F.col("rest")).alias("inside")
+    met = met.withColumns({"low": low, "high": high}).select("key", "low", "high", inside, "own", "id", "component", payload)
+    order = ["key", "low", "high"]
+    return met.repartition(*order).sortWithinPartitions(*order)
 
-    def pairs(group: list[tuple]) -> list[tuple[int, int]]:
-        _, low, high, own, ids, parts, sizes, points = zip(*group)
-        if len(set(parts)) < 2:
-            return []
-        points, sizes, own, ids, parts = points_of(points), np.array(sizes), np.array(own), np.array(ids), np.array(parts)
-        tree, out = CountTree(points, sizes), []
-        for i in range(len(ids)):
-            hits = tree.search(points[i], sizes[i], percent)
-            hits = hits[(ids[hits] > ids[i]) & (parts[hits] != parts[i])]
-            if low[0] != high[0]:
-                hits = hits[own[hits] != own[i]]
-            out += [(int(ids[i]), int(ids[h])) for h in hits]
-        return out
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
-        seen: set[tuple[int, int]] = set()
+class BlockPair:
+    """Members of one cell in two of its blocks, with a tree over their points."""
+
+    def __init__(self, rows: list[tuple], points: np.ndarray, sizes: np.ndarray, percent: int) -> None:
+        _, (self.low, *_), _, (self.inside, *_), own, ids, parts, _ = zip(*rows)
+        self.own, self.ids, self.parts = np.array(own), np.array(ids), np.array(parts)
+        self.points, self.sizes, self.percent = points, sizes, percent
+        self.tree = CountTree(points, sizes)
+
+    def candidates(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Rows of the lower block with the rows of other components that the bound leaves over."""
+        for i in np.flatnonzero(self.own == self.low):
+            hits = self.tree.search(self.points[i], int(self.sizes[i]), self.percent)
+            hits = hits[self.parts[hits] != self.parts[i]]
+            if not self.inside:
+                hits = hits[self.own[hits] != self.own[i]]
+            if len(hits):
+                yield i, hits
+
 
-        def fresh() -> list[tuple[int, int]]:
-            if len(seen) > SEEN_PAIRS:
-                seen.clear()
-            new = [p for p in pairs(group) if p not in seen]
-            seen.update(new)
-            return new
+def _per_pair(found: DataFrame, columns: str, work) -> DataFrame:
+    """``work`` on the rows of each pair of blocks; it returns tuples of ``columns``."""
+    schema = to_arrow_schema(_parse_datatype_string(columns))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
         for batch in text_batches(batches):
-            out: list[tuple[int, int]] = []
+            out: list[tuple] = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if group and row[:3] != group[0][:3]:
-                    out += fresh()
-                    group = []
-                group.append(row)
-            yield batch_of_pairs(out)
-        if group:
-            yield batch_of_pairs(fresh())
-
-    def batch_of_pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
-        columns = zip(*out) if out else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+                if rows and row[:3] != rows[0][:3]:
+                    out += work(rows)
+                    rows = []
+                rows.append(row)
+            yield made(out)
+        if rows:
+            yield made(work(rows))
 
-    order = ["key", "low", "high"]
-    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(join, "a bigint, b bigint").distinct()
+    def made(out: list[tuple]) -> pa.RecordBatch:
+        values = zip(*out) if out else [()] * len(schema)
+        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
+
+    return found.mapInArrow(run, columns)
+
+
+def tree_members(members: DataFrame, percent: int) -> DataFrame:
+    """``key`` and ``id`` of the members of a cell to which its trees leave a partner of another component.
+
+    ``members`` has key, id, component, n and counts.
+    """
+
+    def work(rows: list[tuple]) -> list[tuple]:
+        if len({row[6] for row in rows}) < 2:
+            return []
+        points = points_of([row[7] for row in rows])
+        pair = BlockPair(rows, points, points.sum(axis=1, dtype=np.int64), percent)
+        met = np.zeros(len(rows), bool)
+        for i, hits in pair.candidates():
+            met[i] = met[hits] = True
+        return [(rows[0][0], int(i)) for i in pair.ids[met]]
+
+    return _per_pair(dealt(members, "counts"), "key bigint, id bigint", work).distinct()
+
+
+def tree_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links (``a``, ``b``) that join components inside a cell, verified where the trees leave a pair over.
+
+    ``members`` has key, id, component, n and shingles. Components that a link has joined count as one from then on, so
+    a pair of blocks gives fewer links than it has components, however many of its documents are alike.
+    """
+
+    def work(rows: list[tuple]) -> list[tuple]:
+        if len({row[6] for row in rows}) < 2:
+            return []
+        sets = [np.frombuffer(row[7], U64) for row in rows]
+        sizes = np.array([len(s) for s in sets])
+        pair = BlockPair(rows, points_of([counts(s).tobytes() for s in sets]), sizes, percent)
+        # Shingles by their number in this pair of blocks: an intersection is then a look-up in a mask.
+        names, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+        numbers = np.split(numbers, np.cumsum(sizes)[:-1])
+        mask, out = np.zeros(len(names), bool), []
+        for i, hits in pair.candidates():
+            mask[numbers[i]] = True
+            starts = np.concatenate([[0], np.cumsum(sizes[hits])[:-1]])
+            both = np.add.reduceat(mask[np.concatenate([numbers[h] for h in hits])], starts, dtype=np.int64)
+            mask[numbers[i]] = False
+            for h in hits[both >= needed(sizes[i], sizes[hits], percent)]:
+                if pair.parts[h] != pair.parts[i]:
+                    out.append((int(pair.ids[i]), int(pair.ids[h])))
+                    pair.parts[pair.parts == pair.parts[h]] = pair.parts[i]
+        return out
+
+    return _per_pair(dealt(members, "shingles"), "a bigint, b bigint", work)
 
 
 def chosen_rows(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -425,8 +494,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_i
     inside = stored(open_cells(members, parts), "open-members")
     if not inside.isEmpty():
         located = inside.join(sets.select("id", "n", "counts"), "id")
-        found = stored(tree_pairs(located, percent).join(pairs, ["a", "b"], "left_anti"), "tree-pairs")
-        links = links.union(stored(verified(found, sets, percent), "last-links"))
+        met = stored(tree_members(located, percent), "met-members")
+        left = inside.join(met, ["key", "id"]).join(sets.select("id", "n", "shingles"), "id")
+        links = links.union(stored(tree_links(left, percent), "last-links"))
         parts = components(links)
     joined = listed.join(parts, "id", "left")
     return joined.select(

@@ -10,9 +10,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from parcelmart.llm import jaccard_join
 from parcelmart.llm.components import components
 from parcelmart.llm.exact_dedup import Trie, drop_exact_duplicates, exact_duplicates, payloads, prepared, trie_owners
-from parcelmart.llm.jaccard_join import CountTree, counts, jaccard_components, keep_one_of_each, needed
+from parcelmart.llm.jaccard_join import CountTree, counts, jaccard_components, keep_one_of_each, needed, points_of, shingle_sets, tree_links, tree_members
 from tests.llm.messy import empty, messy, texts_of
 
 
@@ -124,6 +125,42 @@ def test_round_two_joins_what_leaders_miss(spark):
     assert found == brute_components(docs, 4, 85)
 
 
+@pytest.mark.parametrize("block", [1024, 5])
+def test_blocks_of_a_large_cell(spark, monkeypatch, block):
+    """All documents in one cell, most of them one component: no link between components is lost, few leave a task."""
+    monkeypatch.setattr(jaccard_join, "CELL_BLOCK", block)
+    rng = random.Random(block)
+    base, docs = [f"w{i}" for i in range(120)], []
+    for k in range(90):
+        text = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 2, 3, 5])):
+            text[at] = f"x{rng.randrange(9)}"
+        docs.append((k, " ".join(text)))
+    expected = brute_components(docs, 4, 85)
+    # Two thirds of the cell are known to be in one component, as far as they are.
+    hub = Counter(c for _, c in expected.values()).most_common(1)[0][0]
+    known = [(0, i, hub if c == hub and i % 3 else i) for i, (_, c) in expected.items()]
+    frame = spark.createDataFrame(docs, "id long, text string")
+    sets = shingle_sets(frame, 4)
+    members = spark.createDataFrame(known, "key long, id long, component long").join(sets, "id")
+    met = tree_members(members, 85)
+    links = [tuple(r) for r in tree_links(members.join(met, ["key", "id"]), 85).collect()]
+    merged = {i: part for _, i, part in known}
+    if block == 1024:
+        assert len(links) < len(set(merged.values()))
+    for a, b in links:
+        low, high = sorted((merged[a], merged[b]))
+        merged = {i: low if part == high else part for i, part in merged.items()}
+    groups = lambda parts: Counter(frozenset(i for i in parts if parts[i] == p) for p in parts.values())
+    assert groups(merged) == groups({i: c for i, (_, c) in expected.items()})
+
+
+def test_counts_beyond_16_bits():
+    wide = np.arange(70_000, dtype=np.uint64) * np.uint64(jaccard_join.GROUPS)
+    points = points_of([counts(wide).tobytes(), counts(wide[:9]).tobytes()])
+    assert points[:, 0].tolist() == [70_000, 9] and points.sum() == 70_009
+
+
 def test_near_duplicates_of_messy_rows(spark):
     docs = messy(spark)
     rows = jaccard_components(docs).collect()
