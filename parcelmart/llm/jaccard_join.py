@@ -8,10 +8,10 @@ discard what cannot be similar. What is left is verified on the sets.
 
 Links are sought in rounds. The first tests each document against one leader of its cells, so a group of many near
 copies costs one test each. The next two test the pairs with other leaders that are not yet in one component; these
-are bounded pair by pair. The last takes the cells that still lie in several components: trees over their points tell
-the members that have a possible partner in another component, and only these members' sets are brought together, where
-the trees propose pairs, the sets decide, and only links that join two components leave the task. No pair is skipped
-that could join two components.
+are bounded pair by pair. The last takes the cells that still lie in several components: trees over their points
+leave pairs of different components, which are verified like all others. Where these are many, the members' sets are
+brought together instead: the trees propose, the sets decide, and only links that join two components leave the task. No
+pair is skipped that could join two components.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ LEAF = 16
 # Members of a cell in one block of the last round, and bytes of texts (or of a block's sets) held at once.
 CELL_BLOCK = 1024
 BLOCK_BYTES = 12 << 20
+# Pairs that a pair of blocks names for each row it holds; of more, it names the members only.
+PAIRS_PER_MEMBER = 2
 # Ids of candidate documents that are broadcast at most (8 bytes each).
 BROADCAST_IDS = 1_000_000
 BAND_RATIO = 1.6
@@ -315,13 +317,14 @@ def open_cells(members: DataFrame, parts: DataFrame) -> DataFrame:
     return placed.join(stored(wanted.select("key", "held"), "open"), "key")
 
 
-def dealt(members: DataFrame, payload: str) -> DataFrame:
+def dealt(members: DataFrame, sets: DataFrame, payload: str) -> DataFrame:
     """Members of cells, dealt to pairs of blocks and sorted by pair: key, low, high, inside, own, id, component, payload.
 
     Members of one component need not meet. So the members of a cell's largest component are cut into blocks of their
     own, which never face each other, and the rest into others, which face all. While the rest is one block, each
     member of the largest component goes to one pair only. A block of the rest meets itself in its pair with the first
-    block of the largest, where ``inside`` is set. Blocks are bounded by members and by the bytes of their sets.
+    block of the largest, where ``inside`` is set. Blocks are bounded by members and by the bytes of their sets. Ids are
+    dealt first, so that the payload of ``sets`` moves once.
     """
     weight = F.greatest(F.lit(BLOCK_BYTES // CELL_BLOCK), F.col("n") * 8)
     part = members.groupBy("key", "component").agg(F.sum(weight).alias("bytes"))
@@ -336,10 +339,11 @@ def dealt(members: DataFrame, payload: str) -> DataFrame:
     last = F.when(is_main, F.col("rest") - 1).otherwise(F.col("rest") + F.col("mains") - 1)
     cut = members.join(cells, "key").withColumns({"own": own.cast("int"), "last": last})
     faced = F.explode(F.expr("filter(sequence(0, last), x -> x <> own)")).alias("other")
-    met = cut.select("key", "id", "component", payload, "own", "rest", faced)
+    met = cut.select("key", "id", "component", "own", "rest", faced)
     low, high = F.least("own", "other"), F.greatest("own", "other")
     inside = (F.col("high") == F.col("rest")).alias("inside")
-    met = met.withColumns({"low": low, "high": high}).select("key", "low", "high", inside, "own", "id", "component", payload)
+    met = met.withColumns({"low": low, "high": high}).select("key", "low", "high", inside, "own", "id", "component")
+    met = met.join(sets.select("id", payload), "id").select(*met.columns, payload)
     order = ["key", "low", "high"]
     return met.repartition(*order).sortWithinPartitions(*order)
 
@@ -358,8 +362,8 @@ class BlockPair:
         for i in np.flatnonzero(self.own == self.low):
             hits = self.tree.search(self.points[i], int(self.sizes[i]), self.percent)
             hits = hits[self.parts[hits] != self.parts[i]]
-            if not self.inside:
-                hits = hits[self.own[hits] != self.own[i]]
+            apart = self.own[hits] != self.own[i]
+            hits = hits[apart | (self.ids[hits] > self.ids[i])] if self.inside else hits[apart]
             if len(hits):
                 yield i, hits
 
@@ -388,10 +392,12 @@ def _per_pair(found: DataFrame, columns: str, work) -> DataFrame:
     return found.mapInArrow(run, columns)
 
 
-def tree_members(members: DataFrame, percent: int) -> DataFrame:
-    """``key`` and ``id`` of the members of a cell to which its trees leave a partner of another component.
+def tree_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """What the trees leave over of each cell (``key``): pairs (``a``, ``b``) of members of different components.
 
-    ``members`` has key, id, component, n and counts.
+    Where a pair of blocks would give more than ``PAIRS_PER_MEMBER`` pairs for each of its rows, its members that have
+    a partner are named once instead (``b`` NULL), so the rows do not grow with the square of a group.
+    ``members`` has key, id, component and n.
     """
 
     def work(rows: list[tuple]) -> list[tuple]:
@@ -399,18 +405,21 @@ def tree_members(members: DataFrame, percent: int) -> DataFrame:
             return []
         points = points_of([row[7] for row in rows])
         pair = BlockPair(rows, points, points.sum(axis=1, dtype=np.int64), percent)
-        met = np.zeros(len(rows), bool)
+        key, most = rows[0][0], PAIRS_PER_MEMBER * len(rows)
+        met, few, ids = np.zeros(len(rows), bool), [], pair.ids
         for i, hits in pair.candidates():
             met[i] = met[hits] = True
-        return [(rows[0][0], int(i)) for i in pair.ids[met]]
+            if len(few) <= most:
+                few += [(key, int(ids[i]), int(ids[h])) for h in hits]
+        return few if len(few) <= most else [(key, int(i), None) for i in ids[met]]
 
-    return _per_pair(dealt(members, "counts"), "key bigint, id bigint", work).distinct()
+    return _per_pair(dealt(members, sets, "counts"), "key bigint, a bigint, b bigint", work)
 
 
-def tree_links(members: DataFrame, percent: int) -> DataFrame:
+def tree_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (``a``, ``b``) that join components inside a cell, verified where the trees leave a pair over.
 
-    ``members`` has key, id, component, n and shingles. Components that a link has joined count as one from then on, so
+    ``members`` has key, id, component and n. Components that a link has joined count as one from then on, so
     a pair of blocks gives fewer links than it has components, however many of its documents are alike.
     """
 
@@ -435,7 +444,7 @@ def tree_links(members: DataFrame, percent: int) -> DataFrame:
                     pair.parts[pair.parts == pair.parts[h]] = pair.parts[i]
         return out
 
-    return _per_pair(dealt(members, "shingles"), "a bigint, b bigint", work)
+    return _per_pair(dealt(members, sets, "shingles"), "a bigint, b bigint", work)
 
 
 def chosen_rows(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -491,12 +500,16 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_i
     links = links.union(stored(verified(third, sets, percent), "third-links"))
     parts = stored(components(links), "components")
 
-    inside = stored(open_cells(members, parts), "open-members")
+    inside = stored(open_cells(members, parts).join(sets.select("id", "n"), "id"), "open-members")
     if not inside.isEmpty():
-        located = inside.join(sets.select("id", "n", "counts"), "id")
-        met = stored(tree_members(located, percent), "met-members")
-        left = inside.join(met, ["key", "id"]).join(sets.select("id", "n", "shingles"), "id")
-        links = links.union(stored(tree_links(left, percent), "last-links"))
+        left = stored(tree_pairs(inside, sets, percent), "tree-pairs")
+        few = left.filter("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        few = stored(few.join(pairs, ["a", "b"], "left_anti"), "few-pairs")
+        links = links.union(stored(verified(few, sets, percent), "few-links"))
+        crowd = left.filter("b IS NULL").select("key", F.col("a").alias("id")).distinct()
+        crowd = stored(inside.join(crowd, ["key", "id"]), "crowds")
+        if not crowd.isEmpty():
+            links = links.union(stored(tree_links(crowd, sets, percent), "crowd-links"))
         parts = components(links)
     joined = listed.join(parts, "id", "left")
     return joined.select(

@@ -13,7 +13,7 @@ import pytest
 from parcelmart.llm import jaccard_join
 from parcelmart.llm.components import components
 from parcelmart.llm.exact_dedup import Trie, drop_exact_duplicates, exact_duplicates, payloads, prepared, trie_owners
-from parcelmart.llm.jaccard_join import CountTree, counts, jaccard_components, keep_one_of_each, needed, points_of, shingle_sets, tree_links, tree_members
+from parcelmart.llm.jaccard_join import CountTree, counts, jaccard_components, keep_one_of_each, needed, points_of, shingle_sets, tree_links, tree_pairs
 from tests.llm.messy import empty, messy, texts_of
 
 
@@ -88,6 +88,10 @@ def brute_components(docs, words: int, percent: int) -> dict:
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
+def brute_linked(a: set, b: set, percent: int) -> bool:
+    return 100 * len(a & b) >= percent * len(a | b)
+
+
 def families(seed: int) -> list[tuple[int, str | None]]:
     rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(40)]
@@ -133,7 +137,7 @@ def test_blocks_of_a_large_cell(spark, monkeypatch, block):
     base, docs = [f"w{i}" for i in range(120)], []
     for k in range(90):
         text = list(base)
-        for at in rng.sample(range(120), rng.choice([1, 2, 3, 5])):
+        for at in rng.sample(range(120), rng.choice([1, 1, 1, 1, 5])):
             text[at] = f"x{rng.randrange(9)}"
         docs.append((k, " ".join(text)))
     expected = brute_components(docs, 4, 85)
@@ -142,9 +146,13 @@ def test_blocks_of_a_large_cell(spark, monkeypatch, block):
     known = [(0, i, hub if c == hub and i % 3 else i) for i, (_, c) in expected.items()]
     frame = spark.createDataFrame(docs, "id long, text string")
     sets = shingle_sets(frame, 4)
-    members = spark.createDataFrame(known, "key long, id long, component long").join(sets, "id")
-    met = tree_members(members, 85)
-    links = [tuple(r) for r in tree_links(members.join(met, ["key", "id"]), 85).collect()]
+    members = spark.createDataFrame(known, "key long, id long, component long").join(sets.select("id", "n"), "id")
+    links = [tuple(r) for r in tree_links(members, sets, 85).collect()]
+    left = tree_pairs(members, sets, 85).collect()
+    of, shingles = dict(r[1:] for r in known), {r["id"]: set(np.frombuffer(r["shingles"], "<u8")) for r in sets.collect()}
+    need = {(a, b) for a in of for b in of if a < b and of[a] != of[b] and brute_linked(shingles[a], shingles[b], 85)}
+    named, single = {tuple(sorted(r[1:])) for r in left if r["b"] is not None}, {r["a"] for r in left if r["b"] is None}
+    assert all(pair in named or single.issuperset(pair) for pair in need) and single
     merged = {i: part for _, i, part in known}
     if block == 1024:
         assert len(links) < len(set(merged.values()))
