@@ -10,8 +10,8 @@ Links are sought in rounds. The first tests each document against one leader of
 copies costs one test each. The next two test the pairs with other leaders that are not yet in one component; these
 are bounded pair by pair. The last takes the cells that still lie in several components: trees over their points
 leave pairs of different components, which are verified like all others. Where these are many, the members' sets are
-brought together instead: the trees propose, the sets decide, and only links that join two components leave the task. No
-pair is skipped that could join two components.
+brought together instead, once for all cells that share members: the trees propose, the sets decide, and only links that
+join two components leave the task. No pair is skipped that could join two components.
 """
 
 from __future__ import annotations
@@ -416,6 +416,17 @@ def tree_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _per_pair(dealt(members, sets, "counts"), "key bigint, a bigint, b bigint", work)
 
 
+def crowds(members: DataFrame) -> DataFrame:
+    """``id`` and a new ``key``: cells (``key``, ``id``) that share members become one.
+
+    Near copies of a long text meet in hundreds of cells; joined, each of their sets is sent once and not once a cell.
+    """
+    first = members.groupBy("key").agg(F.min("id").alias("first"))
+    joined = components(members.join(first, "key"), "id", "first")
+    ids = members.select("id").distinct().join(joined, "id", "left")
+    return ids.select("id", F.coalesce("component", "id").alias("key"))
+
+
 def tree_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (``a``, ``b``) that join components inside a cell, verified where the trees leave a pair over.
 
@@ -506,10 +517,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_i
         few = left.filter("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         few = stored(few.join(pairs, ["a", "b"], "left_anti"), "few-pairs")
         links = links.union(stored(verified(few, sets, percent), "few-links"))
-        crowd = left.filter("b IS NULL").select("key", F.col("a").alias("id")).distinct()
-        crowd = stored(inside.join(crowd, ["key", "id"]), "crowds")
+        crowd = stored(left.filter("b IS NULL").select("key", F.col("a").alias("id")).distinct(), "crowd-members")
         if not crowd.isEmpty():
-            links = links.union(stored(tree_links(crowd, sets, percent), "crowd-links"))
+            placed = crowds(crowd).join(inside.select("id", "component", "n").distinct(), "id")
+            links = links.union(stored(tree_links(stored(placed, "crowds"), sets, percent), "crowd-links"))
         parts = components(links)
     joined = listed.join(parts, "id", "left")
     return joined.select(

@@ -163,6 +163,33 @@ def test_blocks_of_a_large_cell(spark, monkeypatch, block):
     assert groups(merged) == groups({i: c for i, (_, c) in expected.items()})
 
 
+def test_crowds_share_members(spark):
+    rows = [(1, 5), (1, 6), (2, 6), (2, 9), (3, 20), (3, 21), (4, 30)]
+    found = dict(tuple(r) for r in jaccard_join.crowds(spark.createDataFrame(rows, "key long, id long")).collect())
+    assert found == {5: 5, 6: 5, 9: 5, 20: 20, 21: 20, 30: 30}
+
+
+@pytest.mark.parametrize("per_member", [0, 2])
+def test_crowds_lose_no_link(spark, monkeypatch, per_member):
+    """Stragglers of a large family that the rounds before do not settle, named as pairs and as crowds."""
+    inner = jaccard_join.tree_pairs
+    monkeypatch.setattr(jaccard_join, "tree_pairs", lambda m, s, p: named_as_crowds(inner(m, s, p)) if not per_member else inner(m, s, p))
+    rng, docs = random.Random(3), []
+    passage = [f"p{i}" for i in range(60)]
+    for k in range(60):
+        tail = [f"t{k // 6}x{j}" for j in range(22)]
+        tail[rng.randrange(22)] = f"z{k}"
+        docs.append((k, " ".join(passage + tail)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = {r[0]: (r[1], r[2]) for r in jaccard_components(frame, 4, 85).collect()}
+    assert found == brute_components(docs, 4, 85)
+
+
+def named_as_crowds(left):
+    named = left.filter("b IS NOT NULL")
+    return left.filter("b IS NULL").union(named.selectExpr("key", "a", "NULL")).union(named.selectExpr("key", "b", "NULL"))
+
+
 def test_counts_beyond_16_bits():
     wide = np.arange(70_000, dtype=np.uint64) * np.uint64(jaccard_join.GROUPS)
     points = points_of([counts(wide).tobytes(), counts(wide[:9]).tobytes()])
