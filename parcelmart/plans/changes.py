@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from parcelmart.operators import load
 from parcelmart.operators.dims import dedup
-from parcelmart.operators.fact import fact_rows
+from parcelmart.operators.fact import keyed_rows, nested_items
 from parcelmart.operators.order_index import bucket_of, parts_with
 from parcelmart.plans import etl
 from parcelmart.session import work_table
@@ -37,7 +37,8 @@ CHANGES_SCHEMA = ", ".join(f"{table} {kind}" for table, kind in CHANGE_TYPES.ite
 
 def changes_of(source: Source) -> DataFrame:
     """Every row of a source as a change row; orders with all of their items."""
-    items = source("order_items").groupBy(F.col("OrderId").alias("id")).agg(
+    # Dealt first: lists of few items each save nothing before the shuffle, but would be sorted in whole scan tasks.
+    items = source("order_items").repartition("OrderId").groupBy(F.col("OrderId").alias("id")).agg(
         F.collect_list(F.struct("ProductId", "quantity", "updatedAt")).alias("items")
     )
     tables = {name: source(name) for name in STATED} | {"orders": source("orders").join(items, "id", "left")}
@@ -139,7 +140,8 @@ def _due_orders(
     items_changed = F.array_max(F.transform("items", lambda i: i["updatedAt"]))
     changed = F.greatest(F.col("updatedAt"), items_changed).alias("changed")
     events = rows.filter(F.col("orders").isNotNull()).select("orders.*").select("*", changed)
-    events = dedup(events.filter(F.col("id").isNotNull()), "id", "changed")
+    # Dealt first: orders with their items are wide, and would be sorted in whole scan tasks and again after the shuffle.
+    events = dedup(events.filter(F.col("id").isNotNull()).repartition("id"), "id", "changed")
     index = parts_with(run.old.of("order_index"), events, run.old.order_buckets, "id")
     known = run.read("order_index", index).groupBy(F.col("order_id").alias("id")).agg(
         F.max("changed").alias("last"), F.lit(True).alias("known")
@@ -170,7 +172,7 @@ def _facts(run: etl.Load, due: DataFrame, products: Sequence[Part]) -> tuple[etl
     if not n:
         return etl.kept_facts(run), None
     items, seen = _items(due), Observation()
-    facts = fact_rows(items, due, _known_products(run, items, products), seen)
+    facts = keyed_rows(nested_items(due, _known_products(run, items, products)), seen)
     ids = etl.few(due.select(F.col("id").alias("order_id")), n)
     stamps = due.select(F.col("id").alias("order_id"), "changed")
     return etl.write_facts(run, facts, ids if run.old.of("order_index") else None, stamps), seen.get
