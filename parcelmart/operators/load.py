@@ -15,9 +15,11 @@ from parcelmart.sources.warehouse import Commit, delivery_month, write_commit
 
 # Columns that steer a load and are not stored.
 CONTROL_COLUMNS = ("updatedAt", "updated_at")
-# Bytes a row takes in a hash table besides its columns; rows of facts per task that sorts them.
+# Bytes a row takes in a hash table besides its columns.
 ROW_OVERHEAD = 48
+# Facts per file of their sums, and per task that sorts them: few enough to be sorted in memory.
 FACTS_PER_TASK = 2_000_000
+SORTED_PER_TASK = 500_000
 
 
 def change_date(df: DataFrame, col: str = "updatedAt") -> Column:
@@ -110,8 +112,8 @@ def write_months(facts: DataFrame, path: str, mode: str) -> tuple[int, set[int]]
 
 
 def sorting_tasks(df: DataFrame, rows: int) -> int:
-    """Tasks to sort so many facts in: all cores for as few as 10,000 facts each, more beyond ``FACTS_PER_TASK`` each."""
-    return max(min(df.sparkSession.sparkContext.defaultParallelism, rows // 10_000 + 1), -(-rows // FACTS_PER_TASK))
+    """Tasks to sort so many facts in: all cores for as few as 10,000 facts each, more beyond ``SORTED_PER_TASK`` each."""
+    return max(min(df.sparkSession.sparkContext.defaultParallelism, rows // 10_000 + 1), -(-rows // SORTED_PER_TASK))
 
 
 def write_numbered_facts(rows: DataFrame, path: str, first_id: int) -> tuple[int, set[int]]:
@@ -126,20 +128,21 @@ def write_numbered_facts(rows: DataFrame, path: str, first_id: int) -> tuple[int
 def number_facts(fixed: DataFrame, n: int, path: str, first_id: int) -> tuple[int, set[int]]:
     """Write ``n`` stored facts with keys ``first_id, first_id + 1, ...``, partitioned by delivery month.
 
-    Keys follow the order month, order, then the other columns. The tie among identical rows is their file and place in
-    it, and repeating a task cannot change it. One range shuffle on the columns and the tie serves three ends: even
-    files, few files per month, and positions to number by; neither a huge order nor a mass of copies ends up in one
-    task. The key is the number of rows in the sorted files before plus the position in the file.
+    Keys follow the order month, order, then the other columns. The tie among identical rows is their place in their
+    file; rows that share it too are the same in all that is stored, so repeating a task cannot change a position. One
+    range shuffle on the columns and the tie serves three ends: even files, few files per month, and positions to number
+    by; neither a huge order nor a mass of copies ends up in one task. The key is the number of rows in the sorted files
+    before plus the position in the file.
     """
     order = ["delivery_month", *FACT_COLUMNS]
     file, row = F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
-    placed = fixed.select(*FACT_COLUMNS, delivery_month(), file, row)
-    ranged = placed.repartitionByRange(sorting_tasks(fixed, n), *order, "_file", "_row")
-    ordered = ranged.sortWithinPartitions(*order, "_file", "_row").drop("_file", "_row")
+    placed = fixed.select(*FACT_COLUMNS, delivery_month(), row)
+    ranged = placed.repartitionByRange(sorting_tasks(fixed, n), *order, "_row")
+    ordered = ranged.sortWithinPartitions(*order, "_row").drop("_row")
     with work_table(ordered, "facts") as stored:
         located = stored.select("*", file, row)
         per_file = located.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-        # One row per file, so per task of the range shuffle: one for each two million facts.
+        # One row per file, so per task of the range shuffle: one for each half a million facts.
         earlier = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
         offsets = per_file.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
         fact_id = (F.col("_before") + F.col("_row") + first_id).cast("bigint").alias("fact_id")

@@ -34,6 +34,8 @@ from parcelmart.sources.warehouse import (
 
 # Touched orders that are broadcast at most, at some 60 bytes each.
 BROADCAST_ORDERS = 1_000_000
+# Kept sums with hardly fewer rows than there are facts.
+NEARLY_UNIQUE = ("sums_product",)
 
 
 @dataclass(frozen=True)
@@ -296,8 +298,16 @@ def _write_sums(run: Load, name: str, written: list[Part], gone: set[int]) -> li
     if not written:
         return kept
     facts = read_parts(run.spark, run.path, "fact_orders", written)
-    files = -(-facts.count() // (load.FACTS_PER_TASK * len(written)))
-    rows = summed(facts, SUMS[name])
-    salt = F.pmod(F.xxhash64(*SUMS[name]), F.lit(max(1, files)))
-    _, pieces = load.write_pieces(rows.repartition("delivery_month", salt), run.folder(name), "delivery_month")
+    n, unique = facts.count(), name in NEARLY_UNIQUE
+    files = -(-n // ((load.SORTED_PER_TASK if unique else load.FACTS_PER_TASK) * len(written)))
+    salt = F.pmod(F.xxhash64(*SUMS[name]), F.lit(max(1, files))).alias("salt")
+    if unique:
+        # Summing before the shuffle would hold nearly every fact in a hash table; one shuffle places and sums them, in
+        # tasks of a number that is not made smaller by their bytes, as a sum takes many times those in memory.
+        dealt = facts.select(*SUMS[name], "total_price", "quantity", salt)
+        dealt = dealt.repartition(load.sorting_tasks(facts, n), "delivery_month", "salt")
+        rows = summed(dealt, [*SUMS[name], "salt"]).drop("salt")
+    else:
+        rows = summed(facts, SUMS[name]).repartition("delivery_month", salt)
+    _, pieces = load.write_pieces(rows, run.folder(name), "delivery_month")
     return [*kept, *(run.part(name, m) for m in sorted(pieces))]

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from parcelmart.operators import load
 from parcelmart.operators.fact import fact_rows, joined_items, keyed_rows, nested_items
+from parcelmart.plans import etl
 from parcelmart.plans.changes import changes_of
+from parcelmart.sources import warehouse as store
 from parcelmart.sources.tables import read_source
-from tests.fixture import item, make_source, order
+from tests.fixture import at, item, make_source, order
 from tests.helpers import frame_rows
 
 
@@ -29,3 +34,27 @@ def test_orders_with_items_are_dealt_before_their_items_are_collected(spark):
     lines = [x for x in plan(changes_of(make_source(spark))).splitlines() if "Exchange" in x or "collect_list" in x]
     collected = [i for i, x in enumerate(lines) if "collect_list" in x]
     assert len(collected) >= 2 and not any("Exchange" in x for x in lines[collected[0] : collected[-1]])
+
+
+def test_sums_per_day_and_product_are_shuffled_once(spark, tmp_path, monkeypatch):
+    seen, write = {}, load.write_pieces
+    monkeypatch.setattr(load, "write_pieces", lambda rows, path, *a: seen.update({path: plan(rows)}) or write(rows, path, *a))
+    rows = [item(1, 1, 2)] * 40 + [item(2, 1, 3), item(2, 2, 5), item(3, None)]
+    wh = etl.run_etl(spark, make_source(spark, order_items=rows), str(tmp_path), at(10))
+    found = next(p for path, p in seen.items() if "sums_product" in path)
+    assert found.count("Exchange") == 1
+    facts = wh["fact_orders"].withColumn("delivery_month", F.floor(F.col("delivery_date_id") / 100).cast("int"))
+    keys = store.SUMS["sums_product"]
+    summed = facts.groupBy(*keys).agg(F.sum("total_price").alias("total_price"), F.sum("quantity").alias("quantity"), F.count("*").alias("items"))
+    assert frame_rows(wh["sums_product"].select(summed.columns)) == frame_rows(summed)
+
+
+def test_the_tie_of_numbering_moves_no_text(spark, tmp_path, monkeypatch):
+    seen = {}
+    hold = load.work_table
+    monkeypatch.setattr(load, "work_table", lambda df, name: seen.update({name: plan(df)}) or hold(df, name))
+    facts = etl.source_facts(make_source(spark, order_items=[item(1, 1, 1) for _ in range(50)]))
+    assert load.write_numbered_facts(facts.repartition(3), str(tmp_path / "f"), 1)[0] == 50
+    assert "file_name" not in seen["facts"]
+    ids = [r[0] for r in spark.read.parquet(str(tmp_path / "f")).select("fact_id").collect()]
+    assert sorted(ids) == list(range(1, 51))
