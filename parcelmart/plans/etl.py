@@ -225,9 +225,15 @@ def _load_facts(run: Load, source: Source, since: datetime | None) -> tuple[Fact
             n = ids.count()
             if not n:
                 return kept_facts(run), None
-            ids = few(ids, n)
+            keyed_orders = orders.withColumn("order_id", F.col("id").cast("bigint"))
+            if n > BROADCAST_ORDERS:
+                # Every touched order, with its columns if it is there: items are shuffled once, to these.
+                hit_orders = ids.join(keyed_orders, "order_id", "left").withColumn("id", F.col("order_id")).drop("order_id")
+                with work_table(hit_orders, "touched-orders") as found:
+                    return write_facts(run, fact_rows(items, found, products, seen, "inner"), ids), seen.get
+            ids = F.broadcast(ids)
             hit_items = items.withColumn("order_id", F.col("OrderId").cast("bigint")).join(ids, "order_id", "left_semi")
-            hit_orders = orders.withColumn("order_id", F.col("id").cast("bigint")).join(ids, "order_id", "left_semi")
+            hit_orders = keyed_orders.join(ids, "order_id", "left_semi")
             return write_facts(run, fact_rows(hit_items, hit_orders, products, seen), ids), seen.get
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parcelmart.operators import load
-from parcelmart.operators.fact import fact_rows, joined_items, keyed_rows, nested_items
+from parcelmart.operators.fact import FACT_COLUMNS, fact_rows, joined_items, keyed_rows, nested_items
 from parcelmart.plans import etl
 from parcelmart.plans.changes import changes_of
 from parcelmart.sources import warehouse as store
@@ -49,6 +49,24 @@ def test_sums_per_day_and_product_are_shuffled_once(spark, tmp_path, monkeypatch
     assert frame_rows(wh["sums_product"].select(summed.columns)) == frame_rows(summed)
 
 
+def test_many_touched_orders_meet_their_items_in_one_join(spark, tmp_path, monkeypatch):
+    kept, joins = {}, []
+    write = etl.write_facts
+    monkeypatch.setattr(etl, "write_facts", lambda run, fresh, *a: joins.append(plan(fresh).count("Join")) or write(run, fresh, *a))
+    for name, most in (("few", 1_000_000), ("many", 0)):
+        monkeypatch.setattr(etl, "BROADCAST_ORDERS", most)
+        path = str(tmp_path / name)
+        etl.run_etl(spark, make_source(spark, order_items=[item(1), item(2), item(3)]), path, at(10))
+        # Order 9 comes with items and without its row, order 2 loses its user, an item comes without a product, a row twice.
+        changed = [item(1, 2, 4, changed=11), item(9, 1, 1, changed=11), item(2, 1, 1, changed=11), item(2, None, 1, changed=11)]
+        orders = [order(1), order(1), order(2, user=None, changed=11), order(3), order(4, changed=11)]
+        wh = etl.run_etl(spark, make_source(spark, order_items=[*changed, item(3, 1, 8)], orders=orders), path, at(20))
+        quality = store.runs(spark, path).orderBy("version").collect()[-1]["quality"]
+        kept[name] = frame_rows(wh["fact_orders"].select(*FACT_COLUMNS)), quality
+    assert kept["many"] == kept["few"]
+    assert joins[-1] == 2 and joins[1] == 4
+
+
 def test_the_tie_of_numbering_moves_no_text(spark, tmp_path, monkeypatch):
     seen = {}
     hold = load.work_table
