@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,6 +23,14 @@ WHITE = (
 )
 
 
+def once(col: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a column that costs something, computed once however often ``use`` names it.
+
+    A filter on the result repeats the whole expression in the scan, where equal parts are not shared.
+    """
+    return F.get(F.transform(F.array(col), use), F.lit(0))
+
+
 def strip(col: Column) -> Column:
     """Text without white space of any kind at its ends."""
     return F.btrim(col.cast("string"), F.lit(WHITE))
@@ -69,14 +77,16 @@ def parse_mixed_date(col: Column, fallback_formats: Sequence[str] = FALLBACK_FOR
     time of day (a zone is converted to UTC); anything else is tried in the fallback formats in turn. Which way to go is told by
     single characters: a filter on the date repeats the whole expression in the scan, so every part has to be cheap.
     """
-    text = strip(col)
-    dashed = F.regexp_replace(F.regexp_replace(text, *MONTH_DAY_YEAR), *YEAR_MONTH_DAY)
-    moment = (
-        F.when(text.contains("/"), dashed.try_cast("timestamp"))
-        .when(F.substring(text, 5, 1) == "-", text.try_cast("timestamp"))
-        .otherwise(F.coalesce(F.lit(None).cast("timestamp"), *(F.try_to_timestamp(text, F.lit(f)) for f in fallback_formats)))
-    )
-    return F.when(F.year(moment).between(*YEARS), moment.cast("date"))
+
+    def moment(text: Column) -> Column:
+        dashed = F.regexp_replace(F.regexp_replace(text, *MONTH_DAY_YEAR), *YEAR_MONTH_DAY)
+        return (
+            F.when(text.contains("/"), dashed.try_cast("timestamp"))
+            .when(F.substring(text, 5, 1) == "-", text.try_cast("timestamp"))
+            .otherwise(F.coalesce(F.lit(None).cast("timestamp"), *(F.try_to_timestamp(text, F.lit(f)) for f in fallback_formats)))
+        )
+
+    return once(once(strip(col), moment), lambda m: F.when(F.year(m).between(*YEARS), m.cast("date")))
 
 
 def latest_of(*cols: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from parcelmart.functions.calendar import date_id
-from parcelmart.functions.clean import latest_of, parse_mixed_date, to_utc_ts
+from parcelmart.functions.clean import latest_of, once, parse_mixed_date, to_utc_ts
 from parcelmart.functions.numeric import MONEY
 
 # What a missing rider, quantity or price is stored as.
@@ -32,12 +32,17 @@ def _item_columns() -> list[Column]:
     ]
 
 
+def delivery_day_id() -> Column:
+    """Day id (yyyymmdd) of an order's delivery date."""
+    return once(parse_mixed_date(F.col("deliveryDate")), date_id)
+
+
 def _order_columns() -> list[Column]:
     return [
         F.col("id").cast("bigint").alias("order_id"),
         F.col("userId").cast("bigint").alias("user_id"),
         F.col("deliveryRiderId").cast("bigint").alias("rider_id"),
-        date_id(parse_mixed_date(F.col("deliveryDate"))).alias("delivery_date_id"),
+        delivery_day_id().alias("delivery_date_id"),
         to_utc_ts(F.col("updatedAt")).alias("order_updated"),
     ]
 

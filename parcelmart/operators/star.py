@@ -64,11 +64,25 @@ def date_id_between(facts: DataFrame, start: int, end: int) -> DataFrame:
     return _prune(in_range, F.col("delivery_month").between(start // 100, end // 100))
 
 
+def facts_between(wh: Warehouse, start: int, end: int) -> DataFrame:
+    """The warehouse's facts delivered from ``start`` to ``end`` (yyyymmdd, inclusive)."""
+    return date_id_between(wh.facts_between(start, end), start, end)
+
+
+def facts_of(wh: Warehouse, year: int | None, month: int | None = None) -> DataFrame:
+    """The warehouse's facts of a year, of one month of it, or of one month of every year."""
+    return delivered_in(wh["fact_orders"], year, month) if year is None else facts_between(wh, *_days(year, month))
+
+
+def _days(year: int, month: int | None) -> tuple[int, int]:
+    first, last = (month, month) if month is not None else (1, 12)
+    return year * 10000 + first * 100, year * 10000 + last * 100 + 99
+
+
 def delivered_in(facts: DataFrame, year: int | None, month: int | None = None) -> DataFrame:
     """Facts of a year, of one month of it, or of one month of every year."""
     if year is not None:
-        first, last = (month, month) if month is not None else (1, 12)
-        return date_id_between(facts, year * 10000 + first * 100, year * 10000 + last * 100 + 99)
+        return date_id_between(facts, *_days(year, month))
     if month is not None:
         in_month = facts.filter(F.floor(F.col("delivery_date_id") / 100) % 100 == month)
         return _prune(in_month, F.col("delivery_month") % 100 == month)

@@ -17,7 +17,8 @@ from parcelmart.operators.ranking import global_rank, percent_rank_pct, trailing
 from parcelmart.operators.star import (
     Dim,
     date_id_between,
-    delivered_in,
+    facts_between,
+    facts_of,
     rollup_distinct,
     rollup_labelled,
     star_sum,
@@ -110,7 +111,7 @@ def vehicle_deliveries(
     if kept:
         rows, dims, items = *kept, F.col("items")
     else:
-        rows, items = delivered_in(wh["fact_orders"], year, month), F.lit(1).cast("bigint")
+        rows, items = facts_of(wh, year, month), F.lit(1).cast("bigint")
         dims = [Dim("dim_date", ["year", "month"], {"year": year, "month": month})]
     leaf = star_sum(wh, rows, [*dims, Dim("dim_rider", ["vehicle_type"])], keys, {"n": items})
     total = F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("total_deliveries")
@@ -130,7 +131,7 @@ def top_percentile_riders(
     first_id, end_id = last_year * 10000 + last_quarter * 300 - 200, year * 10000 + quarter * 300 + 99
     dates = Dim("dim_date", ["year", "quarter"])
     users = Dim("dim_user", ["country"], {"country": country})
-    facts = date_id_between(wh["fact_orders"], first_id, end_id)
+    facts = facts_between(wh, first_id, end_id)
     keys = ["country", "rider_id", "year", "quarter", "user_id"]
     sums = {"sales": F.col("total_price")}
     per_user = star_sum(wh, facts, [dates, users], keys, sums)
@@ -167,7 +168,7 @@ def revenue_leaves(
         Dim("dim_user", ["country", "city"], {"country": country, "city": city}),
     ]
     sums = {"revenue": F.col("total_price"), "items": F.lit(1).cast("bigint")}
-    return star_sum(wh, delivered_in(wh["fact_orders"], year), dims, [*PLACE_KEYS, "rider_id"], sums)
+    return star_sum(wh, facts_of(wh, year), dims, [*PLACE_KEYS, "rider_id"], sums)
 
 
 def revenue_measures() -> list[Column]:

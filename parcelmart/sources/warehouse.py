@@ -149,7 +149,8 @@ class LoadConflict(RuntimeError):
 class Warehouse:
     """The warehouse tables, each built when it is first asked for, and the sizes in bytes known for some of them.
 
-    ``sums`` are kept sums of the facts; a warehouse that was not stored has none.
+    ``sums`` are kept sums of the facts; a warehouse that was not stored has none. ``facts_between`` builds the facts of a
+    range of days where that takes less than building all.
     """
 
     def __init__(
@@ -157,10 +158,12 @@ class Warehouse:
         loaders: Mapping[str, Callable[[], DataFrame]],
         sizes: Mapping[str, int] | None = None,
         sums: Mapping[str, Callable[[], DataFrame]] | None = None,
+        facts_between: Callable[[int, int], DataFrame] | None = None,
     ) -> None:
         self._loaders = dict(loaders)
         self._sums = dict(sums or {})
         self._tables: dict[str, DataFrame] = {}
+        self._facts_between = facts_between
         self.sizes = dict(sizes or {})
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -168,6 +171,10 @@ class Warehouse:
             self._tables[name] = (self._loaders.get(name) or self._sums[name])()
         return self._tables[name]
 
+    def facts_between(self, start: int, end: int) -> DataFrame:
+        """Facts with all those delivered from ``start`` to ``end`` (yyyymmdd, inclusive) among them."""
+        return self._facts_between(start, end) if self._facts_between else self["fact_orders"]
+
     def has_sums(self, name: str) -> bool:
         """Whether the sums ``name`` are kept."""
         return name in self._sums

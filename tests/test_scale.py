@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parcelmart.operators import load
-from parcelmart.operators.fact import FACT_COLUMNS, fact_rows, joined_items, keyed_rows, nested_items
+from parcelmart.operators.fact import FACT_COLUMNS, delivery_day_id, fact_rows, joined_items, keyed_rows, nested_items
+from parcelmart.operators.star import date_id_between
 from parcelmart.plans import etl
 from parcelmart.plans.changes import changes_of
 from parcelmart.sources import warehouse as store
@@ -76,3 +77,21 @@ def test_the_tie_of_numbering_moves_no_text(spark, tmp_path, monkeypatch):
     assert "file_name" not in seen["facts"]
     ids = [r[0] for r in spark.read.parquet(str(tmp_path / "f")).select("fact_id").collect()]
     assert sorted(ids) == list(range(1, 51))
+
+
+def test_a_date_is_parsed_once_for_a_filter_on_its_id(spark):
+    rows = spark.createDataFrame([("1/2/2024",), ("2024-02-01",), ("x",), (None,)], "deliveryDate string")
+    found = rows.select(delivery_day_id().alias("id")).filter(F.col("id").between(20240101, 20240131))
+    assert plan(found).count("MMMM d, yyyy") <= 6  # each of the formats has two, and two uses of the id and the result are left
+    assert [r[0] for r in found.collect()] == [20240102]
+
+
+def test_items_of_other_days_are_kept_off_the_joins(spark):
+    orders = [order(1), order(1), order(2, user=None), order(3, day="2024-05-01"), order(4, day=None)]
+    items = [item(1), item(1), item(2), item(3), item(3, None), item(4), item(9), item(None)]
+    wh = etl.derived_warehouse(make_source(spark, order_items=items, orders=orders))
+    for start, end in ((20240501, 20240531), (20200101, 20301231), (19990101, 19991231)):
+        got, want = wh.facts_between(start, end), date_id_between(wh["fact_orders"], start, end)
+        assert frame_rows(got) == frame_rows(want)
+        assert "getbit" in plan(got).lower() and plan(got).count("Join") == plan(want).count("Join")
+    assert frame_rows(wh.facts_between(20240501, 20240531))
