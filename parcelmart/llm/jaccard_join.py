@@ -28,6 +28,7 @@ from pyspark.sql.types import _parse_datatype_string
 
 from parcelmart.llm.common import stored, table, text_batches
 from parcelmart.llm.components import components
+from parcelmart.session import work_table
 
 GROUPS = 256
 # Words remembered per Python worker, and documents per node of a tree.
@@ -473,30 +474,20 @@ def differing(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return pairs.filter(part["a"] != part["b"]).select("a", "b", part["a"].alias("a_part"))
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: its number of distinct shingles and its component by links.
-
-    Documents are linked when 100 * intersection >= percent * union of their sets of ``words``-word shingles (lower
-    case for A-Z, words between white space; a text with fewer words is one shingle). ``component_id`` is the smallest
-    id that can be reached. NULL and empty texts have no shingles and no links. Rows with one id are one document with
-    several texts. A row without an id is reported with its size and no component. Other columns are not read.
-    """
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
-    found = stored(cell_rows(rows, words, percent), "cells", partition_by="kind")
-    found = found.select("kind", "key", "id", "leader", "members")
-    listed = found.filter("kind = 0").select("id", F.col("key").alias("n_shingles"), F.col("leader").alias("rep"))
-
+def shared_cells(found: DataFrame) -> DataFrame:
+    """Members (key, id, leader, held) of the cells that several documents are in, from ``cell_rows``."""
     # A cell has at most one row per block of the scan here; its smallest document leads it.
     cell = F.expr("struct(min(id) OVER (PARTITION BY key) AS leader, sum(members) OVER (PARTITION BY key) AS held)")
     led = found.filter("kind = 1").select("key", "id", cell.alias("cell"))
     shared = led.filter("cell.held > 1").select("key", "id", "cell.leader", "cell.held")
     others = found.filter("kind = 2").select("key", "id", "leader", F.lit(None).cast("bigint").alias("held"))
-    members = stored(shared.union(others), "members")
+    return shared.union(others)
+
 
+def linked_parts(members: DataFrame, listed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``id`` and ``component`` of every document with a link; all rounds. The result reads nothing of ``sets``."""
     pairs = members.filter("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
     pairs = stored(pairs.distinct(), "pairs")
-    sets = stored(shingle_sets(chosen_rows(rows, stored(members.select("id").distinct(), "wanted")), words), "sets")
-
     # First one pair per document, which settles groups of near copies; then the other leaders of other components.
     first = stored(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
     equal = listed.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
@@ -522,6 +513,25 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_i
             placed = crowds(crowd).join(inside.select("id", "component", "n").distinct(), "id")
             links = links.union(stored(tree_links(stored(placed, "crowds"), sets, percent), "crowd-links"))
         parts = components(links)
+    return parts
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per input row: its number of distinct shingles and its component by links.
+
+    Documents are linked when 100 * intersection >= percent * union of their sets of ``words``-word shingles (lower
+    case for A-Z, words between white space; a text with fewer words is one shingle). ``component_id`` is the smallest
+    id that can be reached. NULL and empty texts have no shingles and no links. Rows with one id are one document with
+    several texts. A row without an id is reported with its size and no component. Other columns are not read.
+    """
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
+    # Cells are many times as many as documents; they go when those that hold several documents are told.
+    with work_table(cell_rows(rows, words, percent), "llm-cells", "kind") as found:
+        found = found.select("kind", "key", "id", "leader", "members")
+        listed = stored(found.filter("kind = 0").select("id", F.col("key").alias("n_shingles"), F.col("leader").alias("rep")), "listed")
+        members = stored(shared_cells(found), "members")
+    with work_table(shingle_sets(chosen_rows(rows, stored(members.select("id").distinct(), "wanted")), words), "llm-sets") as sets:
+        parts = linked_parts(members, listed, sets, percent)
     joined = listed.join(parts, "id", "left")
     return joined.select(
         F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id")

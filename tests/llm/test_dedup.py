@@ -222,3 +222,15 @@ def test_components_of_chains(spark):
     chain = [(k, k + 1) for k in range(40)] + [(100, 90), (90, 95), (7, 7), (None, 3), (200, 201), (201, 200)]
     found = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
     assert found == {**{k: 0 for k in range(1, 41)}, 100: 90, 95: 90, 201: 200}
+
+
+def test_cells_and_sets_are_deleted(spark):
+    from parcelmart.session import work_dir
+    from parcelmart.sources.commits import folders
+
+    before = set(folders(spark, work_dir(spark)))
+    docs = spark.createDataFrame([(i, f"the same words but for the last one {i % 2}") for i in range(8)], "doc_id long, text string")
+    found = jaccard_components(docs, words=2, percent=50)
+    left = {name.rsplit("-", 1)[0] for name in set(folders(spark, work_dir(spark))) - before}
+    assert "llm-members" in left and not {"llm-cells", "llm-sets"} & left
+    assert {tuple(r) for r in found.collect()} == {(i, 8, 0) for i in range(8)}

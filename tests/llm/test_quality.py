@@ -222,3 +222,18 @@ def test_menus_and_bare_lists():
     for fine in ("A Heading", "A Heading\nIts Second Line", "You need:\ntwo eggs\nsome flour\nmuch milk"):
         text = f"{body}\n{fine}\n{PROSE}"
         assert cleaned_text(text) == text
+
+
+def test_kept_rows_are_not_stored_beside_their_features(spark):
+    from parcelmart.session import work_dir
+    from parcelmart.sources.commits import folders
+
+    before = set(folders(spark, work_dir(spark)))
+    docs = spark.createDataFrame([(i, f"s{i % 2}", "en", f"some words of text {i}.", i) for i in range(9)], "doc_id long, source string, lang string, text string, other int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, quality int")
+    kept = {tuple(r) for r in keep_good(docs, labels).collect()}
+    assert kept <= {tuple(r) for r in docs.collect()}
+    good = classify_quality(docs, labels).filter("kept").select("doc_id")
+    assert {r[0] for r in kept} == {r[0] for r in good.collect()}
+    for name in set(folders(spark, work_dir(spark))) - before:
+        assert "row" not in spark.read.parquet(f"{work_dir(spark)}/{name}").columns
