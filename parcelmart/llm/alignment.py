@@ -3,11 +3,12 @@
 Both tokenizers cut a text before a single space between two other characters, whatever stands around it. So texts are cut
 into units there, and each distinct unit of a task is encoded and aligned once; a document is the sum of its units.
 
-Pass one gives, per task, how many of its documents hold each pair of ids linked. The distinct pairs get a minimal perfect
-hash, built per bucket of pairs: levels of bit arrays, in which a pair that is alone at its place is settled, and the rest go
-on to the next level. A pair's slot is the number of bits before its own. Counts are dense vectors indexed by slot, one
-per bucket and group of tasks, and summed up in a tree. Pass two aligns the documents again and looks their pairs
-up; the pair stored at a slot is compared, so a pair that was never counted cannot take another's count.
+Pass one aligns every document once. It keeps a document's numbers, digest and linked ids, and gives, per task, how many
+documents hold each pair of ids linked. The distinct pairs get a minimal perfect hash, built per bucket of pairs: levels
+of bit arrays, in which a pair that is alone at its place is settled, and the rest go on to the next level. A pair's slot is
+the number of bits before its own. Counts are dense vectors indexed by slot, one per bucket and group of tasks, and summed
+up in a tree. Pass two looks the kept pairs up and encodes nothing; the pair stored at a slot is compared, so a pair that
+was never counted cannot take another's count.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ WHITE = [chr(i) for i in range(0x3001) if chr(i).isspace()]
 UNITS_PER_CALL = 4000
 CACHE_UNITS, CACHE_LINKS, CACHE_CHARS = 1_000_000, 6_000_000, 64_000_000
 BATCH_BYTES = 8 << 20
+LINK_BYTES = 4 << 20
 # Pairs of a bucket on average, bits per unsettled pair, tasks whose counts make one vector, vectors summed at once.
 BUCKET_PAIRS = 16_384
 BITS_PER_PAIR = 2
@@ -49,6 +51,9 @@ PARTIALS = "task bigint, mixed bigint, pair bigint, n bigint"
 BUCKETS = "bucket bigint, n int, sizes array<int>, words binary, keys binary"
 VECTORS = "bucket bigint, part bigint, counts binary"
 ALIGNED = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
+# What pass one keeps of a document, and a document's pairs where they are joined.
+KEPT = "uid bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, links_a binary, links_b binary"
+HELD = "uid bigint, pair bigint, links bigint"
 
 
 def byte_of_symbol() -> dict[str, int]:
@@ -100,6 +105,8 @@ class Aligner:
         self.sizes_a = np.array([len(b) for b in self.bytes_a])
         self.sizes_b = np.array([len(b) for b in self.bytes_b])
         self.names = [str(i) for i in range(max(len(entries), len(pieces)))]
+        # Kept links take two bytes an id where the vocabulary allows it.
+        self.kinds = np.min_scalar_type(len(entries)).newbyteorder("<"), np.min_scalar_type(len(pieces)).newbyteorder("<")
         # Cutting is right if no piece has its space sign behind another character.
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
 
@@ -178,8 +185,8 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 class Units:
     """The distinct units met so far with what a document's numbers are added up from."""
 
-    def __init__(self, found: Aligner, lookup: PairCounts | None, with_texts: bool = True) -> None:
-        self.aligner, self.lookup, self.with_texts = found, lookup, with_texts
+    def __init__(self, found: Aligner, with_texts: bool = True) -> None:
+        self.aligner, self.with_texts = found, with_texts
         self.clear()
 
     def clear(self) -> None:
@@ -187,7 +194,6 @@ class Units:
         self.texts: list[str] = []
         self.chars = 0
         self.numbers = np.zeros((6, 0), np.int64)  # valid, tokens of A, of B, groups, links; starts of the links
-        self.sums = np.zeros((2, 0), np.int64)  # links with the best count, sum of counts
         self.pairs = np.zeros(0, np.int64)  # numbers in ``names`` of the linked pairs
         self.names: dict[int, int] = {}
 
@@ -212,10 +218,6 @@ class Units:
             links, local = np.unique(got.links, return_inverse=True)
             numbers = np.array([self.names.setdefault(x, len(self.names)) for x in links.tolist()], np.int64)
             self.pairs = np.concatenate([self.pairs, numbers[local] if len(links) else numbers])
-            if self.lookup is not None:
-                n, best = self.lookup.find(got.links)
-                ends = np.concatenate([np.zeros((2, 1), np.int64), np.cumsum(np.stack([best, n]), axis=1)], axis=1)
-                self.sums = np.concatenate([self.sums, ends[:, got.starts[1:]] - ends[:, got.starts[:-1]]], axis=1)
             found = [self.index[u] if i is None else i for u, i in zip(met, found)]
         return np.repeat(np.arange(len(lists)), sizes), np.array(found, np.int64)
 
@@ -223,15 +225,11 @@ class Units:
         """Per document whether it has tokens, and the sums over its units."""
         has = np.bincount(docs, minlength=n_docs) > 0
         has &= np.bincount(docs, self.numbers[0][flat] == 0, n_docs) == 0
-        columns = [*self.numbers[1:5], *self.sums]
-        sums = [np.bincount(docs, c[flat], n_docs).astype(np.int64) * has for c in columns if len(c) == len(self.index)]
-        return has, np.stack(sums)
+        return has, np.stack([np.bincount(docs, c[flat], n_docs).astype(np.int64) * has for c in self.numbers[1:5]])
 
-    def pairs_of(self, docs: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (document, pair) with the number of links, of documents and units as ``add`` gives them."""
-        n = max(1, len(self.names))
-        keys, links = np.unique(self._linked(docs, flat), return_counts=True)
-        return keys // n, np.fromiter(self.names, np.int64, len(self.names))[keys % n], links
+    def links_of(self, flat: np.ndarray) -> np.ndarray:
+        """The linked pairs of units, in their order and as often as they occur."""
+        return self._names()[self.pairs[self._places(flat)]]
 
     def documents_with(self, docs: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs and how many of the documents hold each."""
@@ -239,13 +237,19 @@ class Units:
         found = distinct(self._linked(both // len(self.index), both % len(self.index)) if len(both) else both)
         count = np.bincount(found % max(1, len(self.names)), minlength=len(self.names))
         met = np.flatnonzero(count)
-        return np.fromiter(self.names, np.int64, len(self.names))[met], count[met]
+        return self._names()[met], count[met]
+
+    def _names(self) -> np.ndarray:
+        return np.fromiter(self.names, np.int64, len(self.names))
+
+    def _places(self, flat: np.ndarray) -> np.ndarray:
+        """Where in ``pairs`` the links of units are."""
+        width, start = self.numbers[4][flat], self.numbers[5][flat]
+        return np.repeat(start - np.cumsum(width) + width, width) + np.arange(width.sum())
 
     def _linked(self, docs: np.ndarray, flat: np.ndarray) -> np.ndarray:
         """Document and pair of every link, as one number."""
-        width, start = self.numbers[4][flat], self.numbers[5][flat]
-        at = np.repeat(start - np.cumsum(width) + width, width) + np.arange(width.sum())
-        return np.repeat(docs, width) * max(1, len(self.names)) + self.pairs[at]
+        return np.repeat(docs, self.numbers[4][flat]) * max(1, len(self.names)) + self.pairs[self._places(flat)]
 
 
 def distinct(values: np.ndarray) -> np.ndarray:
@@ -338,14 +342,37 @@ def bucket_of(pairs: np.ndarray, buckets: int) -> np.ndarray:
     return ((mix(pairs) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
 
-def pair_partials(docs: DataFrame, path_a: str, path_b: str, text: str) -> DataFrame:
-    """How many documents of each scan task hold each pair linked; a task's rows may come in several parts."""
-    schema = to_arrow_schema(_parse_datatype_string(PARTIALS))
+def binaries(values: np.ndarray, n: np.ndarray) -> pa.Array:
+    """``values`` cut into binary values of ``n`` items each."""
+    ends = np.concatenate([[0], np.cumsum(n) * values.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(values)])
+
+
+def kept_links(batch: pa.RecordBatch) -> np.ndarray:
+    """The linked pairs of all documents of a batch, from what ``binaries`` made of their ids."""
+    links = max(1, batch.column("n_links").to_numpy().sum())
+    raws = (b"".join(batch.column(f"links_{side}").to_pylist()) for side in "ab")
+    a, b = (np.frombuffer(raw, f"<u{len(raw) // links or 1}") for raw in raws)
+    return a.astype(np.int64) << 32 | b
+
+
+def first_pass(docs: DataFrame, path_a: str, path_b: str, text: str, doc_id: str | None = None, with_groups: bool = False) -> DataFrame:
+    """Rows of one or two kinds: how many documents of a scan task hold a pair linked (``pair``; a task's rows may come in
+    several parts), and with ``doc_id`` what is kept of each document (``uid``, of which no two rows have the same)."""
+    kept = [c.split()[0] for c in KEPT.split(", ")] + ["groups"] * with_groups if doc_id else []
+    ddl = PARTIALS + (f", {KEPT}" if doc_id else "") + (", groups string" if doc_id and with_groups else "")
+    schema = to_arrow_schema(_parse_datatype_string(ddl))
+
+    def filled(columns: dict, n: int) -> pa.RecordBatch:
+        arrays = [columns.get(f.name, pa.nulls(n, f.type)) for f in schema]
+        arrays = [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(arrays, schema)]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, units = TaskContext.get().partitionId(), Units(aligner(path_a, path_b), None, with_texts=False)
+        task, found = TaskContext.get().partitionId(), aligner(path_a, path_b)
+        units, uid = Units(found, with_texts=bool(kept)), task << 33
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
@@ -353,16 +380,29 @@ def pair_partials(docs: DataFrame, path_a: str, path_b: str, text: str) -> DataF
             return names, np.bincount(inverse, np.concatenate([h[1] for h in held]), len(names)).astype(np.int64)
 
         def emit(pairs: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-            columns = [np.full(len(pairs), task), (mix(pairs) >> np.uint64(33)).astype(np.int64), pairs, counts]
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            mixed = (mix(pairs) >> np.uint64(33)).astype(np.int64)
+            return filled({"task": np.full(len(pairs), task), "mixed": mixed, "pair": pairs, "n": counts}, len(pairs))
+
+        def documents(batch: pa.RecordBatch, at: np.ndarray, flat: np.ndarray, has: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+            cut = np.searchsorted(at, np.arange(batch.num_rows + 1)).tolist()
+            texts, names = units.texts, flat.tolist()
+            groups = [";".join([texts[u] for u in names[i:j]]) if ok else "" for ok, i, j in zip(has, cut, cut[1:])]
+            digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+            links = units.links_of(flat[has[at]])
+            sides = [binaries(ids.astype(kind), sums[3]) for ids, kind in zip((links >> 32, links & 0xFFFFFFFF), found.kinds)]
+            columns = [uid + np.arange(batch.num_rows), batch.column(1), *sums, digests, *sides, groups]
+            return filled(dict(zip(kept, columns)), batch.num_rows)
 
         for batch in text_batches(batches, BATCH_BYTES):
             if units.full():
                 units.clear()
             at, flat = units.add(batch.column(0).to_pylist())
-            has, _ = units.totals(at, flat, batch.num_rows)
+            has, sums = units.totals(at, flat, batch.num_rows)
             keep = has[at]
             held.append(units.documents_with(at[keep], flat[keep]))
+            if kept:
+                yield documents(batch, at, flat, has, sums)
+                uid += batch.num_rows
             if sum(len(h[0]) for h in held) > CACHE_LINKS:
                 held = [merged()]
                 if len(held[0][0]) > CACHE_LINKS // 2:
@@ -371,7 +411,9 @@ def pair_partials(docs: DataFrame, path_a: str, path_b: str, text: str) -> DataF
         if held:
             yield emit(*merged())
 
-    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, PARTIALS)
+    columns = [F.col(text).cast("string").alias("text")]
+    columns += [F.col(doc_id).cast("bigint").alias("doc_id")] if doc_id else []
+    return docs.select(*columns).mapInArrow(run, ddl)
 
 
 def hash_buckets(partials: DataFrame, buckets: int) -> DataFrame:
@@ -440,8 +482,11 @@ class PairTable(NamedTuple):
 
 
 def pair_table(docs: DataFrame, path_a: str, path_b: str, text: str = "text") -> PairTable:
-    """Pass one: the counts of all linked pairs of the corpus."""
-    partials = stored(pair_partials(docs, path_a, path_b, text), "pair-partials")
+    """The counts of all linked pairs of the corpus."""
+    return counted(stored(first_pass(docs, path_a, path_b, text), "pair-partials"))
+
+
+def counted(partials: DataFrame) -> PairTable:
     n = partials.select("pair").distinct().count()
     buckets = -(-n // BUCKET_PAIRS) or 1
     hashed = stored(hash_buckets(partials, buckets), "pair-hash")
@@ -449,6 +494,46 @@ def pair_table(docs: DataFrame, path_a: str, path_b: str, text: str = "text") ->
     return PairTable(hashed.join(vectors, "bucket"), buckets, n)
 
 
+def looked_up(aligned: DataFrame, pairs: PairTable, columns: list[str], ddl: str) -> DataFrame:
+    """Pass two with the hash at hand: counts of the kept links, summed up per document."""
+    # Bounded by broadcast_pairs.
+    counts = aligned.sparkSession.sparkContext.broadcast(PairCounts(pairs.rows.collect(), pairs.buckets))
+    schema = to_arrow_schema(_parse_datatype_string(ddl))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches, LINK_BYTES):
+            n, best = counts.value.find(kept_links(batch))
+            ends = np.concatenate([[0], np.cumsum(batch.column("n_links").to_numpy())])
+            sums = {name: np.diff(np.concatenate([[0], np.cumsum(x)])[ends]) for name, x in (("n_best", best), ("count_sum", n))}
+            arrays = [pa.array(sums[c]) if c in sums else batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(arrays, schema)], schema=schema)
+
+    return aligned.drop("uid").mapInArrow(run, ddl)
+
+
+def joined_counts(aligned: DataFrame, pairs: PairTable, columns: list[str]) -> DataFrame:
+    """Pass two by a join with the list of pairs, whatever their number."""
+    schema = to_arrow_schema(_parse_datatype_string(HELD))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches, LINK_BYTES):
+            names, number = np.unique(kept_links(batch), return_inverse=True)
+            docs = np.repeat(np.arange(batch.num_rows), batch.column("n_links").to_numpy())
+            keys, links = np.unique(docs * max(1, len(names)) + number, return_counts=True)
+            uids = batch.column("uid").to_numpy()[keys // max(1, len(names))]
+            found = [uids, names[keys % max(1, len(names))], links]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, schema)], schema=schema)
+
+    held = aligned.select("uid", "n_links", "links_a", "links_b").mapInArrow(run, HELD)
+    joined = held.join(stored(pairs.counts(), "pair-list").select("pair", "n", "best"), "pair")
+    found = joined.groupBy("uid").agg(
+        F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).alias("_best"), F.sum(F.col("links") * F.col("n")).alias("_sum")
+    )
+    out = aligned.drop("links_a", "links_b").join(found, "uid", "left")
+    zero = F.lit(0).cast("bigint")
+    return out.withColumns({"n_best": F.coalesce("_best", zero), "count_sum": F.coalesce("_sum", zero)}).select(*columns)
+
+
 def align_documents(
     docs: DataFrame,
     path_a: str,
@@ -465,56 +550,14 @@ def align_documents(
     0, digest and groups ''. Rows are never merged: repeated rows and NULL ids count as documents of their own. Other
     columns are not read. Pairs beyond ``broadcast_pairs`` are looked up by a join with the same results.
     """
-    pairs = pair_table(docs, path_a, path_b, text)
-    spark = docs.sparkSession
-    by_join = pairs.pairs > broadcast_pairs
+    found = stored(first_pass(docs, path_a, path_b, text, doc_id, with_groups), "aligned")
+    aligned = found.filter("uid IS NOT NULL").drop("task", "mixed", "pair", "n")
+    pairs = counted(found.filter("pair IS NOT NULL").select("task", "mixed", "pair", "n"))
     ddl = ALIGNED + (", groups string" if with_groups else "")
-    schema = to_arrow_schema(_parse_datatype_string(ddl + (", uid bigint, pairs array<struct<pair:bigint,links:bigint>>" if by_join else "")))
-    counts = None
-    if not by_join:
-        # Bounded by broadcast_pairs.
-        counts = spark.sparkContext.broadcast(PairCounts(pairs.rows.collect(), pairs.buckets))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        uid = TaskContext.get().partitionId() << 33
-        units = Units(aligner(path_a, path_b), None if counts is None else counts.value)
-        for batch in text_batches(batches, BATCH_BYTES):
-            if units.full():
-                units.clear()
-            at, flat = units.add(batch.column(1).to_pylist())
-            has, sums = units.totals(at, flat, batch.num_rows)
-            cut = np.searchsorted(at, np.arange(batch.num_rows + 1)).tolist()
-            texts, names = units.texts, flat.tolist()
-            groups = [";".join([texts[u] for u in names[i:j]]) if ok else "" for ok, i, j in zip(has, cut, cut[1:])]
-            digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
-            n_best, count_sum = sums[4:] if counts is not None else np.zeros((2, batch.num_rows), np.int64)
-            columns = [batch.column(0), *sums[:4], n_best, count_sum, digests]
-            columns += [groups] if with_groups else []
-            if by_join:
-                keep = has[at]
-                doc, pair, links = units.pairs_of(at[keep], flat[keep])
-                cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-                items = pa.StructArray.from_arrays([pa.array(pair), pa.array(links)], ["pair", "links"])
-                columns += [uid + np.arange(batch.num_rows), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), items)]
-                uid += batch.num_rows
-            arrays = [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    if not by_join:
-        return rows.mapInArrow(run, ddl)
-    aligned = stored(rows.mapInArrow(run, f"{ddl}, uid bigint, pairs array<struct<pair:bigint,links:bigint>>"), "aligned")
-    exploded = aligned.select("uid", F.inline("pairs"))
-    joined = exploded.join(stored(pairs.counts(), "pair-list").select("pair", "n", "best"), "pair")
-    found = joined.groupBy("uid").agg(
-        F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).alias("_best"), F.sum(F.col("links") * F.col("n")).alias("_sum")
-    )
-    out = aligned.drop("pairs", "n_best", "count_sum").join(found, "uid", "left")
-    zero = F.lit(0).cast("bigint")
-    filled = out.withColumn("n_best", F.coalesce("_best", zero)).withColumn("count_sum", F.coalesce("_sum", zero))
-    return filled.select(*[c.split()[0] for c in ddl.split(", ")])
+    columns = [c.split()[0] for c in ddl.split(", ")]
+    if pairs.pairs > broadcast_pairs:
+        return joined_counts(aligned, pairs, columns)
+    return looked_up(aligned, pairs, columns, ddl)
 
 
 def op11_pair_alignment(spark, sf_dir: str) -> DataFrame:

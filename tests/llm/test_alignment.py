@@ -122,3 +122,11 @@ def test_perfect_hash_is_minimal_and_verified():
     strange = np.setdiff1d(rng.integers(0, 1 << 48, 5000), pairs)
     assert counts.find(strange)[0].sum() == 0
     assert len(build_hash(np.zeros(0, np.int64))[2]) == 0
+
+
+@pytest.mark.parametrize("limit", [4_000_000, 0], ids=["broadcast", "join"])
+def test_documents_are_encoded_once(spark, limit):
+    """The result's own plan has no text in it: what it needs of the tokenizers was kept by the first pass."""
+    docs = spark.createDataFrame([(1, "one text of words"), (1, "and another"), (None, None)], "doc_id long, text string")
+    plan = align_documents(docs, *PATHS, broadcast_pairs=limit)._jdf.queryExecution().optimizedPlan().toString()
+    assert "links_a" in plan and "text" not in plan.replace("TextFile", "")
