@@ -32,11 +32,13 @@ from parcelmart.session import work_table
 
 GROUPS = 256
 # Words remembered per Python worker, and documents per node of a tree.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 LEAF = 16
-# Members of a cell in one block of the last round, and bytes of texts (or of a block's sets) held at once.
+# Members of a cell in one block of the last round, and bytes of a block's sets held at once.
 CELL_BLOCK = 1024
 BLOCK_BYTES = 12 << 20
+# Bytes of texts, or of rows with sets or points, that a task works on at once; beside them it holds several times as much.
+TEXT_BYTES = 4 << 20
 # Pairs that a pair of blocks names for each row it holds; of more, it names the members only.
 PAIRS_PER_MEMBER = 2
 # Ids of candidate documents that are broadcast at most (8 bytes each).
@@ -211,7 +213,7 @@ def cell_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker, bands = shingler(words), Bands(percent)
-        for batch in text_batches(batches, BLOCK_BYTES):
+        for batch in text_batches(batches, TEXT_BYTES):
             ids = batch.column(0).to_pylist()
             sizes, sets = [], []
             first: dict[bytes, int] = {}
@@ -257,7 +259,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = shingler(words)
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, TEXT_BYTES):
             sets = [maker.shingles(t) for t in batch.column(1).to_pylist()]
             columns = [[len(s) for s in sets], [counts(s).tobytes() for s in sets], [s.tobytes() for s in sets]]
             arrays = [batch.column(0), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:]))]
@@ -281,13 +283,13 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], schema=schema)
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, TEXT_BYTES):
             n, m = (batch.column(k).to_numpy() for k in (2, 4))
             x, y = (points_of(batch.column(k).to_pylist()) for k in (3, 5))
             yield chosen(batch, np.minimum(x, y).sum(axis=1, dtype=np.int64) >= needed(n, m, percent))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, TEXT_BYTES):
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 x, y = np.frombuffer(x, U64), np.frombuffer(y, U64)
@@ -375,7 +377,7 @@ def _per_pair(found: DataFrame, columns: str, work) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, TEXT_BYTES):
             out: list[tuple] = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if rows and row[:3] != rows[0][:3]:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from parcelmart.llm.common import running_offsets, stored, table, text_batches
+from parcelmart.llm.common import ROW_BYTES, running_offsets, stored, table, text_batches
 from parcelmart.llm.tokens import ID_TYPE, public_path, word_tokenizer
 
 SEQUENCE = 2048
@@ -49,7 +49,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int | None, doc_id: str = "doc
 
         task, place, tokenizer = TaskContext.get().partitionId(), 0, word_tokenizer(path)
         tail = b"" if end_id is None else np.array([end_id], tokenizer.type).tobytes()
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, ROW_BYTES):
             encoded = [ids + tail for ids in tokenizer.encode_all(batch.column(1).to_pylist())]
             sizes = np.array([len(ids) // tokenizer.type.itemsize for ids in encoded], np.int64)
             places = place + np.cumsum(sizes) - sizes
@@ -68,7 +68,7 @@ def cut(encoded: DataFrame, path: str, total: int, sequence: int = SEQUENCE, wit
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         narrow = word_tokenizer(path).type
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, ROW_BYTES):
             rows = []
             for doc_id, first, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 ids = np.frombuffer(raw, narrow).astype(ID_TYPE)
