@@ -2,26 +2,57 @@
 
 The tokenizers library spends nearly all its time on merging, and words repeat. A text is cut where its pre-tokenizer
 always cuts, each distinct word is encoded once by the library, and the ids of a text are joined from its words'. Where
-a text has white space the cut rule does not cover, the library encodes that line whole.
+a text has white space the cut rule does not cover, the library encodes that line whole. Words are numbered by Arrow and
+their ids gathered by numpy, a round of texts at a time, so the memory of words is asked once per distinct word of a round.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 ID_TYPE = np.dtype("<u4")
 # White space to Python but not to the tokenizers' patterns.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 # Distinct words remembered per Python worker; beyond it the memory is emptied and fills again.
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 800_000
 # Words to one call of the library, marks that are one token each, and what is cut from a word's end.
 WORDS_PER_CALL = 2000
-TEXT_PER_ROUND = 2_000_000
+TEXT_PER_ROUND = 4_000_000
 MARKS = "~^`@|"
 TAIL = ".,;:!?*#$%&"
+# Words that a file with these rules takes as one piece, lower-cased; composing (NFC) leaves their letters as they are.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+LETTER_RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+# The letter of each byte in byte-level files: printable bytes stand for themselves.
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 
 
 def public_path(name: str) -> str:
@@ -54,6 +85,8 @@ class WordTokenizer:
             for i, token in self.tokenizer.get_added_tokens_decoder().items()
         }
         self.special_pattern = re.compile("|".join(map(re.escape, self.special))) if self.special else None
+        rules = json.loads(self.tokenizer.to_str())
+        self.by_letters = {k: rules[k] for k in LETTER_RULES} == LETTER_RULES and rules["model"]["type"] == "BPE"
 
     def encode_whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
@@ -111,29 +144,55 @@ class WordTokenizer:
         return self.encode_whole(text)
 
     def _join(self, plans: list[list]) -> list[bytes]:
-        self._learn([words for plan in plans for words in plan if isinstance(words, list)])
-        get = self.cache.__getitem__
-        joined = ([b"".join(map(get, x)) if isinstance(x, list) else x for x in plan] for plan in plans)
-        return [parts[0] if len(parts) == 1 else b"".join(parts) for parts in joined]
-
-    def _learn(self, lists: list[list[str]]) -> None:
+        joined = iter(self._gathered([words for plan in plans for words in plan if isinstance(words, list)]))
+        parts = ([next(joined) if isinstance(x, list) else x for x in plan] for plan in plans)
+        return [x[0] if len(x) == 1 else b"".join(x) for x in parts]
+
+    def _gathered(self, lists: list[list[str]]) -> list[bytes]:
+        """The ids of each list's words, one after the other."""
+        coded = pa.array(list(chain.from_iterable(lists)), pa.string()).dictionary_encode()
+        words = pa.array(self._known(coded.dictionary.to_pylist()), pa.binary()).take(coded.indices)
+        _, offsets, blob = words.buffers()
+        ends = np.frombuffer(offsets, np.int32)[np.cumsum([0, *map(len, lists)])].tolist()
+        blob = memoryview(blob or b"")
+        return [blob[i:j].tobytes() for i, j in zip(ends, ends[1:])]
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """The ids of each of some distinct words; new words are learned in bulk."""
         if len(self.cache) > self.cache_words:
             self.cache.clear()
             self.cache.update(self.fixed)
         cache = self.cache
-        new = {w for words in lists for w in words if w not in cache}
+        known = list(map(cache.get, words))
+        new = [w for w, ids in zip(words, known) if ids is None]
+        if not new:
+            return known
         # Between a letter and the marks after it every pattern cuts, so "word," is "word" and ",".
         split = {}
         for w in new:
             base = w.rstrip(TAIL)
             if base != w and base[-1:].isalpha():
                 split[w] = (base, w[len(base) :])
-        pieces = {p for w in new for p in split.get(w, (w,)) if p not in cache}
-        todo = list(pieces)
+        todo = list({p for w in new for p in split.get(w, (w,)) if p not in cache})
+        if self.by_letters:
+            plain = list(filter(LETTERS.fullmatch, todo))
+            cache.update(zip(plain, self._letter_ids(plain)))
+            todo = [p for p in todo if p not in cache] if len(plain) < len(todo) else []
         for i in range(0, len(todo), WORDS_PER_CALL):
             part = todo[i : i + WORDS_PER_CALL]
             cache.update(zip(part, self.encode_words(part)))
         cache.update((w, cache[a] + cache[b]) for w, (a, b) in split.items())
+        return [cache[w] if ids is None else ids for w, ids in zip(words, known)]
+
+    def _letter_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words of ``LETTERS`` from the library's model; the rules before it only change case and letters."""
+        tokenize, width = self.tokenizer.model.tokenize, self.type.itemsize
+        lower = (w.lower() for w in words)
+        letters = (w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_LETTERS) for w in lower)
+        ids = [[token.id for token in tokenize(w)] for w in letters]
+        blob = np.array(list(chain.from_iterable(ids)), self.type).tobytes()
+        ends = np.cumsum([0, *map(len, ids)]) * width
+        return [blob[i:j] for i, j in zip(ends.tolist(), ends[1:].tolist())]
 
     @staticmethod
     def _spaced_words(text: str) -> list[str] | None:

@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from parcelmart.llm import jaccard_join, tokens
 from parcelmart.llm.bpe import SpeculativeBpe, decode_ids, encode_texts, round_trip_digests
 from parcelmart.llm.packing import pack, padded_length
 from parcelmart.llm.token_matrix import CapacityTree, best_fit_decreasing, position_ids, token_matrix
@@ -45,6 +46,29 @@ def test_ids_equal_the_library(kind, path):
         assert ids == library_ids(path, text).tobytes(), text
 
 
+def test_words_of_letters_go_to_the_model_only(monkeypatch):
+    asked: list[str] = []
+    whole = WordTokenizer.encode_words
+    tokenizer = WordTokenizer(WORD, narrow=True)
+    monkeypatch.setattr(WordTokenizer, "encode_words", lambda self, words: asked.extend(words) or whole(self, words))
+    rng = random.Random(5)
+    letters = [c for c in map(chr, range(65, 256)) if c.isalpha()]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) for _ in range(800)] + letters + ["Straße", "ÀÉÎ"]
+    texts = [" ".join(words), None, " ".join(f"{w}," for w in words), "", "a1 can't 12:30 ñandú", "e\u0301t ª º µm"]
+    for text, ids in zip(texts, tokenizer.encode_all(texts)):
+        assert ids == library_ids(WORD, text).astype("<u2").tobytes(), text
+    assert set(asked) & set(words) <= {"ª", "º", "µ"} | {w for w in words if set(w) & set("ªºµ")} and "can't" in asked
+
+
+def test_words_held_per_worker_are_few():
+    # Two workers an executor keep these until they end, beside a heap of 60 % of its memory.
+    tokenizer = WordTokenizer(WORD, cache_words=100, narrow=True)
+    for i in range(30):
+        tokenizer.encode_all([f"w{i}x{k}" for k in range(50)])
+        assert len(tokenizer.cache) <= 100 + 51 + len(tokenizer.fixed)
+    assert tokens.CACHE_WORDS <= 800_000 and jaccard_join.CACHE_WORDS <= 100_000
+
+
 def test_decoding_equals_the_library():
     bpe = SpeculativeBpe(BYTE)
     rng = np.random.default_rng(1)
