@@ -151,7 +151,8 @@ class WordTokenizer:
     def _gathered(self, lists: list[list[str]]) -> list[bytes]:
         """The ids of each list's words, one after the other."""
         coded = pa.array(list(chain.from_iterable(lists)), pa.string()).dictionary_encode()
-        words = pa.array(self._known(coded.dictionary.to_pylist()), pa.binary()).take(coded.indices)
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist()
+        words = pa.array(self._known(distinct), pa.binary()).take(coded.indices)
         _, offsets, blob = words.buffers()
         ends = np.frombuffer(offsets, np.int32)[np.cumsum([0, *map(len, lists)])].tolist()
         blob = memoryview(blob or b"")
@@ -189,10 +190,13 @@ class WordTokenizer:
         tokenize, width = self.tokenizer.model.tokenize, self.type.itemsize
         lower = (w.lower() for w in words)
         letters = (w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_LETTERS) for w in lower)
-        ids = [[token.id for token in tokenize(w)] for w in letters]
-        blob = np.array(list(chain.from_iterable(ids)), self.type).tobytes()
-        ends = np.cumsum([0, *map(len, ids)]) * width
-        return [blob[i:j] for i, j in zip(ends.tolist(), ends[1:].tolist())]
+        ids: list[int] = []
+        ends = [0]
+        for w in letters:
+            ids += [token.id for token in tokenize(w)]
+            ends.append(len(ids) * width)
+        blob = np.array(ids, self.type).tobytes()
+        return [blob[i:j] for i, j in zip(ends, ends[1:])]
 
     @staticmethod
     def _spaced_words(text: str) -> list[str] | None:
